@@ -15,12 +15,31 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trackloom.llm.near_dedup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), n=4, percent=80)
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trackloom.llm.toxicity import fit, score_documents
+
+    docs = table(spark, sf_dir, "documents")
+    return score_documents(docs, fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from trackloom.llm.packing import pack_documents
 
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trackloom.llm.decontamination import find_leaks
+
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from trackloom.llm.exact_dedup import exact_dedup
 
@@ -28,7 +47,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op5_packing": op5_packing, "op10_exact_dedup": op10_exact_dedup}
+    return {f.__name__: f for f in (op1_near_dedup, op3_toxicity, op5_packing, op9_decontamination, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
