@@ -34,6 +34,18 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trackloom.llm.chat import examples, read_back, with_probe
+
+    return read_back(examples(with_probe(table(spark, sf_dir, "conversations"))))
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trackloom.llm.secrets import report, scan
+
+    return report(scan(table(spark, sf_dir, "documents")))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from trackloom.llm.decontamination import find_leaks
 
@@ -47,11 +59,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_near_dedup, op3_toxicity, op5_packing, op9_decontamination, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_near_dedup, op3_toxicity, op5_packing, op6_chat_format, op7_secrets, op9_decontamination, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_exact_dedup": OP10_SQL}
+    return {"op6_chat_format": OP6_SQL, "op10_exact_dedup": OP10_SQL}
 
 
 OP10_SQL = """
@@ -63,3 +75,23 @@ SELECT doc_id,
 FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
+
+OP6_SQL = """
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'
+), sized AS (
+  SELECT *, 14 + length(role) + length(regexp_replace(role, '[^\\\\#<:]', '', 'g')) + length(text) + length(regexp_replace(text, '[^\\\\#<]', '', 'g')) AS chars FROM said
+), placed AS (
+  SELECT *, sum(chars) OVER turns AS upto, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, role DESC, text DESC) = 1 AS last
+  FROM sized WINDOW turns AS (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING)
+)
+SELECT conv_id,
+       count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(upto) FILTER (role = 'assistant' OR last) AS BIGINT) AS formatted_chars
+FROM placed GROUP BY conv_id
+"""
