@@ -21,6 +21,12 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), n=4, percent=80)
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trackloom.llm.substring_dedup import digests, substring_dedup
+
+    return digests(substring_dedup(table(spark, sf_dir, "documents")))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from trackloom.llm.toxicity import fit, score_documents
 
@@ -59,7 +65,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_near_dedup, op3_toxicity, op5_packing, op6_chat_format, op7_secrets, op9_decontamination, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_near_dedup, op2_substring_dedup, op3_toxicity, op5_packing, op6_chat_format, op7_secrets, op9_decontamination, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
