@@ -34,6 +34,12 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(docs, fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trackloom.llm.token_output import pack_matrices
+
+    return pack_matrices(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from trackloom.llm.packing import pack_documents
 
@@ -52,6 +58,12 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(scan(table(spark, sf_dir, "documents")))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trackloom.llm.html_text import extract_pages
+
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from trackloom.llm.decontamination import find_leaks
 
@@ -65,7 +77,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_near_dedup, op2_substring_dedup, op3_toxicity, op5_packing, op6_chat_format, op7_secrets, op9_decontamination, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_near_dedup, op2_substring_dedup, op3_toxicity, op4_token_output, op5_packing, op6_chat_format, op7_secrets, op8_html_text, op9_decontamination, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
