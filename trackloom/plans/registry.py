@@ -28,3 +28,7 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {k: o for k, (_, o) in _FOUND.items() if o}
+
+
+def flagship(spark: SparkSession, folder: str) -> DataFrame:
+    return queries()["a14_scene_statistics"](spark, folder)
