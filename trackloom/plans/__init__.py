@@ -1,3 +1,3 @@
 """The registered queries; importing this package registers them."""
 
-from trackloom.plans import sequence_queries  # noqa: F401
+from trackloom.plans import join_queries, sequence_queries  # noqa: F401
