@@ -1,3 +1,3 @@
 """The registered queries; importing this package registers them."""
 
-from trackloom.plans import grid_queries, join_queries, metric_queries, sequence_queries  # noqa: F401
+from trackloom.plans import grid_queries, join_queries, metric_queries, scalar_queries, sequence_queries  # noqa: F401
