@@ -12,9 +12,13 @@ from trackloom.plans.grid_queries import OCC, occupied
 from trackloom.plans.registry import register
 from trackloom.sources.tables import boxes
 
+def framed(spark: SparkSession, d: str, frames: int) -> DataFrame:
+    return boxes(spark, d).withColumn("frame", F.col("frame") % frames)
+
+
 def sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """Predictions and truths: boxes of odd and even numbers, in frames of about sixteen."""
-    b = boxes(spark, d).withColumn("frame", F.expr("frame div 4")).withColumnRenamed("box", "id")
+    """Predictions and truths: boxes of odd and even numbers, in frames of many orders."""
+    b = framed(spark, d, 600).withColumnRenamed("box", "id")
     return b.filter("id % 2 = 1"), b.filter("id % 2 = 0")
 
 
@@ -39,12 +43,12 @@ def a23_detection(spark: SparkSession, d: str) -> DataFrame:
 
 @register("t7_centre_nms")
 def t7(spark: SparkSession, d: str) -> DataFrame:
-    return M.centre_nms(boxes(spark, d)).select("frame", "box")
+    return M.centre_nms(framed(spark, d, 1200)).select("frame", "box")
 
 
 @register("t8_rotated_nms")
 def t8(spark: SparkSession, d: str) -> DataFrame:
-    return M.rotated_nms(boxes(spark, d)).select("frame", "box")
+    return M.rotated_nms(framed(spark, d, 1200)).select("frame", "box")
 
 
 def _sparse(spark: SparkSession, d: str) -> DataFrame:
