@@ -1,3 +1,3 @@
 """The registered queries; importing this package registers them."""
 
-from trackloom.plans import governance_queries, grid_queries, join_queries, kernel_queries, metric_queries, scalar_queries, sequence_queries  # noqa: F401
+from trackloom.plans import governance_queries, grid_queries, join_queries, kernel_queries, metric_queries, more_queries, scalar_queries, sequence_queries  # noqa: F401
