@@ -55,7 +55,24 @@ def map_rows(df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterator[
     return df.mapInArrow(rows, schema)
 
 
-_MASK = (1 << 64) - 1
+_BITS = 1 << 25
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """docs without the rows whose doc_id is in gone(doc_id); rows without an id stay; same columns.
+
+    A one-hash Bloom filter of the gone ids, at most 1024 rows of 4 KB whatever their number, is broadcast first, so that only rows
+    which may go are shuffled, and most texts are not.
+    """
+    gone = materialize(gone.select(F.col("doc_id").alias("__gone")).filter("__gone is not null").distinct(), "gone")
+    place = lambda c: F.pmod(F.xxhash64(c, F.lit(11)), F.lit(_BITS))
+    bits = gone.select(place("__gone").alias("s")).groupBy((F.col("s") / 32768).cast("long").alias("__slot")).agg(F.expr("bitmap_construct_agg(s % 32768)").alias("__bits"))
+    marked = docs.withColumn("__s", place("doc_id")).withColumn("__slot", (F.col("__s") / 32768).cast("long")).join(F.broadcast(materialize(bits, "gone-filter")), "__slot", "left")
+    bit = F.expr("shiftright(cast(conv(hex(substring(__bits, cast((__s % 32768) div 8 as int) + 1, 1)), 16, 10) as int), cast(__s % 8 as int)) & 1")
+    marked = marked.withColumn("__hit", F.coalesce(F.col("doc_id").isNotNull() & (bit == 1), F.lit(False)))
+    own = marked.filter("__hit").select(*docs.columns)
+    return marked.filter("not __hit").select(*docs.columns).unionByName(own.join(gone, own["doc_id"] == gone["__gone"], "left_anti"))
+
 
 
 class WordHashes(dict):

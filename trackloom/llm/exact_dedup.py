@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import materialize, text_of
+from trackloom.llm.common import materialize, text_of, without
 
 #: A group is hot if it holds this share of all rows or more; there are at most 1 / HOT_SHARE such groups, which bounds their broadcast.
 HOT_SHARE = 1 / 1000
@@ -63,6 +63,9 @@ def _collided(docs: DataFrame, shared: DataFrame, digest: Callable[[Column], Col
 
 
 def keep_largest(docs: DataFrame, salts: int = 16) -> DataFrame:
-    """docs without the rows that a row of equal text and larger doc_id replaces; same columns."""
-    won = materialize(winners(docs, salts).select("keep_id").filter("keep_id is not null"), "exact-kept")
-    return docs.join(won, docs["doc_id"] == won["keep_id"], "left_semi")
+    """docs without the rows that a row of equal text and larger doc_id replaces, and without those that have no doc_id; same columns.
+
+    A doc_id whose rows differ in text stays if any of its rows does.
+    """
+    lost = exact_dedup(docs, salts).groupBy("doc_id").agg(F.bool_or("kept").alias("kept")).filter("not kept")
+    return without(docs.filter("doc_id is not null"), lost)
