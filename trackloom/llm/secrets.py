@@ -96,7 +96,7 @@ def threshold(labelled: DataFrame, table: list[float]) -> float:
 
 def _found(text: Column, pattern: str) -> Column:
     """[(start, end, value)] of a pattern's leftmost matches, from the texts between them; none where the text has no match."""
-    lazy = rf"(?s)(.*?)(?:{pattern})"
+    lazy = rf"(?s)\G(.*?)(?:{pattern})"  # \G: after the last match the search ends at once and is not begun anew at every character
     pieces = F.arrays_zip(F.regexp_extract_all(text, F.lit(lazy), F.lit(0)).alias("a"), F.regexp_extract_all(text, F.lit(lazy), F.lit(1)).alias("b"), F.regexp_extract_all(text, F.lit(lazy), F.lit(2)).alias("v"))
     sizes = F.transform(pieces, lambda p: F.struct(F.length(p["a"]).cast("long").alias("all"), F.length(p["b"]).cast("long").alias("gap"), p["v"].alias("value")))
     return F.when(text.rlike(pattern), sizes).otherwise(F.lit(None))
