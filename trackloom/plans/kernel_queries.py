@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from trackloom.functions.scalars import r6
 from trackloom.operators import matching as M
 from trackloom.operators import rasters as R
-from trackloom.plans.grid_queries import OCC, occupied
+from trackloom.plans.grid_queries import OCC, RC, cells, occupied
 from trackloom.plans.registry import register
 from trackloom.sources.tables import boxes
 
@@ -55,6 +55,10 @@ def _sparse(spark: SparkSession, d: str) -> DataFrame:
     return occupied(spark, d).filter("(3 * r + 5 * c + frame) % 7 < 3")
 
 
+def _whole(spark: SparkSession, d: str) -> DataFrame:
+    return cells(spark, d).select("frame", *RC).distinct()
+
+
 SPARSE = f"{OCC}, sp AS (SELECT * FROM occ WHERE (3 * r + 5 * c + frame) % 7 < 3)"
 
 
@@ -67,12 +71,12 @@ def r4(spark: SparkSession, d: str) -> DataFrame:
 
 @register("r5_filled_holes")
 def r5(spark: SparkSession, d: str) -> DataFrame:
-    return R.filled_holes(_sparse(spark, d), 4)
+    return R.filled_holes(_whole(spark, d), 4)
 
 
 @register("r6_connected_region")
 def r6_region(spark: SparkSession, d: str) -> DataFrame:
-    return R.connected_to(_sparse(spark, d), (3, 5), 0.3)
+    return R.connected_to(_whole(spark, d), (3, 5), 0.3)
 
 
 @register("r7_distance_field", f"""WITH {SPARSE}, e AS (SELECT frame, min(r) - 2 AS r0, max(r) + 2 AS r1, min(c) - 2 AS c0, max(c) + 2 AS c1 FROM sp GROUP BY frame), g AS (SELECT frame, CAST(i AS INT) AS r, CAST(j AS INT) AS c FROM e, range(-10, 40) a(i), range(-10, 60) b(j) WHERE i BETWEEN r0 AND r1 AND j BETWEEN c0 AND c1)
@@ -94,4 +98,4 @@ def r8(spark: SparkSession, d: str) -> DataFrame:
 
 @register("r16_skeleton")
 def r16(spark: SparkSession, d: str) -> DataFrame:
-    return R.skeleton(occupied(spark, d))
+    return R.skeleton(_whole(spark, d))
