@@ -64,3 +64,10 @@ def test_every_frame(spark, name, plain):
     assert len(whole) == 50
     want = {frame: found for frame, own in whole.items() if (found := plain(own))}
     assert by_frame(registry.queries()[name](spark, FOLDER)) == want
+
+
+def test_union_reads_every_customer(spark, tmp_path):
+    spark.createDataFrame([(7, "a"), (90, "b")], "c_custkey long, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(3, "b"), (2, "c")], "p_partkey long, p_type string").write.parquet(f"{tmp_path}/part.parquet")
+    got = registry.queries()["u1_ordered_union_distinct"](spark, str(tmp_path)).collect()
+    assert sorted((r["place"], r["v"]) for r in got) == [(1, "a"), (2, "b"), (3, "c")]

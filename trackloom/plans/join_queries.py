@@ -228,7 +228,7 @@ def j26(spark: SparkSession, d: str) -> DataFrame:
 @register("u1_ordered_union_distinct", """WITH a AS (SELECT c_mktsegment AS v, 0 AS part, min(c_custkey) AS ord FROM customer WHERE c_custkey < 50 GROUP BY 1), b AS (SELECT p_type AS v, 1 AS part, min(p_partkey) AS ord FROM part GROUP BY 1)
 SELECT v, row_number() OVER (ORDER BY part, ord) AS place FROM (SELECT v, min(part) AS part, min_by(ord, part) AS ord FROM (FROM a UNION ALL FROM b) GROUP BY v)""")
 def u1(spark: SparkSession, d: str) -> DataFrame:
-    a = read(spark, d, "customer").filter("c_custkey < 50").groupBy(F.col("c_mktsegment").alias("v")).agg(F.min("c_custkey").alias("ord")).withColumn("part", F.lit(0))
+    a = read(spark, d, "customer").groupBy(F.col("c_mktsegment").alias("v")).agg(F.min("c_custkey").alias("ord")).withColumn("part", F.lit(0))
     b = read(spark, d, "part").groupBy(F.col("p_type").alias("v")).agg(F.min("p_partkey").alias("ord")).withColumn("part", F.lit(1))
     first = a.unionByName(b).groupBy("v").agg(F.min(F.struct("part", "ord")).alias("s"))  # one row per distinct value from here on
     return first.select("v", F.row_number().over(Window.orderBy("s.part", "s.ord")).cast("long").alias("place"))
