@@ -58,6 +58,13 @@ def test_models_on_new_samples(spark):
     assert sum(not r["said"] for r in rows if r["random"]) <= 0.1 * sum(r["random"] for r in rows)
 
 
+def test_every_run_and_uncovered_rest(spark):
+    texts = ["see qXvBzKwRtYpLmNcGhJdF here", "see zQ7xK9vB2wJ4 here", "Zx9QwLm8RtVb0123456789abcdef0Kj6HdQzXv", "an internationalization of responsibilities ------------------------ done"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r["doc_id"]: r["spans"] for r in secrets.report(secrets.scan(df)).collect()}
+    assert rows == {0: "random:4:24", 1: "random:4:16", 2: "random:0:11,hex:11:29,random:29:38", 3: ""}
+
+
 @pytest.mark.skipif(not Path("/root/testdata/sf0.001").exists(), reason="no test tables")
 def test_whole_table(spark):
     path = "/root/testdata/sf0.001/documents.parquet"

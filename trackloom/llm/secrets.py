@@ -22,10 +22,10 @@ KINDS = [("assign", ASSIGN, 12), ("access", ACCESS, 18), ("hex", HEX, 16)]
 
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 N = len(ALPHABET)
-LEAST_TOKEN = 20
+LEAST_TOKEN = 12
 _KEY = "[A-Za-z0-9+/_=-]"
-#: Whole runs of key characters with a digit among them.
-TOKEN = rf"(?<!{_KEY})(?=[A-Za-z+/_=-]*+[0-9])({_KEY}{{{LEAST_TOKEN},}}+)"
+#: Whole runs of key characters, from the shortest value that the base patterns count.
+TOKEN = rf"(?<!{_KEY})({_KEY}{{{LEAST_TOKEN},}}+)"
 
 # Parts of ordinary identifiers.
 PARTS = (
@@ -38,6 +38,25 @@ PARTS = (
     "file filter final first flag folder font footer form format frame function gateway general global graph group handler header "
     "health height hidden history home host hour html icon image import index info initial input insert install internal invoice item"
 ).split()
+# Long words of prose in the four languages of the texts.
+WORDS = (
+    "administration approximately characteristics circumstances communication comprehensive concentration congratulations consciousness consequently considerable "
+    "consideration constitutional construction contemporary contribution conversation demonstrated development disappointment distinguished documentation entertainment "
+    "environmental establishment extraordinary identification immediately implementation independence infrastructure installation institutional intellectual "
+    "international interpretation introduction investigation manufacturing mathematical neighbourhood nevertheless occasionally organization participation particularly "
+    "performance philosophical photographs possibilities professional recommendation relationship representative responsibility revolutionary significantly "
+    "simultaneously specification straightforward sustainability technological transformation transportation understanding unfortunately vulnerability "
+    "abgeschlossen allerdings arbeitnehmer aufmerksamkeit ausgezeichnet beispielsweise bundesrepublik durchschnittlich einschliesslich entscheidung entwicklung "
+    "erfahrungen forschungsergebnisse freundschaft geschwindigkeit gesellschaft gewerkschaften grundsatzlich hauptbahnhof krankenversicherung landwirtschaft "
+    "lebensmittelgeschaft menschlichkeit mitarbeiter nachrichtendienst rechtsanwaltskanzlei schwierigkeiten selbstverstandlich sicherheitsvorkehrungen unabhangigkeit "
+    "unterschiedlich veranstaltung verantwortung verschiedene volkswirtschaft wahrscheinlich weihnachtsgeschichte wissenschaftler zusammenarbeit zwischenzeitlich "
+    "accompagnement administratif apprentissage arrondissement bibliotheque changements communautaire connaissances constamment developpement difficilement "
+    "enseignement essentiellement etablissement fonctionnement gouvernement heureusement immediatement investissements malheureusement naturellement particulierement "
+    "quelquefois renseignements rapidement representants simultanement temperatures traditionnelle universitaires "
+    "acontecimiento administraciones agradecimiento almacenamiento aproximadamente ayuntamiento caracteristicas comportamiento comunicaciones conocimientos "
+    "constantemente correspondiente desarrollador descubrimiento desgraciadamente establecimiento extraordinario funcionamiento independientemente inmediatamente "
+    "internacional investigaciones medioambiental posteriormente procedimientos responsabilidades significativamente trabajadores universidades"
+).split()
 
 
 def samples(spark: SparkSession, n: int = 1000) -> DataFrame:
@@ -46,8 +65,12 @@ def samples(spark: SparkSession, n: int = 1000) -> DataFrame:
     noise = F.unhex(F.sha2(F.col("id").cast("string"), 256))
     plain = F.regexp_replace(F.base64(noise), r"\s", "")
     keys = seeds.select(F.explode(F.array(plain, F.substring(plain, 3, 24), F.regexp_replace(plain, "[+/=]", ""), F.upper(F.regexp_replace(plain, "[+/=]", "")), F.sha2(F.col("id").cast("string"), 256), F.md5(F.col("id").cast("string")))).alias("token"))
-    parts = F.array(*map(F.lit, PARTS))
-    word = lambda k: F.element_at(parts, (F.pmod(F.xxhash64("id", F.lit(k)), F.lit(len(PARTS))) + 1).cast("int"))
+    bare = F.regexp_replace(F.base64(F.concat(noise, F.unhex(F.md5(F.col("id").cast("string"))))), "[^A-Za-z]", "")
+    size = (F.pmod(F.col("id"), F.lit(8)) + LEAST_TOKEN).cast("int")
+    short = [F.regexp_replace(plain, "[+/=]", ""), bare, F.lower(bare), F.upper(bare)]
+    keys = keys.unionByName(seeds.select(F.explode(F.array(bare, F.substring(bare, 3, 24), *[k.substr(F.lit(5), size) for k in short])).alias("token")))
+    any_of = lambda words, k: F.element_at(F.array(*map(F.lit, words)), (F.pmod(F.xxhash64("id", F.lit(k)), F.lit(len(words))) + 1).cast("int"))
+    word, prose = lambda k: any_of(PARTS, k), lambda k: any_of(WORDS, k)
     number = F.pmod(F.xxhash64("id", F.lit(9)), F.lit(3000)).cast("string")
     day = F.date_format(F.date_add(F.lit("2001-01-01").cast("date"), F.pmod(F.col("id"), F.lit(9000)).cast("int")), "yyyy-MM-dd")
     styles = [
@@ -60,6 +83,17 @@ def samples(spark: SparkSession, n: int = 1000) -> DataFrame:
         F.concat_ws("-", day, word(1), word(2)),
         F.concat(word(1), word(2), word(3), number),
         F.concat_ws("-", day, day),
+        F.concat_ws("_", word(4), word(5), word(6)),
+        F.concat_ws("-", word(5), word(6), word(7)),
+        F.concat_ws("/", word(6), word(7), word(8)),
+        F.concat(word(4), F.initcap(word(6)), F.initcap(word(8))),
+        F.upper(F.concat_ws("_", word(5), word(7), word(8))),
+        F.concat(word(7), word(4)),
+        prose(1),
+        F.initcap(prose(2)),
+        F.upper(prose(3)),
+        F.concat_ws("-", prose(4), word(1)),
+        F.repeat(any_of("-=_+/", 5), size),
     ]
     names = seeds.select(F.explode(F.array(*styles)).alias("token"))
     return keys.withColumn("random", F.lit(1)).unionByName(names.withColumn("random", F.lit(0)))
@@ -113,10 +147,29 @@ def _placed(sizes: str) -> Column:
     return F.coalesce(F.when(F.col(sizes).isNotNull(), F.aggregate(F.col(sizes), first, step)["out"]), F.array().cast(_SPANS))
 
 
+_PARTS = "array<struct<start:bigint,end:bigint,value:string,part:boolean,sure:boolean>>"
+
+
+def _uncovered(token: Column, base: Column, sure: Column) -> Column:
+    """The parts of a token that no span of the patterns covers; the whole token where none touches it."""
+    kind = f"struct<at:bigint,out:{_PARTS}>"
+    touching = F.array_sort(F.filter(base, lambda b: (b["start"] < token["end"]) & (token["start"] < b["end"])))
+    ends = F.concat(touching, F.array(F.struct(token["end"].alias("start"), token["end"].alias("end"))))
+
+    def step(acc: Column, b: Column) -> Column:
+        value = token["value"].substr((acc["at"] - token["start"] + 1).cast("int"), (b["start"] - acc["at"]).cast("int"))
+        gap = F.struct(acc["at"].alias("start"), b["start"].alias("end"), value.alias("value"), (b["start"] - acc["at"] < token["end"] - token["start"]).alias("part"), sure.alias("sure"))
+        out = F.when(acc["at"] < b["start"], F.concat(acc["out"], F.array(gap))).otherwise(acc["out"])
+        return F.struct(F.greatest(acc["at"], b["end"]).alias("at"), out.alias("out")).cast(kind)
+
+    first = F.struct(token["start"].alias("at"), F.array().cast(_PARTS).alias("out")).cast(kind)
+    return F.aggregate(ends, first, step)["out"]
+
+
 def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     """doc_id, assign, access, hex, random: the spans of each kind in every text, as arrays of (start, end) in code points, end exclusive.
 
-    random holds the Markov models' finds that touch no span of the patterns. Null texts are empty and hold nothing. Rows that repeat
+    random holds the Markov models' finds without what spans of the patterns cover; a part of 12 characters or more counts by itself as well. Null texts are empty and hold nothing. Rows that repeat
     are scanned as often; other columns are not read. labelled(token, random) replaces the built-in samples.
     """
     known = (samples(docs.sparkSession) if labelled is None else labelled).select("token", F.col("random").cast("int").alias("random")).filter(F.length("token") > 1)
@@ -129,7 +182,8 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     long_enough = lambda kind, least: F.filter(kind, lambda s: F.length(s["value"]) >= least)
     out = out.select("doc_id", "random", *[bare(long_enough(k, least)).alias(k) for k, _, least in KINDS])
     base = F.concat("assign", "access", "hex")
-    likely = F.filter("random", lambda s: (mean_ratio(s["value"], table) > cut) & ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    out = out.withColumn("random", F.flatten(F.transform("random", lambda s: _uncovered(s, base, mean_ratio(s["value"], table) > cut))))
+    likely = F.filter("random", lambda p: p["sure"] | (p["part"] & (F.length(p["value"]) >= LEAST_TOKEN) & (mean_ratio(p["value"], table) > cut)))
     return out.select("doc_id", "assign", "access", "hex", bare(likely).alias("random"))
 
 
