@@ -38,6 +38,21 @@ def test_empty_table(spark):
     assert H.extract_pages(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_deep_nests_and_omitted_ends():
+    weights = H.train([p for p, _ in PAGES if p])
+    deep = "<div><article><p>one</p>" + "<div>" * 210 + "<aside>no</aside><p>two</p>" + "</div>" * 210 + "<p>three</p></article></div>"
+    assert H.extract(deep, weights) == "one\ntwo\nthree"
+    rows = "".join(f"<tr><td>a{i}<td>b{i}" for i in range(300))
+    table = f"<article><table>{rows}<tr><td><aside>no</aside>end</table><dl>{'<dt>t<dd>d' * 300}</dl><nav>no</nav><p>last</p></article>"
+    assert H.extract(table, weights).split() == [w for i in range(300) for w in (f"a{i}", f"b{i}")] + ["end"] + ["t", "d"] * 300 + ["last"]
+    assert H.extract("<article>" + "<div id=x1>" * 30000 + "deep", weights) == "deep"
+    *_, last = H.runs(table.replace("</article>", "").replace("<p>last</p>", "<p>last"))
+    depth, place = 0, last.place
+    while place is not None:
+        depth, place = depth + 1, place.above
+    assert depth == 3
+
+
 def test_best_region():
     for scores in ([], [-1.0], [1, -2, 3, 3, -1, 1, -5, 6], [2, -1, 2], [0, 0]):
         lo, hi = H.best_region(scores)

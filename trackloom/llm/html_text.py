@@ -53,62 +53,121 @@ def names_of(attributes: str) -> tuple[str, ...]:
     return tuple(w for m in _NAMED.finditer(attributes) for w in _PARTS.split((m[1] or m[2] or m[3] or "").lower()) if w)
 
 
+@dataclass(eq=False, slots=True)
+class Place:
+    """An open element, linked to the one around it. `new` are the features that no element around it has."""
+
+    above: Place | None = None
+    tag: str = ""
+    names: tuple[str, ...] = ()
+    new: tuple[str, ...] = ()
+    boiler: bool = False
+    content: bool = False
+    cell: Place | None = None
+    row: Place | None = None
+    item: Place | None = None
+    learnt: tuple[float, float] | None = None
+
+    def features(self) -> Iterator[str]:
+        place: Place | None = self
+        while place is not None:
+            yield from place.new
+            place = place.above
+
+
 @dataclass
 class Run:
-    """Text between two tags, with the features of the elements around it, or a tag."""
+    """Text between two tags, with the elements around it, or a tag."""
 
     tag: str
     text: str
-    features: frozenset[str]
+    place: Place
     block: int
-    boiler: bool
-    content: bool
+
+    @property
+    def boiler(self) -> bool:
+        return self.place.boiler
+
+    @property
+    def content(self) -> bool:
+        return self.place.content
 
 
 def runs(page: str | None) -> Iterator[Run]:
-    """A page's texts and tags in order. Scripts, styles, comments and a tag cut off by the page's end are no tokens."""
+    """A page's texts and tags in order. Scripts, styles, comments and a tag cut off by the page's end are no tokens.
+
+    Every element is followed however deep it lies; counts and links keep the work linear.
+    """
     page = page or ""
-    stack: list[tuple[str, tuple[str, ...]]] = []
-    known: dict[tuple, tuple[frozenset[str], bool, bool]] = {}
+    top = Place()
+    tags: Counter[str] = Counter()
+    around: Counter[str] = Counter()
     block = at = 0
 
-    def around() -> tuple[frozenset[str], bool, bool]:
-        key = tuple(stack)
-        if key not in known:
-            tags = [t for t, _ in stack]
-            first = next((i for i, t in enumerate(tags) if t in CONTENT), len(tags))
-            plain = {t for i, t in enumerate(tags) if t in BOILER and not (t == "header" and i > first)}
-            named = {w for t, n in stack if t not in CONTENT and t not in ("html", "body") for w in n} & BOILER_WORDS
-            known[key] = frozenset([*tags, *(f".{w}" for _, n in stack for w in n)]), bool(plain or named), first < len(tags)
-        return known[key]
+    def own(place: Place) -> set[str]:
+        return {place.tag, *(f".{w}" for w in place.names)}
+
+    def pop() -> Place:
+        nonlocal top
+        gone, top = top, top.above
+        tags[gone.tag] -= 1
+        around.subtract(own(gone))
+        return gone
+
+    def pop_to(place: Place | None) -> None:
+        while place is not None and pop() is not place:
+            pass
+
+    def push(tag: str, names: tuple[str, ...]) -> None:
+        nonlocal top
+        named = tag not in CONTENT and tag not in ("html", "body") and not BOILER_WORDS.isdisjoint(names)
+        plain = tag in BOILER and not (tag == "header" and top.content)
+        made = Place(top, tag, names, (), top.boiler or plain or named, top.content or tag in CONTENT)
+        if tag != "table":
+            made.cell, made.row, made.item = top.cell, top.row, top.item
+        if tag in ("td", "th"):
+            made.cell = made
+        elif tag == "tr":
+            made.row, made.cell = made, None
+        elif tag == "dl":
+            made.item = None
+        elif tag in ("dt", "dd"):
+            made.item = made
+        features = own(made)
+        made.new = tuple(f for f in features if not around[f])
+        around.update(features)
+        tags[tag] += 1
+        top = made
 
     for m in _TAG.finditer(page):
         if m.start() > at:
-            features, boiler, content = around()
-            yield Run("", page[at : m.start()], features, block, boiler, content)
+            yield Run("", page[at : m.start()], top, block)
         at = m.end()
         tag = (m[3] or m[6] or "").lower()
         if not tag or not m[0].endswith(">"):
             continue
         closing, attributes = bool(m[2] or m[5]), m[4] or m[7] or ""
         block += tag in BLOCK
-        features, boiler, content = around()
-        yield Run(("/" if closing else "") + tag, "", features, block, boiler, content)
+        yield Run(("/" if closing else "") + tag, "", top, block)
         if closing:
-            if any(t == tag for t, _ in stack):
-                while stack.pop()[0] != tag:
+            if tags[tag]:
+                while pop().tag != tag:
                     pass
         elif tag not in VOID and not attributes.endswith("/"):
-            if tag in BLOCK and any(t == "p" for t, _ in stack):  # a paragraph ends where the next block starts
-                while stack.pop()[0] != "p":
+            if tag in BLOCK and tags["p"]:  # a paragraph ends where the next block starts
+                while pop().tag != "p":
                     pass
-            if tag == "li" and stack and stack[-1][0] == "li":
-                stack.pop()
-            if len(stack) < 200:
-                stack.append((tag, names_of(attributes)))
+            if tag == "li" and top.tag == "li":
+                pop()
+            elif tag in ("td", "th"):  # cells, rows and terms end where the next one of the same table or list starts
+                pop_to(top.cell)
+            elif tag in ("tr", "tbody", "thead", "tfoot"):
+                pop_to(top.row or top.cell)
+            elif tag in ("dt", "dd"):
+                pop_to(top.item)
+            push(tag, names_of(attributes))
     if at < len(page):
-        features, boiler, content = around()
-        yield Run("", page[at:], features, block, boiler, content)
+        yield Run("", page[at:], top, block)
 
 
 @dataclass
@@ -117,19 +176,25 @@ class Weights:
 
     word: dict[str, float] = field(default_factory=dict)
     tag: dict[str, float] = field(default_factory=dict)
-    known: dict[frozenset[str], float] = field(default_factory=dict, repr=False)
 
-    def __getstate__(self) -> dict:
-        return {"word": self.word, "tag": self.tag, "known": {}}
+    def learnt(self, place: Place) -> tuple[float, float]:
+        """Least and largest weight of the features around a place, kept there; (inf, -inf) where none has one."""
+        todo, at = [], place
+        while at is not None and at.learnt is None:
+            todo.append(at)
+            at = at.above
+        low, high = (math.inf, -math.inf) if at is None else at.learnt
+        for p in reversed(todo):
+            own = [self.word[f] for f in p.new if f in self.word]
+            low, high = min([low, *own]), max([high, *own])
+            p.learnt = low, high
+        return low, high
 
     def of_word(self, run: Run) -> float:
         if run.boiler:  # inside an article it is left out later, and must not cut the article in two
             return 0.0 if run.content else -3.0
-        if run.features not in self.known:
-            learnt = [self.word[f] for f in run.features if f in self.word]
-            low, high = min(learnt, default=0.0), max(learnt, default=0.0)
-            self.known[run.features] = low if low <= -1 and not run.content else max(high, 1.0)
-        return self.known[run.features]
+        low, high = self.learnt(run.place)
+        return low if low <= -1 and not run.content else max(high, 1.0)
 
     def of_tag(self, tag: str) -> float:
         return self.tag.get(tag, -0.5) if tag.lstrip("/") in BLOCK else -0.1
@@ -147,8 +212,9 @@ def train(pages: list[str]) -> Weights:
             if r.tag:
                 tags[inside][r.tag] += 1
             elif n := len(r.text.split()):
-                for f in r.features - CONTENT:
-                    words[inside][f] += n
+                for f in r.place.features():
+                    if f not in CONTENT:
+                        words[inside][f] += n
     ratio = lambda c, k: max(-3.0, min(3.0, math.log((c[1][k] + 1) / (c[0][k] + 1))))
     return Weights({k: max(ratio(words, k), -0.5 if k in PLAIN else -3.0) for k in words[0] | words[1]}, {k: min(-0.1, ratio(tags, k) - 1) / 2 for k in tags[0] | tags[1]})
 
