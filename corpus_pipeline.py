@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trackloom.llm.common import materialize, table
 from trackloom.llm.decontamination import drop_leaking
-from trackloom.llm.exact_dedup import keep_largest
+from trackloom.llm.exact_dedup import keep_each_text
 from trackloom.llm.near_dedup import keep_one
 from trackloom.llm.packing import pack_documents
 from trackloom.llm.queries import tokenizer_path
@@ -22,7 +22,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return keep_largest(docs)
+    return keep_each_text(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -39,6 +39,14 @@ def test_exact(spark, digest):
     assert {str(k) for k in kept} == {w[1] for w in want} - {"None"}
 
 
+def test_exact_keeps_one_row_without_an_id(spark):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    rows = frame(spark, [(None, "alone"), (None, "twice"), (None, "twice"), (None, "named"), (3, "named"), (5, "own"), (None, ""), (None, None)])
+    left = corpus_pipeline.exact_dedup(spark, rows, "")
+    assert left.columns == rows.columns
+    assert sorted((str(r["doc_id"]), r["text"] or "") for r in left.collect()) == [("3", "named"), ("5", "own"), ("None", ""), ("None", "alone"), ("None", "twice")]
+
+
 def test_exact_hot_group_and_empty(spark):
     rows = frame(spark, [(i, "same" if i % 2 else f"own {i}") for i in range(400)])
     assert {(r["keep_id"], r["group_size"]) for r in exact_dedup(rows).filter("group_size > 1").collect()} == {(399, 200)}

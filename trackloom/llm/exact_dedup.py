@@ -69,3 +69,13 @@ def keep_largest(docs: DataFrame, salts: int = 16) -> DataFrame:
     """
     lost = exact_dedup(docs, salts).groupBy("doc_id").agg(F.bool_or("kept").alias("kept")).filter("not kept")
     return without(docs.filter("doc_id is not null"), lost)
+
+
+def keep_each_text(docs: DataFrame, salts: int = 16) -> DataFrame:
+    """keep_largest, and of the texts that only rows without a doc_id have, one row per equal text; same columns."""
+    kept, nameless = keep_largest(docs, salts), docs.filter("doc_id is null")
+    if nameless.isEmpty():
+        return kept
+    alone = exact_dedup(docs, salts).filter("doc_id is null and keep_id is null").select(F.col("text_sha256").alias("__alone")).distinct()
+    one = nameless.withColumn("__t", text_of()).dropDuplicates(["__t"])
+    return kept.unionByName(one.join(alone, sha256_hex(F.col("__t")) == F.col("__alone"), "left_semi").select(*docs.columns))
