@@ -51,6 +51,18 @@ def test_edges(spark):
     assert T.score_documents(docs.limit(0), model).count() == 0
 
 
+def test_long_runs():
+    rows = made(300, 1)
+    model = T.train([r[1] for r in rows], np.array([r[2] for r in rows]))
+    for between in ("\u00a0", "\u3000", "-", "/", "_"):
+        clean = between.join(["mo", "raten", "liver"] * 200)
+        assert (model.score(pa.array([clean, between.join([clean, "stupid", clean])])) >= 0.5).tolist() == [False, True]
+    for n in (1, 40, 41, 59, 60, 61, 2000):
+        run = "".join(chr(0x4E00 + k) for k in range(n))
+        parts = list(T.bags_of(run))
+        assert set("".join(parts)) == set(run) and max(map(len, parts)) <= T.WORD_CHARS
+
+
 def test_no_labels(spark):
     docs = spark.createDataFrame([(1, "stupid")], "doc_id long, text string")
     labels = spark.createDataFrame([(1, None, None)], "doc_id long, quality int, toxic int")

@@ -9,6 +9,7 @@ ones, fit embeddings and softmax on them, pick again.
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -27,12 +28,33 @@ SAMPLE = {1: 1500, 0: 3000}
 _EDGE = " .,;:!?\"'()[]{}<>*#$%&-_/\\|~`^+=«»“”‘’¿¡…"
 
 
+class _Spaced(dict):
+    """Code point -> itself, or a space for white space and punctuation."""
+
+    def __missing__(self, point: int) -> int:
+        self[point] = 32 if unicodedata.category(chr(point))[0] in "PZ" else point
+        return self[point]
+
+
+_SPACED = _Spaced()
+
+
 def bare(word: str) -> str:
-    """A lower-cased word without punctuation at its ends; very long ones by their first and last characters. Empty if it has no letter."""
+    """A lower-cased word without punctuation at its ends. Empty if it has no letter."""
     word = word.strip(_EDGE)
-    if not any(map(str.isalpha, word)):
-        return ""
-    return word if len(word) <= WORD_CHARS else word[: WORD_CHARS // 2] + word[-WORD_CHARS // 2 :]
+    return word if any(map(str.isalpha, word)) else ""
+
+
+def bags_of(run: str) -> Iterator[str]:
+    """The words of a lower-cased run between white space, each a bag. A run of over WORD_CHARS characters is split at punctuation, and a
+    part that is still longer is cut into windows of WORD_CHARS that overlap by half, so that every character is in a bag.
+    """
+    word = bare(run)
+    if len(word) <= WORD_CHARS:
+        parts = [word]
+    else:
+        parts = (part[k : k + WORD_CHARS] for part in map(bare, word.translate(_SPACED).split()) for k in range(0, max(1, len(part) - WORD_CHARS // 2), WORD_CHARS // 2))
+    yield from (p for p in parts if p)
 
 
 def subwords(word: str) -> list[int]:
@@ -67,7 +89,17 @@ class Model:
     def __getstate__(self) -> dict:
         return {"weights": self.weights, "scale": self.scale, "bias": self.bias, "seen": {}}
 
+    def bag(self, word: str) -> float:
+        if word not in self.seen:
+            if len(self.seen) > 600_000:
+                self.seen.clear()
+            self.seen[word] = float(self.weights[subwords(word)].mean())
+        return self.seen[word]
+
     def word(self, raw: str) -> float:
+        """Of a run between white space: its most toxic bag."""
+        if len(raw) > WORD_CHARS:
+            return max(map(self.bag, bags_of(raw)), default=-np.inf)
         if raw not in self.seen:
             if len(self.seen) > 600_000:
                 self.seen.clear()
@@ -77,7 +109,7 @@ class Model:
 
     def score(self, texts: pa.Array) -> np.ndarray:
         """Probability of each text, from its most toxic bag; texts without words get the bias alone."""
-        split = pc.ascii_split_whitespace(pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
+        split = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
         coded = split.flatten().dictionary_encode()
         of_word = np.array([self.word(w) for w in coded.dictionary.to_pylist()] + [-np.inf])
         of_all = np.append(of_word[coded.indices.to_numpy(zero_copy_only=False)], -np.inf)
@@ -95,7 +127,7 @@ def train(texts: list[str], labels: np.ndarray, rounds: int = 14, steps: int = 6
     """
     labels = np.asarray(labels, np.int64)
     words: dict[str, int] = {}
-    docs = [np.unique(np.array([words.setdefault(w, len(words)) for w in {bare(w) for w in t.lower().split()} - {""}], np.int64)) for t in texts]
+    docs = [np.unique(np.array([words.setdefault(w, len(words)) for w in {b for r in t.lower().split() for b in bags_of(r)}], np.int64)) for t in texts]
     full = np.array([len(d) > 0 for d in docs], bool)
     if not (labels[full] == 1).any() or not (labels[full] == 0).any():
         return Model(np.zeros(BUCKETS, np.float32))
