@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trackloom.functions import angles, commands, geometry, scalars
-from trackloom.operators import gates, grids, joins, matching, rasters
+from trackloom.operators import gates, grids, joins, matching, metrics, rasters
 from trackloom.operators import sequences as S
 from trackloom.sources import parsers, publish
 from trackloom.streaming import accumulate
@@ -142,6 +142,38 @@ def test_raster_kernels():
     assert rasters.linked(ends, 2.0, 20.0) == [(0, 1)]
 
 
+def test_filled_polygons_are_polygon_cells(spark):
+    rng = np.random.default_rng(7)
+    shapes = [(k % 3, k, int(rng.integers(0, 4)), np.round(rng.uniform(0, 9, (int(rng.integers(3, 8)), 2)) * 2) / 2) for k in range(60)]
+    rows = [(f, k, layer, i, float(y), float(x)) for f, k, layer, v in shapes for i, (y, x) in enumerate(v)]
+    want: dict = {}
+    for f, _, layer, v in shapes:
+        for r, c in rasters.polygon_cells(v).tolist():
+            want[f, r, c] = max(layer, want.get((f, r, c), 0))
+    df = spark.createDataFrame(rows, "frame long, poly long, layer int, seq int, y double, x double")
+    assert {(r["frame"], r["r"], r["c"]): r["layer"] for r in rasters.filled_polygons(df).collect()} == want
+
+
+def test_around_is_linear(spark):
+    """A quarter of a million rows of one scene: with a frame that reaches ahead this took hours."""
+    n = 250_000
+    rows = spark.range(n).select(F.lit(1).alias("k"), (F.col("id") * 10).alias("t"), F.col("id").alias("v"))
+    got = joins.nearest(rows.select("k", (F.col("t") + 3).alias("t")), rows, ["k"], "t", ["v"], 5)
+    assert got.agg(F.count_if("within"), F.sum("gap")).first() == (n, 3 * n)
+
+
+def test_running_sums_and_quantiles(spark):
+    rng = random.Random(4)
+    for values in ([], [3.0], [1.0, 2.0], [float(rng.randint(0, 50)) for _ in range(501)], [rng.gauss(0, 1) for _ in range(1000)]):
+        df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
+        got = metrics.quantiles(df, "v", {"a": 0.5, "b": 0.93, "c": 1.0, "d": 0.0}).first()
+        want = [float(np.quantile(values, q)) for q in (0.5, 0.93, 1.0, 0.0)] if values else [None] * 4
+        assert list(got) == (want if not values else pytest.approx(want))
+    df = spark.createDataFrame([(float(k), k) for k in range(300)], "v double, n long")
+    up = {r["v"]: r["upto"] for r in metrics.cumulated(df, "v", {"upto": "n"}, 7).collect()}
+    assert up == {float(k): k * (k + 1) // 2 for k in range(300)}
+
+
 def test_holes_and_regions(spark):
     ring = [(0, a, b) for a in range(5) for b in range(5) if a in (0, 4) or b in (0, 4)]
     cells = spark.createDataFrame(ring, "frame long, r int, c int")

@@ -18,13 +18,13 @@ def _events(left: DataFrame, right: DataFrame, keys: list[str], t: str, columns:
 def around(left: DataFrame, right: DataFrame, keys: list[str], t: str, columns: list[str]) -> DataFrame:
     """left with structs before (last right row at or before) and after (first at or after), each of t and columns.
 
-    One shuffle on keys and one sort serve both directions. Right rows should have distinct (keys, t).
+    One shuffle on keys and a sort for each direction. Both directions look back along their own order, because Spark extends such a
+    frame row by row, but computes one that reaches ahead to the end anew for every row. Right rows should have distinct (keys, t).
     """
     both = _events(left, right, keys, t, columns)
-    base = Window.partitionBy(*keys).orderBy("_t")
-    whole_past = base.rangeBetween(Window.unboundedPreceding, 0)
-    whole_future = base.rangeBetween(0, Window.unboundedFollowing)
-    seen = both.select("*", F.last("_r", ignorenulls=True).over(whole_past).alias("before"), F.first("_r", ignorenulls=True).over(whole_future).alias("after"))
+    past, future = (Window.partitionBy(*keys).orderBy(order).rangeBetween(Window.unboundedPreceding, 0) for order in (F.asc("_t"), F.desc("_t")))
+    seen = both.select("*", F.last("_r", ignorenulls=True).over(past).alias("before"))
+    seen = seen.select("*", F.last("_r", ignorenulls=True).over(future).alias("after"))
     return seen.filter("_l is not null").select("_l.*", "before", "after")
 
 

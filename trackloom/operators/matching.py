@@ -92,12 +92,11 @@ def centre_nms(boxes: DataFrame, margin: float = 0.0) -> DataFrame:
 
     def one(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["score", "box"], ascending=[False, True], kind="stable")
-        kept: list[int] = []
         x, y, w, l, cls = (rows[c].to_numpy() for c in ("x", "y", "w", "l", "cls"))
+        stays = np.zeros(len(rows), bool)
         for i in range(len(rows)):
-            if not any(cls[k] == cls[i] and abs(x[k] - x[i]) <= w[k] / 2 + margin and abs(y[k] - y[i]) <= l[k] / 2 + margin for k in kept):
-                kept.append(i)
-        return rows.iloc[kept]
+            stays[i] = not (stays[:i] & (cls[:i] == cls[i]) & (np.abs(x[:i] - x[i]) <= w[:i] / 2 + margin) & (np.abs(y[:i] - y[i]) <= l[:i] / 2 + margin)).any()
+        return rows[stays]
 
     return boxes.groupBy("frame").applyInPandas(one, schema)
 
@@ -144,9 +143,12 @@ def rotated_nms(boxes: DataFrame, iou: float = 0.3, contained: float = 0.7, yaw:
     def one(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["score", "box"], ascending=[False, True], kind="stable")
         shapes = list(zip(rows["x"], rows["y"], rows["l"], rows["w"], rows[yaw], strict=True))
+        x, y, half = rows["x"].to_numpy(), rows["y"].to_numpy(), np.hypot(rows["l"], rows["w"]).to_numpy() / 2
         kept: list[int] = []
         for i, shape in enumerate(shapes):
-            over = (rotated_iou(shape, shapes[k]) for k in kept)
+            before = np.array(kept, np.int64)
+            near = before[np.hypot(x[before] - x[i], y[before] - y[i]) <= half[before] + half[i]]  # no others can overlap
+            over = (rotated_iou(shape, shapes[k]) for k in near.tolist())
             if not any(u >= iou or v >= contained for u, v in over):
                 kept.append(i)
         return rows.iloc[kept]

@@ -8,6 +8,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from trackloom.operators.grids import square
 
@@ -122,15 +123,21 @@ def polygon_cells(points: np.ndarray) -> np.ndarray:
 
 
 def filled_polygons(vertices: DataFrame) -> DataFrame:
-    """frame, r, c, layer of vertices (frame, poly, layer, seq, y, x); where layers overlap, the largest wins."""
-
-    def one(rows: pd.DataFrame) -> pd.DataFrame:
-        best: dict[tuple[int, int], int] = {}
-        for (layer, _), poly in rows.sort_values(["layer", "poly", "seq"]).groupby(["layer", "poly"]):
-            best.update({tuple(p): int(layer) for p in polygon_cells(poly[["y", "x"]].to_numpy()).tolist()})
-        return pd.DataFrame([(rows["frame"].iloc[0], r, c, k) for (r, c), k in best.items()], columns=["frame", "r", "c", "layer"])
-
-    return vertices.groupBy("frame").applyInPandas(one, "frame long, r int, c int, layer int")
+    """frame, r, c, layer of vertices (frame, poly, layer, seq, y, x); where layers overlap, the largest wins.
+
+    Row by row: where a row's middle line crosses the edges, in order, the cells between every other two crossings are inside. This
+    is polygon_cells() as columns; a polygon costs a row per raster row that it spans.
+    """
+    v = vertices.groupBy("frame", "poly", "layer").agg(F.sort_array(F.collect_list(F.struct("seq", "y", "x"))).alias("v"), F.floor(F.min("y")).cast("int").alias("lo"), F.ceil(F.max("y")).cast("int").alias("hi"))
+    edges = F.zip_with("v", F.concat(F.slice("v", F.lit(2), F.size("v")), F.slice("v", 1, 1)), lambda p, q: F.struct(p.alias("p"), q.alias("q")))
+    rows = v.select("frame", "layer", edges.alias("e"), F.explode(F.sequence("lo", "hi")).alias("r")).withColumn("y", F.col("r") + 0.5)
+    crossed = F.filter("e", lambda e: (e["p"]["y"] > F.col("y")) != (e["q"]["y"] > F.col("y")))
+    places = F.array_sort(F.transform(crossed, lambda e: (e["q"]["x"] - e["p"]["x"]) * (F.col("y") - e["p"]["y"]) / (e["q"]["y"] - e["p"]["y"]) + e["p"]["x"]))
+    cut = rows.select("frame", "layer", "r", places.alias("xs")).filter(F.size("xs") > 0)
+    spans = F.transform(F.sequence(F.lit(0), F.size("xs") - 2, F.lit(2)), lambda k: F.struct(F.ceil(F.get("xs", k) - 0.5).cast("int").alias("a"), (F.ceil(F.get("xs", k + 1) - 0.5) - 1).cast("int").alias("z")))
+    inside = cut.select("frame", "layer", "r", F.explode(spans).alias("s")).filter("s.a <= s.z")
+    cells = inside.select("frame", "layer", "r", F.explode(F.sequence("s.a", "s.z")).alias("c"))
+    return cells.groupBy("frame", "r", "c").agg(F.max("layer").alias("layer"))
 
 
 def thinned(mask: np.ndarray) -> np.ndarray:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from trackloom.functions.scalars import first_reason, r6
 from trackloom.operators import gates as G
+from trackloom.operators.metrics import quantiles
 from trackloom.plans.oracle import BOXES, POSE
 from trackloom.plans.registry import register
 from trackloom.sources.parsers import label_lines
@@ -134,8 +135,8 @@ def q21(spark: SparkSession, d: str) -> DataFrame:
 
     e = read(spark, d, "events").select("user_id", F.col("ts").cast("date").alias("day"), micros(F.col("ts")).alias("t"))
     s = e.groupBy("user_id", "day").agg((F.max("t") - F.min("t")).alias("span"))
-    sec = F.col("span") / 1e6
-    return s.agg(F.round(F.percentile(sec, F.lit(0.5)), 4).alias("p50"), F.round(F.percentile(sec, F.lit(0.95)), 4).alias("p95"), F.count_if(F.col("span") > 36000000000).alias("over"))
+    q = quantiles(s.withColumn("sec", F.col("span") / 1e6), "sec", {"p50": 0.5, "p95": 0.95})
+    return q.select(F.round("p50", 4).alias("p50"), F.round("p95", 4).alias("p95")).join(s.agg(F.count_if(F.col("span") > 36000000000).alias("over")))
 
 
 @register("q22_self_holdout", f"WITH {POSE}, h AS (SELECT *, eid % 10 = 0 AS held FROM pose), m AS (SELECT scene, kind, quantile_cont(x, 0.5) FILTER (NOT held) AS med FROM h GROUP BY ALL) SELECT round(avg(abs(x - med)), 5) AS error, count(*) AS n FROM h JOIN m USING (scene, kind) WHERE held AND med IS NOT NULL")
@@ -151,11 +152,32 @@ def q23(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "lineitem").groupBy(F.col("l_returnflag").alias("cls")).agg(F.round(F.percentile(p, F.lit(0.5)), 4).alias("p50"), F.round(F.percentile(p, F.lit(0.99)), 4).alias("p99"), F.count_if(p > 90000).alias("high"))
 
 
-@register("q24_full_read", "SELECT 'documents' AS t, count(*) AS n FROM documents UNION ALL SELECT 'events', count(*) FROM events UNION ALL SELECT 'lineitem', count(*) FROM lineitem")
+#: The columns that a full read has to find, with how to weigh each: characters of texts, microseconds of times, sums of numbers.
+SHAPES = {
+    "documents": {"doc_id": "sum", "text": "chars", "lang": "chars", "source": "chars", "n_chars": "sum"},
+    "events": {"event_id": "sum", "ts": "time", "user_id": "sum", "event_type": "chars", "value": "sum", "props": "chars"},
+    "orders": {"o_orderkey": "sum", "o_custkey": "sum", "o_orderdate": "time", "o_totalprice": "sum"},
+}
+_DUCK_WEIGHT = {"sum": "sum({c})", "chars": "sum(length({c}))", "time": "max(epoch_us({c}))"}
+FULL_READ = " UNION ALL ".join(
+    f"SELECT '{t}' AS t, '{c}' AS name, count(*) AS n, count({c}) AS filled, round(CAST({_DUCK_WEIGHT[how].format(c=c)} AS DOUBLE), 3) AS amount FROM {t}" for t, columns in SHAPES.items() for c, how in columns.items()
+)
+
+
+@register("q24_full_read", FULL_READ)
 def q24(spark: SparkSession, d: str) -> DataFrame:
+    """Every value of the tables is read, in one pass a table; a column that a shape names and the table lacks raises."""
+    from trackloom.sources.tables import micros
+
+    weight = {"sum": F.sum, "chars": lambda c: F.sum(F.length(c)), "time": lambda c: F.max(micros(c))}
     out = None
-    for t in ("documents", "events", "lineitem"):
-        one = read(spark, d, t).agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("t"), "n")
+    for t, columns in SHAPES.items():
+        rows = read(spark, d, t)
+        if missing := columns.keys() - set(rows.columns):
+            raise ValueError(f"{t} lacks {sorted(missing)}")
+        once = rows.agg(F.count(F.lit(1)).alias("n"), *[x for c, how in columns.items() for x in (F.count(c).alias(f"{c}_filled"), F.round(weight[how](F.col(c)).cast("double"), 3).alias(f"{c}_amount"))])
+        said = F.array(*[F.struct(F.lit(c).alias("name"), F.col(f"{c}_filled").alias("filled"), F.col(f"{c}_amount").alias("amount")) for c in columns])
+        one = once.select(F.lit(t).alias("t"), "n", F.inline(said))
         out = one if out is None else out.unionByName(one)
     return out
 

@@ -15,7 +15,7 @@ RC = ["r", "c"]
 CELLS = f"{POINTS}, cells AS (SELECT *, CAST(trunc((x + 20) / 4) AS INT) AS r, CAST(trunc((y + 40) / 4) AS INT) AS c FROM points WHERE trunc((x + 20) / 4) >= 0 AND trunc((y + 40) / 4) >= 0)"
 ORDER = ["AF", "AO", "NF", "NO", "RF", "RO"]
 RANK = "CASE cls " + " ".join(f"WHEN '{k}' THEN {-i}" for i, k in enumerate(ORDER)) + " END"
-OCC = f"{CELLS}, occ AS (SELECT DISTINCT frame, r, c FROM cells WHERE frame < 10)"
+OCC = f"{CELLS}, occ AS (SELECT DISTINCT frame, r, c FROM cells)"
 
 
 def cells(spark: SparkSession, d: str) -> DataFrame:
@@ -23,7 +23,7 @@ def cells(spark: SparkSession, d: str) -> DataFrame:
 
 
 def occupied(spark: SparkSession, d: str) -> DataFrame:
-    return cells(spark, d).filter("frame < 10").select("frame", *RC).distinct()
+    return cells(spark, d).select("frame", *RC).distinct()
 
 
 @register("p12_cell_index", f"WITH {CELLS} SELECT r, c, count(*) AS n FROM cells GROUP BY r, c")
@@ -190,14 +190,16 @@ def r12(spark: SparkSession, d: str) -> DataFrame:
     return G.offsets(doubled, [(0, 0), (0, 1), (1, 0), (1, 1)]).select(*RC, r6("z").alias("z"))
 
 
-@register("r14_neighbour_fill", f"""WITH {CELLS}, m AS (SELECT r, c, cls, min(z) AS z FROM cells WHERE frame = 0 GROUP BY ALL), s AS (SELECT r + CAST(a AS INT) AS r, c + CAST(b AS INT) AS c, cls, z FROM m, range(-1, 2) x(a), range(-1, 2) y(b) WHERE NOT (a = 0 AND b = 0)),
-f AS (SELECT r, c, cls, quantile_cont(z, 0.5) AS z FROM s GROUP BY ALL HAVING count(*) >= 2 AND max(z) - min(z) <= greatest(0.6, 0.08 * quantile_cont(z, 0.5)))
-SELECT r, c, cls, round(z, 6) AS z FROM f WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.r = f.r AND m.c = f.c AND m.cls = f.cls)""")
+@register("r14_neighbour_fill", f"""WITH {CELLS}, m AS (SELECT frame, r, c, cls, min(z) AS z FROM cells GROUP BY ALL), s AS (SELECT frame, r + CAST(a AS INT) AS r, c + CAST(b AS INT) AS c, cls, z FROM m, range(-1, 2) x(a), range(-1, 2) y(b) WHERE NOT (a = 0 AND b = 0)),
+f AS (SELECT frame, r, c, cls, quantile_cont(z, 0.5) AS z FROM s GROUP BY ALL HAVING count(*) >= 2 AND max(z) - min(z) <= greatest(0.6, 0.08 * quantile_cont(z, 0.5)))
+SELECT frame, r, c, cls, round(z, 6) AS z FROM f WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.frame = f.frame AND m.r = f.r AND m.c = f.c AND m.cls = f.cls)""")
 def r14(spark: SparkSession, d: str) -> DataFrame:
-    m = cells(spark, d).filter("frame = 0").groupBy(*RC, "cls").agg(F.min("z").alias("z"))
+    """A cell without a class takes the median of its neighbours that have it, in each frame; a median is over eight values at most."""
+    keys = ["frame", *RC, "cls"]
+    m = cells(spark, d).groupBy(*keys).agg(F.min("z").alias("z"))
     mid = F.percentile("z", F.lit(0.5))
-    near = G.offsets(m, [s for s in G.square(1) if s != (0, 0)]).groupBy(*RC, "cls").agg(mid.alias("mid"), F.count(F.lit(1)).alias("n"), (F.max("z") - F.min("z")).alias("spread"))
-    return near.filter((F.col("n") >= 2) & (F.col("spread") <= F.greatest(F.lit(0.6), 0.08 * F.col("mid")))).join(m, [*RC, "cls"], "left_anti").select(*RC, "cls", r6("mid").alias("z"))
+    near = G.offsets(m, [s for s in G.square(1) if s != (0, 0)]).groupBy(*keys).agg(mid.alias("mid"), F.count(F.lit(1)).alias("n"), (F.max("z") - F.min("z")).alias("spread"))
+    return near.filter((F.col("n") >= 2) & (F.col("spread") <= F.greatest(F.lit(0.6), 0.08 * F.col("mid")))).join(m, keys, "left_anti").select(*keys, r6("mid").alias("z"))
 
 
 @register("r24_known_subtraction", f"WITH {CELLS}, box AS (SELECT DISTINCT frame, r, c FROM cells WHERE cls = 'NF') SELECT cells.frame, cells.r, cells.c, cls, CASE WHEN box.frame IS NOT NULL THEN 'known' WHEN cls LIKE 'R%' AND cells.r < 3 THEN 'free' WHEN cls LIKE 'R%' THEN 'ignore' ELSE 'unknown' END AS label FROM cells LEFT JOIN box USING (frame, r, c)")
@@ -268,8 +270,8 @@ def x6(spark: SparkSession, d: str) -> DataFrame:
     return e.join(nxt, ["frame", "r"]).select("frame", "r", (F.col("lo") - F.col("lo2")).alias("left_off"), (F.col("hi") - F.col("hi2")).alias("right_off"), r6(F.col("n") / F.col("n2")).alias("width_ratio"))
 
 
-@register("x7_tolerant_precision_recall", f"""WITH {OCC}, a AS (SELECT * FROM occ WHERE (r + c) % 4 = 0), b AS (SELECT frame, r, c FROM occ WHERE (r + 2 * c) % 5 = 0), k AS (SELECT CAST(k AS INT) AS k FROM range(0, 3) t(k))
-SELECT k, round((SELECT avg(CASE WHEN EXISTS (SELECT 1 FROM b WHERE b.frame = a.frame AND abs(b.r - a.r) <= k AND abs(b.c - a.c) <= k) THEN 1.0::DOUBLE ELSE 0 END) FROM a), 6) AS precision, round((SELECT avg(CASE WHEN EXISTS (SELECT 1 FROM a WHERE b.frame = a.frame AND abs(b.r - a.r) <= k AND abs(b.c - a.c) <= k) THEN 1.0::DOUBLE ELSE 0 END) FROM b), 6) AS recall FROM k""")
+@register("x7_tolerant_precision_recall", f"""WITH {OCC}, a AS (SELECT * FROM occ WHERE (r + c) % 4 = 0), b AS (SELECT frame, r, c FROM occ WHERE (r + 2 * c) % 5 = 0), k AS (SELECT CAST(k AS INT) AS k FROM range(0, 3) t(k)),
+m AS (SELECT k, round((SELECT avg(CASE WHEN EXISTS (SELECT 1 FROM b WHERE b.frame = a.frame AND abs(b.r - a.r) <= k AND abs(b.c - a.c) <= k) THEN 1.0::DOUBLE ELSE 0 END) FROM a), 6) AS precision, round((SELECT avg(CASE WHEN EXISTS (SELECT 1 FROM a WHERE b.frame = a.frame AND abs(b.r - a.r) <= k AND abs(b.c - a.c) <= k) THEN 1.0::DOUBLE ELSE 0 END) FROM b), 6) AS recall FROM k) SELECT *, round(2 * precision * recall / (precision + recall), 5) AS f1 FROM m""")
 def x7(spark: SparkSession, d: str) -> DataFrame:
     occ = occupied(spark, d)
     a, b = occ.filter("(r + c) % 4 = 0"), occ.filter("(r + 2 * c) % 5 = 0")
@@ -278,14 +280,19 @@ def x7(spark: SparkSession, d: str) -> DataFrame:
         hit = lambda x, y, k=k: x.join(G.dilate(y, ["frame"], k).withColumn("hit", F.lit(1.0)), ["frame", *RC], "left").agg(F.avg(F.coalesce("hit", F.lit(0.0))).alias("v"))
         one = hit(a, b).select(F.lit(k).alias("k"), r6("v").alias("precision")).join(hit(b, a).select(F.lit(k).alias("k"), r6("v").alias("recall")), "k")
         out = one if out is None else out.unionByName(one)
-    return out
+    return out.withColumn("f1", F.round(F.expr("2 * precision * recall / (precision + recall)"), 5))
 
 
-@register("x24_best_shift", f"""WITH {OCC}, a AS (SELECT r, c FROM occ WHERE frame = 0), b AS (SELECT r, c FROM occ WHERE frame = 1), s AS (SELECT CAST(a AS INT) AS dr, CAST(b AS INT) AS dc FROM range(-2, 3) x(a), range(-2, 3) y(b)),
-i AS (SELECT dr, dc, (SELECT count(*) FROM a JOIN b ON b.r = a.r + dr AND b.c = a.c + dc) AS n FROM s) SELECT arg_max(dr, (n, dr, dc)) AS dr, arg_max(dc, (n, dr, dc)) AS dc, max(n) AS n FROM i""")
+@register("x24_best_shift", f"""WITH {OCC}, s AS (SELECT CAST(a AS INT) AS dr, CAST(b AS INT) AS dc FROM range(-2, 3) x(a), range(-2, 3) y(b)), t AS (SELECT frame, count(*) AS total FROM occ GROUP BY frame),
+i AS (SELECT a.frame, dr, dc, count(*) AS n FROM occ a, s, occ b WHERE b.frame = a.frame + 1 AND b.r = a.r + dr AND b.c = a.c + dc GROUP BY ALL),
+u AS (SELECT i.*, round(n / (a.total + b.total - n), 9) AS iou FROM i JOIN t a ON a.frame = i.frame JOIN t b ON b.frame = i.frame + 1) SELECT frame, arg_max(dr, (iou, dr, dc)) AS dr, arg_max(dc, (iou, dr, dc)) AS dc, round(max(iou), 6) AS iou FROM u GROUP BY frame""")
 def x24(spark: SparkSession, d: str) -> DataFrame:
+    """Of each frame and the next one: the integer shift with the largest intersection over union."""
     occ = occupied(spark, d)
-    moved = occ.filter("frame = 0").select("r", "c", F.explode(F.array(*[F.struct(F.lit(a).alias("dr"), F.lit(b).alias("dc")) for a, b in G.square(2)])).alias("s"))
-    moved = moved.select((F.col("r") + F.col("s.dr")).alias("r"), (F.col("c") + F.col("s.dc")).alias("c"), "s.dr", "s.dc")
-    hits = moved.join(occ.filter("frame = 1").select(*RC), RC).groupBy("dr", "dc").agg(F.count(F.lit(1)).alias("n"))
-    return hits.agg(F.max(F.struct("n", "dr", "dc")).alias("b")).select("b.dr", "b.dc", "b.n")
+    moved = occ.select((F.col("frame") + 1).alias("frame"), "r", "c", F.explode(F.array(*[F.struct(F.lit(a).alias("dr"), F.lit(b).alias("dc")) for a, b in G.square(2)])).alias("s"))
+    moved = moved.select("frame", (F.col("r") + F.col("s.dr")).alias("r"), (F.col("c") + F.col("s.dc")).alias("c"), "s.dr", "s.dc")
+    hits = moved.join(occ, ["frame", *RC]).groupBy("frame", "dr", "dc").agg(F.count(F.lit(1)).alias("n"))
+    total = occ.groupBy("frame").agg(F.count(F.lit(1)).alias("total"))
+    hits = hits.join(total, "frame").join(total.select((F.col("frame") + 1).alias("frame"), F.col("total").alias("before")), "frame")
+    hits = hits.withColumn("iou", F.round(F.expr("n / (total + before - n)"), 9))
+    return hits.groupBy((F.col("frame") - 1).alias("frame")).agg(F.max(F.struct("iou", "dr", "dc")).alias("b")).select("frame", "b.dr", "b.dc", r6("b.iou").alias("iou"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trackloom.functions.scalars import bucket, r6
@@ -116,10 +116,10 @@ def j10(spark: SparkSession, d: str) -> DataFrame:
     return kept.filter("n = 3").drop("n")
 
 
-@register("j11_validity_interval", """WITH p AS (SELECT p_partkey AS id, p_partkey * 7 AS a, p_partkey * 7 + p_size AS b FROM part WHERE p_partkey < 400), o AS (SELECT o_orderkey, o_custkey * 3 AS at_ FROM orders)
+@register("j11_validity_interval", """WITH p AS (SELECT p_partkey AS id, p_partkey * 7 AS a, p_partkey * 7 + p_size AS b FROM part), o AS (SELECT o_orderkey, o_custkey * 3 AS at_ FROM orders)
 SELECT o_orderkey, count(id) AS n, CASE count(id) WHEN 1 THEN 'one' WHEN 0 THEN 'none' ELSE 'several' END AS status FROM o LEFT JOIN p ON a <= at_ AND at_ < b GROUP BY o_orderkey""")
 def j11(spark: SparkSession, d: str) -> DataFrame:
-    periods = read(spark, d, "part").filter("p_partkey < 400").select(F.col("p_partkey").alias("id"), (F.col("p_partkey") * 7).alias("a"), (F.col("p_partkey") * 7 + F.col("p_size")).alias("b"))
+    periods = read(spark, d, "part").select(F.col("p_partkey").alias("id"), (F.col("p_partkey") * 7).alias("a"), (F.col("p_partkey") * 7 + F.col("p_size")).alias("b"))
     orders = read(spark, d, "orders").select("o_orderkey", (F.col("o_custkey") * 3).alias("at"))
     hits = J.valid_interval(orders, periods, "at", "a", "b", 64)
     every = orders.select("o_orderkey").join(hits.select("o_orderkey", "id"), "o_orderkey", "left")
@@ -161,16 +161,22 @@ def j15(spark: SparkSession, d: str) -> DataFrame:
     return li.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), F.count_if(close).alias("kept"))
 
 
-PLACES = "place AS (SELECT p_partkey AS id, CAST(p_partkey * 37 % 211 AS DOUBLE) AS x, CAST(p_partkey * p_partkey % 197 AS DOUBLE) AS y FROM part WHERE p_partkey < 1500)"
+#: Every 1500 parts lie on a tile of their own, so that places are as dense on a large table as on a small one.
+TILE = 1500
+PLACES = f"place AS (SELECT p_partkey AS id, CAST(p_partkey * 37 % 211 + 211 * (p_partkey // {TILE}) AS DOUBLE) AS x, CAST(p_partkey * p_partkey % 197 AS DOUBLE) AS y FROM part)"
+
+
+def tiled(key: str, place: str) -> Column:
+    return F.expr(f"cast({place} + 211 * ({key} div {TILE}) as double)")
 
 
 def places(spark: SparkSession, d: str) -> DataFrame:
-    return read(spark, d, "part").filter("p_partkey < 1500").select(F.col("p_partkey").alias("id"), (F.col("p_partkey") * 37 % 211).cast("double").alias("x"), (F.col("p_partkey") * F.col("p_partkey") % 197).cast("double").alias("y"))
+    return read(spark, d, "part").select(F.col("p_partkey").alias("id"), tiled("p_partkey", "p_partkey * 37 % 211").alias("x"), (F.col("p_partkey") * F.col("p_partkey") % 197).cast("double").alias("y"))
 
 
-@register("j16_geometry_in_window", f"WITH {PLACES} SELECT o_orderkey, count(*) AS n FROM (SELECT o_orderkey, CAST(o_custkey % 200 AS DOUBLE) AS cx, CAST(o_orderkey % 190 AS DOUBLE) AS cy FROM orders WHERE o_orderkey % 4 = 0) JOIN place ON abs(x - cx) <= 6 AND abs(y - cy) <= 6 GROUP BY o_orderkey")
+@register("j16_geometry_in_window", f"WITH {PLACES} SELECT o_orderkey, count(*) AS n FROM (SELECT o_orderkey, CAST(o_custkey % 200 + 211 * (o_custkey // {TILE}) AS DOUBLE) AS cx, CAST(o_orderkey % 190 AS DOUBLE) AS cy FROM orders) JOIN place ON abs(x - cx) <= 6 AND abs(y - cy) <= 6 GROUP BY o_orderkey")
 def j16(spark: SparkSession, d: str) -> DataFrame:
-    windows = read(spark, d, "orders").filter("o_orderkey % 4 = 0").select("o_orderkey", (F.col("o_custkey") % 200).cast("double").alias("x"), (F.col("o_orderkey") % 190).cast("double").alias("y"))
+    windows = read(spark, d, "orders").select("o_orderkey", tiled("o_custkey", "o_custkey % 200").alias("x"), (F.col("o_orderkey") % 190).cast("double").alias("y"))
     near = J.neighbours(windows, places(spark, d), [], "x", "y", 8.5)  # 6 * sqrt(2), rounded up: the square's own circle
     return near.filter((F.abs(F.col("x") - F.col("x_b")) <= 6) & (F.abs(F.col("y") - F.col("y_b")) <= 6)).groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("n"))
 
@@ -181,23 +187,29 @@ def j17(spark: SparkSession, d: str) -> DataFrame:
     return J.neighbours(p, p, [], "x", "y", 3.0).filter("id < id_b").select(F.col("id").alias("id_a"), "id_b", r6("distance").alias("distance"))
 
 
-@register("j18_nearest_capped", f"WITH {PLACES}, q AS (SELECT s_suppkey, CAST(s_suppkey * 29 % 240 AS DOUBLE) AS sx, CAST(s_suppkey * 31 % 230 AS DOUBLE) AS sy FROM supplier) SELECT s_suppkey, min_by(id, (sqrt((x - sx) ** 2 + (y - sy) ** 2), id)) AS id, round(min(sqrt((x - sx) ** 2 + (y - sy) ** 2)), 6) AS distance FROM q JOIN place ON sqrt((x - sx) ** 2 + (y - sy) ** 2) <= 30 GROUP BY s_suppkey")
+@register("j18_nearest_capped", f"WITH {PLACES}, q AS (SELECT s_suppkey, CAST(s_suppkey * 29 % 240 + 211 * (s_suppkey // {TILE}) AS DOUBLE) AS sx, CAST(s_suppkey * 31 % 230 AS DOUBLE) AS sy FROM supplier) SELECT s_suppkey, min_by(id, (sqrt((x - sx) ** 2 + (y - sy) ** 2), id)) AS id, round(min(sqrt((x - sx) ** 2 + (y - sy) ** 2)), 6) AS distance FROM q JOIN place ON sqrt((x - sx) ** 2 + (y - sy) ** 2) <= 30 GROUP BY s_suppkey")
 def j18(spark: SparkSession, d: str) -> DataFrame:
-    q = read(spark, d, "supplier").select("s_suppkey", (F.col("s_suppkey") * 29 % 240).cast("double").alias("x"), (F.col("s_suppkey") * 31 % 230).cast("double").alias("y"))
+    q = read(spark, d, "supplier").select("s_suppkey", tiled("s_suppkey", "s_suppkey * 29 % 240").alias("x"), (F.col("s_suppkey") * 31 % 230).cast("double").alias("y"))
     best = J.neighbours(q, places(spark, d), [], "x", "y", 30.0).groupBy("s_suppkey").agg(F.min(F.struct("distance", "id_b")).alias("m"))
     return best.select("s_suppkey", F.col("m.id_b").alias("id"), r6("m.distance").alias("distance"))
 
 
-@register("j19_any_within_radius", f"WITH {PLACES}, q AS (SELECT s_suppkey, CAST(s_suppkey * 29 % 240 AS DOUBLE) AS sx, CAST(s_suppkey * 31 % 230 AS DOUBLE) AS sy FROM supplier) SELECT s_suppkey FROM q WHERE EXISTS (SELECT 1 FROM place WHERE (x - sx) ** 2 + (y - sy) ** 2 <= 4)")
+@register("j19_any_within_radius", f"WITH {PLACES}, q AS (SELECT s_suppkey, CAST(s_suppkey * 29 % 240 + 211 * (s_suppkey // {TILE}) AS DOUBLE) AS sx, CAST(s_suppkey * 31 % 230 AS DOUBLE) AS sy FROM supplier) SELECT s_suppkey FROM q WHERE EXISTS (SELECT 1 FROM place WHERE (x - sx) ** 2 + (y - sy) ** 2 <= 4)")
 def j19(spark: SparkSession, d: str) -> DataFrame:
-    q = read(spark, d, "supplier").select("s_suppkey", (F.col("s_suppkey") * 29 % 240).cast("double").alias("x"), (F.col("s_suppkey") * 31 % 230).cast("double").alias("y"))
+    q = read(spark, d, "supplier").select("s_suppkey", tiled("s_suppkey", "s_suppkey * 29 % 240").alias("x"), (F.col("s_suppkey") * 31 % 230).cast("double").alias("y"))
     return J.neighbours(q, places(spark, d), [], "x", "y", 2.0).select("s_suppkey").distinct()
 
 
-@register("j22_run_join_drift", """SELECT a.doc_id, a.quality, b.toxic, a.quality <> b.toxic AS drift FROM labels a JOIN labels b ON a.doc_id = b.doc_id""")
+@register("j22_run_join_drift", f"""WITH {BOXES}, one AS (SELECT frame, box, cls, avg(x) AS x, max(score) AS yaw FROM boxes WHERE score > 0.2 GROUP BY ALL), two AS (SELECT frame, box, cls, avg(x + (box % 5 - 2) * 0.3::DOUBLE) AS x, max(score + (box % 3) * 0.05::DOUBLE) AS yaw FROM boxes WHERE l > 2 GROUP BY ALL)
+SELECT one.cls, count(*) AS both_runs, count(*) FILTER (abs(one.x - two.x) > 0.5) AS drifted, round(avg(two.yaw - one.yaw), 6) AS turn FROM one JOIN two ON one.frame = two.frame AND one.box = two.box AND one.cls = two.cls GROUP BY one.cls""")
 def j22(spark: SparkSession, d: str) -> DataFrame:
-    la = read(spark, d, "labels")
-    return la.select("doc_id", "quality").join(la.select("doc_id", "toxic"), "doc_id").withColumn("drift", F.col("quality") != F.col("toxic"))
+    """Two runs over the same frames, each with the boxes that it kept and where it put them: what both have, and how much of that moved."""
+    b = boxes(spark, d)
+    keys = ["frame", "box", "cls"]
+    one = b.filter("score > 0.2").groupBy(*keys).agg(F.avg("x").alias("x"), F.max("score").alias("yaw"))
+    two = b.filter("l > 2").groupBy(*keys).agg(F.avg(F.expr("x + (box % 5 - 2) * 0.3d")).alias("x2"), F.max(F.expr("score + (box % 3) * 0.05d")).alias("yaw2"))
+    both = one.join(two, keys)
+    return both.groupBy("cls").agg(F.count(F.lit(1)).alias("both_runs"), F.count_if(F.abs(F.expr("x - x2")) > 0.5).alias("drifted"), r6(F.avg(F.expr("yaw2 - yaw"))).alias("turn"))
 
 
 @register("j24_frame_offsets", f"""WITH {POSE}, f AS (SELECT scene, eid // 20 AS frame, max(x) AS x FROM pose GROUP BY ALL)
@@ -225,7 +237,7 @@ def j26(spark: SparkSession, d: str) -> DataFrame:
     return docs.join(held, "source", "left_anti").join(read(spark, d, "labels").select("doc_id"), "doc_id", "left_semi").select("doc_id", "lang")
 
 
-@register("u1_ordered_union_distinct", """WITH a AS (SELECT c_mktsegment AS v, 0 AS part, min(c_custkey) AS ord FROM customer WHERE c_custkey < 50 GROUP BY 1), b AS (SELECT p_type AS v, 1 AS part, min(p_partkey) AS ord FROM part GROUP BY 1)
+@register("u1_ordered_union_distinct", """WITH a AS (SELECT c_mktsegment AS v, 0 AS part, min(c_custkey) AS ord FROM customer GROUP BY 1), b AS (SELECT p_type AS v, 1 AS part, min(p_partkey) AS ord FROM part GROUP BY 1)
 SELECT v, row_number() OVER (ORDER BY part, ord) AS place FROM (SELECT v, min(part) AS part, min_by(ord, part) AS ord FROM (FROM a UNION ALL FROM b) GROUP BY v)""")
 def u1(spark: SparkSession, d: str) -> DataFrame:
     a = read(spark, d, "customer").groupBy(F.col("c_mktsegment").alias("v")).agg(F.min("c_custkey").alias("ord")).withColumn("part", F.lit(0))

@@ -8,92 +8,147 @@ from pyspark.sql import functions as F
 from trackloom.functions.scalars import r6
 from trackloom.operators import matching as M
 from trackloom.operators import rasters as R
-from trackloom.plans.grid_queries import OCC, RC, cells, occupied
+from trackloom.plans.grid_queries import CELLS, OCC, RC, cells
+from trackloom.plans.oracle import BOXES
 from trackloom.plans.registry import register
 from trackloom.sources.tables import boxes
 
-def framed(spark: SparkSession, d: str, frames: int) -> DataFrame:
-    return boxes(spark, d).withColumn("frame", F.col("frame") % frames)
+#: Orders in a frame: frames hold some 64 boxes, and their number grows with the table.
+ORDERS = 16
+
+
+def framed(spark: SparkSession, d: str) -> DataFrame:
+    return boxes(spark, d).withColumn("frame", F.expr(f"frame div {ORDERS}"))
 
 
 def sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """Predictions and truths: boxes of odd and even numbers, in frames of many orders."""
-    b = framed(spark, d, 600).withColumnRenamed("box", "id")
+    """Predictions and truths: boxes of odd and even numbers."""
+    b = framed(spark, d).withColumnRenamed("box", "id")
     return b.filter("id % 2 = 1"), b.filter("id % 2 = 0")
 
 
-def _register_match(name: str, rule, limit: float) -> None:
+#: In DuckDB a greedy rule is a recursion: step k of a frame looks at its k-th box (side a, in the rule's order) and takes the best of what is left of side b.
+FRAMED = f"{BOXES}, fr AS (SELECT frame // {ORDERS} AS frame, box AS id, cls, score, x, y, w, l FROM boxes)"
+
+
+def greedy(taking: str, order: str, cost: str, fits: str) -> str:
+    """CTEs up to walk(frame, k, used, a, b): box a in turn takes box b, or none. `taking` is the parity of side a."""
+    by = "id, score, x, y, w, l"
+    return f"""WITH RECURSIVE {FRAMED},
+a AS (SELECT *, row_number() OVER (PARTITION BY frame ORDER BY {order}{by}) AS k FROM fr WHERE id % 2 = {taking}),
+o AS (SELECT *, row_number() OVER (PARTITION BY frame ORDER BY {by}) AS j FROM fr WHERE id % 2 <> {taking}),
+c AS (SELECT a.frame, a.k, list(struct_pack(cost := {cost}, j := o.j) ORDER BY {cost}, o.j) AS may FROM a JOIN o ON a.frame = o.frame AND a.cls = o.cls WHERE {fits} GROUP BY a.frame, a.k),
+walk(frame, k, used, j) AS (SELECT frame, 0::BIGINT, []::BIGINT[], NULL::BIGINT FROM (SELECT DISTINCT frame FROM a)
+ UNION ALL SELECT frame, k, CASE WHEN j IS NULL THEN used ELSE list_append(used, j) END, j FROM (SELECT w.frame, w.k + 1 AS k, w.used, list_filter(c.may, lambda m: NOT list_contains(w.used, m.j))[1].j AS j FROM walk w JOIN a ON a.frame = w.frame AND a.k = w.k + 1 LEFT JOIN c ON c.frame = w.frame AND c.k = w.k + 1)),
+hit AS (SELECT w.frame, a.id AS mine, o.id AS other, sqrt((a.x - o.x) ** 2 + (a.y - o.y) ** 2) AS distance, w.j FROM walk w JOIN a ON a.frame = w.frame AND a.k = w.k LEFT JOIN o ON o.frame = w.frame AND o.j = w.j),
+every AS (SELECT frame, mine, other, round(distance, 6) AS distance FROM hit UNION ALL SELECT o.frame, NULL, o.id, NULL FROM o WHERE NOT EXISTS (SELECT 1 FROM hit h WHERE h.frame = o.frame AND h.j = o.j))"""
+
+
+NEAR = "sqrt((a.x - o.x) ** 2 + (a.y - o.y) ** 2)"
+INTER = "greatest(0, least(a.x + a.w, o.x + o.w) - greatest(a.x, o.x)) * greatest(0, least(a.y + a.l, o.y + o.l) - greatest(a.y, o.y))"
+IOU = f"(0 - {INTER} / greatest(a.w * a.l + o.w * o.l - {INTER}, 1e-12::DOUBLE))"
+SAID = "SELECT frame, mine AS pred, other AS truth, distance FROM every"
+RULES = {
+    "j20_match_score_first": (M.score_first, 20.0, greedy("1", "score DESC, ", NEAR, f"{NEAR} < 20") + SAID),
+    "j21_match_truth_first": (M.truth_first, 20.0, greedy("0", "", NEAR, f"{NEAR} < 20") + "SELECT frame, other AS pred, mine AS truth, distance FROM every"),
+    "j27_match_two_runs": (M.run_pairs, 20.0, greedy("1", "", NEAR, f"{NEAR} <= 20") + SAID),
+    "j28_match_overlap": (M.by_overlap, 0.05, greedy("1", "score DESC, ", IOU, f"{IOU} <= -0.05") + SAID),
+    "j29_match_listed_order": (M.listed_order, 20.0, greedy("1", "", NEAR, f"{NEAR} < 20") + SAID),
+}
+
+
+def _register_match(name: str, rule, limit: float, oracle: str) -> None:
     def query(spark: SparkSession, d: str) -> DataFrame:
         found = M.match(*sides(spark, d), rule, limit)
         return found.select("frame", "pred", "truth", r6("distance").alias("distance"))
 
-    register(name)(query)
+    register(name, oracle)(query)
 
 
-for _name, _rule, _limit in (("j20_match_score_first", M.score_first, 20.0), ("j21_match_truth_first", M.truth_first, 20.0), ("j27_match_two_runs", M.run_pairs, 20.0), ("j28_match_overlap", M.by_overlap, 0.05), ("j29_match_listed_order", M.listed_order, 20.0)):
-    _register_match(_name, _rule, _limit)
+for _name, (_rule, _limit, _oracle) in RULES.items():
+    _register_match(_name, _rule, _limit, _oracle)
 
 
-@register("a23_detection_precision_recall")
+@register("a23_detection_precision_recall", greedy("1", "score DESC, ", NEAR, f"{NEAR} < 20") + """, m AS (SELECT e.*, t.x >= 0 AS ahead FROM every e LEFT JOIN (SELECT frame, id, any_value(x) AS x FROM fr GROUP BY frame, id) t ON t.frame = e.frame AND t.id = coalesce(e.other, e.mine))
+SELECT ahead, count(*) FILTER (mine IS NOT NULL AND other IS NOT NULL) AS tp, count(*) FILTER (other IS NULL) AS fp, count(*) FILTER (mine IS NULL) AS fn, round(count(*) FILTER (mine IS NOT NULL AND other IS NOT NULL) / greatest(count(*) FILTER (mine IS NOT NULL), 1), 6) AS precision, round(count(*) FILTER (mine IS NOT NULL AND other IS NOT NULL) / greatest(count(*) FILTER (other IS NOT NULL), 1), 6) AS recall, round(avg(distance), 5) AS error FROM m GROUP BY ahead""")
 def a23_detection(spark: SparkSession, d: str) -> DataFrame:
-    m = M.match(*sides(spark, d), M.score_first, 20.0)
+    """By zone: matched, false and missed boxes of the score-first rule, and the centre error of the matched ones."""
+    pred, truth = sides(spark, d)
+    place = pred.unionByName(truth).groupBy("frame", "id").agg((F.first("x") >= 0).alias("ahead"))  # boxes of one number share x
+    m = M.match(pred, truth, M.score_first, 20.0).withColumn("id", F.coalesce("truth", "pred")).join(place, ["frame", "id"])
     tp, fp, fn = F.count_if(F.expr("pred is not null and truth is not null")), F.count_if(F.expr("truth is null")), F.count_if(F.expr("pred is null"))
-    return m.agg(tp.alias("tp"), fp.alias("fp"), fn.alias("fn"), r6(tp / F.greatest(tp + fp, F.lit(1))).alias("precision"), r6(tp / F.greatest(tp + fn, F.lit(1))).alias("recall"), r6(F.avg("distance")).alias("error"))
+    return m.groupBy("ahead").agg(tp.alias("tp"), fp.alias("fp"), fn.alias("fn"), r6(tp / F.greatest(tp + fp, F.lit(1))).alias("precision"), r6(tp / F.greatest(tp + fn, F.lit(1))).alias("recall"), F.round(F.avg("distance"), 5).alias("error"))
 
 
-@register("t7_centre_nms")
+@register("t7_centre_nms", f"""WITH RECURSIVE {FRAMED}, a AS (SELECT *, row_number() OVER (PARTITION BY frame ORDER BY score DESC, id) AS k FROM fr),
+walk(frame, k, id, kept, stays) AS (SELECT frame, 0::BIGINT, NULL::BIGINT, []::STRUCT(cls VARCHAR, x DOUBLE, y DOUBLE, w DOUBLE, l DOUBLE)[], false FROM (SELECT DISTINCT frame FROM a)
+ UNION ALL SELECT frame, k, id, CASE WHEN stays THEN list_append(kept, own) ELSE kept END, stays FROM (SELECT w.frame, a.k, a.id, w.kept, struct_pack(cls := a.cls, x := a.x, y := a.y, w := a.w, l := a.l) AS own, len(list_filter(w.kept, lambda q: q.cls = a.cls AND abs(q.x - a.x) <= q.w / 2 AND abs(q.y - a.y) <= q.l / 2)) = 0 AS stays FROM walk w JOIN a ON a.frame = w.frame AND a.k = w.k + 1))
+SELECT frame, id AS box FROM walk WHERE stays""")
 def t7(spark: SparkSession, d: str) -> DataFrame:
-    return M.centre_nms(framed(spark, d, 1200)).select("frame", "box")
+    return M.centre_nms(framed(spark, d)).select("frame", "box")
 
 
 @register("t8_rotated_nms")
 def t8(spark: SparkSession, d: str) -> DataFrame:
-    return M.rotated_nms(framed(spark, d, 1200)).select("frame", "box")
-
-
-def _sparse(spark: SparkSession, d: str) -> DataFrame:
-    return occupied(spark, d).filter("(3 * r + 5 * c + frame) % 7 < 3")
+    return M.rotated_nms(framed(spark, d)).select("frame", "box")
 
 
 def _whole(spark: SparkSession, d: str) -> DataFrame:
     return cells(spark, d).select("frame", *RC).distinct()
 
 
-SPARSE = f"{OCC}, sp AS (SELECT * FROM occ WHERE (3 * r + 5 * c + frame) % 7 < 3)"
+def _obstacles(spark: SparkSession, d: str) -> DataFrame:
+    """The cells of one class in every frame: a sparse mask."""
+    return cells(spark, d).filter("cls = 'NF'").select("frame", *RC).distinct()
+
 
+OBSTACLES = f"{CELLS}, sp AS (SELECT DISTINCT frame, r, c FROM cells WHERE cls = 'NF')"
 
-@register("r4_components", f"""WITH RECURSIVE {SPARSE}, walk(frame, r, c, sr, sc) AS (SELECT frame, r, c, r, c FROM sp UNION SELECT w.frame, n.r, n.c, w.sr, w.sc FROM walk w JOIN sp n ON n.frame = w.frame AND abs(n.r - w.r) <= 1 AND abs(n.c - w.c) <= 1),
+
+@register("r4_components", f"""WITH RECURSIVE {OBSTACLES}, walk(frame, r, c, sr, sc) AS (SELECT frame, r, c, r, c FROM sp UNION SELECT w.frame, n.r, n.c, w.sr, w.sc FROM walk w JOIN sp n ON n.frame = w.frame AND abs(n.r - w.r) <= 1 AND abs(n.c - w.c) <= 1),
 k AS (SELECT frame, r, c, count(*) AS n, min(sr * 1000 + sc) AS root FROM walk GROUP BY frame, r, c) SELECT frame, root, count(*) AS n FROM k GROUP BY frame, root HAVING count(*) >= 2""")
 def r4(spark: SparkSession, d: str) -> DataFrame:
-    parts = R.components(_sparse(spark, d), least=2)
+    parts = R.components(_obstacles(spark, d), least=2)
     return parts.groupBy("frame", "part").agg(F.min(F.expr("r * 1000 + c")).alias("root"), F.count(F.lit(1)).alias("n")).drop("part")
 
 
-@register("r5_filled_holes")
+AROUND = "e AS (SELECT frame, min(r) - 1 AS r0, max(r) + 1 AS r1, min(c) - 1 AS c0, max(c) + 1 AS c1 FROM occ GROUP BY frame)"
+
+
+@register("r5_filled_holes", f"""WITH RECURSIVE {OCC}, {AROUND}, free AS (SELECT frame, CAST(i AS INT) AS r, CAST(j AS INT) AS c FROM e, range(-5, 40) a(i), range(-5, 60) b(j) WHERE i BETWEEN r0 AND r1 AND j BETWEEN c0 AND c1 AND NOT EXISTS (SELECT 1 FROM occ o WHERE o.frame = e.frame AND o.r = i AND o.c = j)),
+out(frame, r, c) AS (SELECT frame, r0, c0 FROM e UNION SELECT f.frame, f.r, f.c FROM out o JOIN free f ON f.frame = o.frame AND abs(f.r - o.r) + abs(f.c - o.c) = 1),
+hole AS (SELECT * FROM free EXCEPT SELECT * FROM out),
+walk(frame, r, c, sr, sc) AS (SELECT frame, r, c, r, c FROM hole UNION SELECT w.frame, h.r, h.c, w.sr, w.sc FROM walk w JOIN hole h ON h.frame = w.frame AND abs(h.r - w.r) + abs(h.c - w.c) = 1)
+SELECT frame, r, c FROM occ UNION ALL SELECT frame, sr, sc FROM walk GROUP BY frame, sr, sc HAVING count(*) <= 4""")
 def r5(spark: SparkSession, d: str) -> DataFrame:
     return R.filled_holes(_whole(spark, d), 4)
 
 
-@register("r6_connected_region")
+@register("r6_connected_region", f"""WITH RECURSIVE {OCC}, own(frame, r, c) AS (SELECT frame, r, c FROM occ WHERE r = 3 AND c = 5 UNION SELECT o.frame, o.r, o.c FROM own w JOIN occ o ON o.frame = w.frame AND abs(o.r - w.r) <= 1 AND abs(o.c - w.c) <= 1),
+n AS (SELECT frame, count(*) AS n FROM occ GROUP BY frame), k AS (SELECT frame, count(*) AS k FROM own GROUP BY frame), big AS (SELECT frame FROM n JOIN k USING (frame) WHERE k >= 0.3 * n)
+SELECT frame, r, c FROM own WHERE frame IN (FROM big) UNION ALL SELECT frame, r, c FROM occ WHERE frame NOT IN (FROM big)""")
 def r6_region(spark: SparkSession, d: str) -> DataFrame:
     return R.connected_to(_whole(spark, d), (3, 5), 0.3)
 
 
-@register("r7_distance_field", f"""WITH {SPARSE}, e AS (SELECT frame, min(r) - 2 AS r0, max(r) + 2 AS r1, min(c) - 2 AS c0, max(c) + 2 AS c1 FROM sp GROUP BY frame), g AS (SELECT frame, CAST(i AS INT) AS r, CAST(j AS INT) AS c FROM e, range(-10, 40) a(i), range(-10, 60) b(j) WHERE i BETWEEN r0 AND r1 AND j BETWEEN c0 AND c1)
+@register("r7_distance_field", f"""WITH {OBSTACLES}, e AS (SELECT frame, min(r) - 2 AS r0, max(r) + 2 AS r1, min(c) - 2 AS c0, max(c) + 2 AS c1 FROM sp GROUP BY frame), g AS (SELECT frame, CAST(i AS INT) AS r, CAST(j AS INT) AS c FROM e, range(-10, 40) a(i), range(-10, 60) b(j) WHERE i BETWEEN r0 AND r1 AND j BETWEEN c0 AND c1)
 SELECT g.frame, g.r, g.c, round(sqrt(min((sp.r - g.r) ** 2 + (sp.c - g.c) ** 2)), 6) AS distance FROM g JOIN sp ON sp.frame = g.frame GROUP BY ALL""")
 def r7(spark: SparkSession, d: str) -> DataFrame:
-    return R.distance_field(_sparse(spark, d), 2).select("frame", "r", "c", r6("distance").alias("distance"))
+    return R.distance_field(_obstacles(spark, d), 2).select("frame", "r", "c", r6("distance").alias("distance"))
 
 
-@register("r8_polygon_fill", """WITH q AS (SELECT l_orderkey % 50 AS frame, l_partkey % 30 AS r0, l_suppkey % 40 AS c0, CAST(l_quantity / 10 AS INT) AS unused, l_linenumber AS k FROM lineitem WHERE l_orderkey % 500 = 0),
-cells AS (SELECT frame, CAST(r0 + i AS INT) AS r, CAST(c0 + j AS INT) AS c, CAST(k AS INT) AS layer FROM q, range(0, 8) a(i), range(0, 8) b(j) WHERE i < k + 1 AND j < 3) SELECT frame, r, c, max(layer) AS layer FROM cells GROUP BY frame, r, c""")
+@register("r8_polygon_fill", f"""WITH q AS (SELECT l_orderkey // 64 AS frame, CAST(l_partkey % 30 AS DOUBLE) AS r0, CAST(l_suppkey % 40 AS DOUBLE) AS c0, CAST(l_linenumber AS INT) AS k FROM lineitem),
+p AS (SELECT *, [struct_pack(y := r0, x := c0 + 3), struct_pack(y := r0 + k, x := c0 + 6), struct_pack(y := r0 + 2 * k, x := c0 + 3), struct_pack(y := r0 + k, x := c0)] AS v FROM q),
+g AS (SELECT frame, k, CAST(r0 + i AS INT) AS r, CAST(c0 + j AS INT) AS c, v FROM p, range(0, 15) a(i), range(0, 7) b(j) WHERE i < 2 * k + 1),
+t AS (SELECT frame, r, c, k, list_sum(list_transform(range(1, 5), lambda i: CASE WHEN (v[i].y > r + 0.5) <> (v[i % 4 + 1].y > r + 0.5) AND c + 0.5 < (v[i % 4 + 1].x - v[i].x) * (r + 0.5 - v[i].y) / (v[i % 4 + 1].y - v[i].y) + v[i].x THEN 1 ELSE 0 END)) AS crossed FROM g)
+SELECT frame, r, c, max(k) AS layer FROM t WHERE crossed % 2 = 1 GROUP BY frame, r, c""")
 def r8(spark: SparkSession, d: str) -> DataFrame:
+    """One diamond per line item, higher line numbers on top; 64 orders are a frame."""
     from trackloom.sources.tables import read
 
-    q = read(spark, d, "lineitem").filter("l_orderkey % 500 = 0").select(F.expr("l_orderkey % 50").alias("frame"), F.expr("l_partkey % 30").alias("r0"), F.expr("l_suppkey % 40").alias("c0"), F.col("l_linenumber").alias("k"), F.expr("l_partkey * 1000 + l_suppkey").alias("poly"))
-    corner = F.posexplode(F.expr("array(struct(r0 as y, c0 as x), struct(r0 as y, c0 + 3 as x), struct(r0 + k + 1 as y, c0 + 3 as x), struct(r0 + k + 1 as y, c0 as x))")).alias("seq", "p")
-    v = q.select("frame", "poly", F.col("k").cast("int").alias("layer"), corner).select("frame", "poly", "layer", "seq", F.col("p.y").cast("double").alias("y"), F.col("p.x").cast("double").alias("x"))
-    return R.filled_polygons(v)
+    q = read(spark, d, "lineitem").select(F.expr("l_orderkey div 64").alias("frame"), F.expr("cast(l_partkey % 30 as double)").alias("r0"), F.expr("cast(l_suppkey % 40 as double)").alias("c0"), F.col("l_linenumber").cast("int").alias("layer"), F.monotonically_increasing_id().alias("poly"))
+    corner = F.posexplode(F.expr("array(struct(r0 as y, c0 + 3 as x), struct(r0 + layer as y, c0 + 6 as x), struct(r0 + 2 * layer as y, c0 + 3 as x), struct(r0 + layer as y, c0 as x))")).alias("seq", "p")
+    return R.filled_polygons(q.select("frame", "poly", "layer", corner).select("frame", "poly", "layer", "seq", "p.y", "p.x"))
 
 
 @register("r16_skeleton")

@@ -8,18 +8,19 @@ from pyspark.sql import functions as F
 from trackloom.functions.scalars import band, r6
 from trackloom.operators import grids as G
 from trackloom.operators import metrics as M
+from trackloom.operators.joins import neighbours
 from trackloom.plans.grid_queries import CELLS, OCC, RC, cells, occupied
 from trackloom.plans.metric_queries import SCORED, scored
 from trackloom.plans.oracle import BOXES, POSE
 from trackloom.plans.registry import register
 from trackloom.sources.tables import boxes, pose_track, read
 
-PAIRS = f"{BOXES}, fr AS (SELECT *, frame % 600 AS f FROM boxes), near AS (SELECT t.f, t.box AS truth, t.x AS tx, t.y AS ty, p.box AS pred, p.x - t.x AS dx, p.y - t.y AS dy, sqrt((p.x - t.x) ** 2 + (p.y - t.y) ** 2) AS dist, p.score FROM fr t JOIN fr p ON t.f = p.f AND t.cls = p.cls AND t.box % 2 = 0 AND p.box % 2 = 1)"
+PAIRS = f"{BOXES}, fr AS (SELECT *, frame // 16 AS f FROM boxes), near AS (SELECT t.f, t.box AS truth, t.x AS tx, t.y AS ty, p.box AS pred, p.x - t.x AS dx, p.y - t.y AS dy, sqrt((p.x - t.x) ** 2 + (p.y - t.y) ** 2) AS dist, p.score FROM fr t JOIN fr p ON t.f = p.f AND t.cls = p.cls AND t.box % 2 = 0 AND p.box % 2 = 1)"
 
 
 def pairs(spark: SparkSession, d: str) -> DataFrame:
-    """Truths with all predictions of their frame and class."""
-    b = boxes(spark, d).withColumn("f", F.col("frame") % 600)
+    """Truths with all predictions of their frame and class; 16 orders are a frame, which holds some 64 boxes whatever the table's size."""
+    b = boxes(spark, d).withColumn("f", F.expr("frame div 16"))
     t = b.filter("box % 2 = 0").select("f", "cls", F.col("box").alias("truth"), F.col("x").alias("tx"), F.col("y").alias("ty"))
     p = b.filter("box % 2 = 1").select("f", "cls", F.col("box").alias("pred"), "x", "y", "score")
     both = t.join(p, ["f", "cls"]).withColumn("dx", F.expr("x - tx")).withColumn("dy", F.expr("y - ty"))
@@ -127,26 +128,50 @@ def r30(spark: SparkSession, d: str) -> DataFrame:
     return boxes(spark, d).select("frame", "box", F.round(rx, 5).alias("rx"), F.round(ry, 5).alias("ry"))
 
 
-@register("j23_polyline_match", """WITH v AS (SELECT vec_id, label, list_transform(embedding[1:8], lambda x: x::DOUBLE) AS p FROM embeddings WHERE vec_id < 200),
-dd AS (SELECT a.vec_id AS a, b.vec_id AS b, (SELECT avg(abs(a.p[i] - b.p[i])) FROM range(1, 9) t(i)) AS fwd, (SELECT avg(abs(a.p[i] - b.p[9 - i])) FROM range(1, 9) t(i)) AS rev FROM v a JOIN v b ON a.label = b.label AND a.vec_id < b.vec_id)
-SELECT a, b, round(least(fwd, rev), 5) AS distance FROM dd WHERE least(fwd, rev) < 0.08""")
+POLYLINES = f"""{POSE}, pn AS (SELECT *, row_number() OVER (PARTITION BY scene ORDER BY t, eid) - 1 AS n FROM pose),
+v AS (SELECT scene, n // 4 AS line, list(x ORDER BY n) AS xs, list(y ORDER BY n) AS ys FROM pn GROUP BY scene, n // 4 HAVING count(*) = 4)"""
+_GAP = "list_avg(list_transform(range(1, 5), lambda i: sqrt((a.xs[i] - b.xs[{j}]) ** 2 + (a.ys[i] - b.ys[{j}]) ** 2)))"
+FORWARD, BACKWARD = _GAP.format(j="i"), _GAP.format(j="5 - i")
+
+
+def polylines(spark: SparkSession, d: str) -> DataFrame:
+    """scene, line, p (four points) and their centroid: every four poses of a track are a line."""
+    n = pose_track(spark, d).withColumn("n", F.row_number().over(Window.partitionBy("scene").orderBy("t", "eid")) - 1)
+    v = n.groupBy("scene", F.expr("n div 4").cast("long").alias("line")).agg(F.sort_array(F.collect_list(F.struct("n", "x", "y"))).alias("p"), F.avg("x").alias("x"), F.avg("y").alias("y")).filter(F.size("p") == 4)
+    return v.select("scene", "line", "p", "x", "y")
+
+
+def line_pairs(a: DataFrame, b: DataFrame, limit: float) -> DataFrame:
+    """Pairs of lines of a scene with their mean gap in the same and in the opposite direction.
+
+    The gap of two lines is at least that of their centroids, so only lines whose centroids lie within the limit are compared.
+    """
+    near = neighbours(a, b, ["scene"], "x", "y", limit)
+    mean = lambda q: F.aggregate(F.zip_with("p", q, lambda s, t: F.sqrt((s["x"] - t["x"]) * (s["x"] - t["x"]) + (s["y"] - t["y"]) * (s["y"] - t["y"]))), F.lit(0.0), lambda s, x: s + x) / 4
+    return near.select("scene", F.col("line").alias("a"), F.col("line_b").alias("b"), mean("p_b").alias("fwd"), mean(F.reverse("p_b")).alias("rev"))
+
+
+@register("j23_polyline_match", f"""WITH {POLYLINES}, dd AS (SELECT a.scene, a.line AS a, b.line AS b, least({FORWARD}, {BACKWARD}) AS gap FROM v a JOIN v b ON a.scene = b.scene AND a.line < b.line) SELECT scene, a, b, round(gap, 5) AS distance FROM dd WHERE gap < 30""")
 def j23(spark: SparkSession, d: str) -> DataFrame:
-    """Pairs of one class whose points lie close on average, in either direction of travel."""
-    v = read(spark, d, "embeddings").filter("vec_id < 200").select("vec_id", "label", F.transform(F.slice("embedding", 1, 8), lambda x: x.cast("double")).alias("p"))
-    a, b = v.select("label", F.col("vec_id").alias("a"), F.col("p").alias("pa")), v.select("label", F.col("vec_id").alias("b"), F.col("p").alias("pb"))
-    mean = lambda q: F.aggregate(F.zip_with("pa", q, lambda x, y: F.abs(x - y)), F.lit(0.0), lambda s, x: s + x) / 8
-    both = a.join(b, "label").filter("a < b").select("a", "b", F.least(mean("pb"), mean(F.reverse("pb"))).alias("distance"))
-    return both.filter("distance < 0.08").select("a", "b", F.round("distance", 5).alias("distance"))
+    """Pairs of lines whose points lie close on average, in either direction of travel."""
+    v = polylines(spark, d)
+    return line_pairs(v, v, 30.0).filter("a < b and least(fwd, rev) < 30").select("scene", "a", "b", F.round(F.least("fwd", "rev"), 5).alias("distance"))
 
 
-@register("a30_line_precision_recall", """WITH v AS (SELECT vec_id, label, list_transform(embedding[1:8], lambda x: x::DOUBLE) AS p FROM embeddings WHERE vec_id < 400), m AS (SELECT a.label, a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id % 2 = 0 AND b.vec_id % 2 = 1 AND (SELECT avg(abs(a.p[i] - b.p[i])) FROM range(1, 9) t(i)) < 0.09)
-SELECT v.label, count(DISTINCT m.a) AS matched, count(DISTINCT v.vec_id) FILTER (v.vec_id % 2 = 0) AS said FROM v LEFT JOIN m ON m.a = v.vec_id GROUP BY v.label""")
+@register("a30_line_precision_recall", f"""WITH {POLYLINES}, m AS (SELECT a.scene, a.line AS said, b.line AS truth FROM v a JOIN v b ON a.scene = b.scene AND a.line % 2 = 0 AND b.line % 2 = 1 AND {FORWARD} < 40),
+k AS (SELECT count(*) FILTER (line % 2 = 0) AS said, count(*) FILTER (line % 2 = 1) AS truths FROM v), h AS (SELECT count(DISTINCT (scene, said)) AS hits, count(DISTINCT (scene, truth)) AS found FROM m),
+nx AS (SELECT count(*) AS pairs, count(*) FILTER (EXISTS (SELECT 1 FROM m n WHERE n.scene = m.scene AND n.said = m.said + 2 AND n.truth = m.truth + 2)) AS kept FROM m)
+SELECT said, truths, round(hits / said, 6) AS precision, round(found / truths, 6) AS recall, round(kept / greatest(pairs, 1), 6) AS adjacency FROM k, h, nx""")
 def a30(spark: SparkSession, d: str) -> DataFrame:
-    v = read(spark, d, "embeddings").filter("vec_id < 400").select("vec_id", "label", F.transform(F.slice("embedding", 1, 8), lambda x: x.cast("double")).alias("p"))
-    a, b = v.filter("vec_id % 2 = 0"), v.filter("vec_id % 2 = 1").select("label", F.col("p").alias("q"))
-    mean = F.aggregate(F.zip_with("p", "q", lambda x, y: F.abs(x - y)), F.lit(0.0), lambda s, x: s + x) / 8
-    hits = a.join(b, "label").filter(mean < 0.09).select("vec_id").distinct().withColumn("hit", F.lit(True))
-    return a.join(hits, "vec_id", "left").groupBy("label").agg(F.count_if(F.col("hit").isNotNull()).alias("matched"), F.count(F.lit(1)).alias("said"))
+    """Even lines are said, odd ones true: precision, recall, and how many matches have a match of both lines' successors."""
+    v = polylines(spark, d)
+    m = line_pairs(v.filter("line % 2 = 0"), v.filter("line % 2 = 1"), 40.0).filter("fwd < 40").select("scene", F.col("a").alias("said"), F.col("b").alias("truth"))
+    count = lambda key: m.select("scene", key).distinct().agg(F.count(F.lit(1)).alias("n"))
+    sizes = v.agg(F.count_if(F.expr("line % 2 = 0")).alias("said"), F.count_if(F.expr("line % 2 = 1")).alias("truths"))
+    after = m.select("scene", (F.col("said") - 2).alias("said"), (F.col("truth") - 2).alias("truth"), F.lit(1).alias("next"))
+    kept = m.join(after, ["scene", "said", "truth"], "left").agg((F.count("next") / F.greatest(F.count(F.lit(1)), F.lit(1))).alias("adjacency"))
+    out = sizes.join(count("said").withColumnRenamed("n", "hits")).join(count("truth").withColumnRenamed("n", "found")).join(kept)  # one row each
+    return out.select("said", "truths", r6(F.expr("hits / said")).alias("precision"), r6(F.expr("found / truths")).alias("recall"), r6("adjacency").alias("adjacency"))
 
 
 @register("m5_incremental_repair", "WITH done AS (SELECT doc_id, max(quality) AS q FROM labels GROUP BY doc_id) SELECT d.doc_id, CASE WHEN done.doc_id IS NULL THEN 'new' ELSE 'repair' END AS work FROM documents d LEFT JOIN done USING (doc_id) WHERE done.doc_id IS NULL OR q = 0")

@@ -9,6 +9,7 @@ from trackloom.functions import angles as A
 from trackloom.functions import geometry as G
 from trackloom.functions import scalars as C
 from trackloom.functions.scalars import r6
+from trackloom.operators.joins import neighbours
 from trackloom.plans.oracle import BOXES, POSE
 from trackloom.plans.registry import register
 from trackloom.sources.tables import boxes, micros, pose_track, read
@@ -209,21 +210,32 @@ def json_and_time(spark: SparkSession, d: str) -> DataFrame:
     return e.select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"), micros(F.col("ts")).alias("us"), F.lpad((F.col("event_id") % 1000).cast("string"), 5, "0").alias("padded"))
 
 
-@register("r15_risk_lobes", f"""WITH b AS (SELECT l_partkey % 20 AS bx, l_suppkey % 20 AS by_, l_quantity / 25 AS s FROM lineitem WHERE l_orderkey % 40 = 0), g AS (SELECT bx + i AS r, by_ + j AS c, exp(-(i * i + j * j) / (2 * s * s)) AS v FROM b, range(-3, 4) x(i), range(-3, 4) y(j))
-SELECT r, c, round(least(sum(v), 25), 4) AS risk FROM g GROUP BY r, c""")
+@register("r15_risk_lobes", f"""WITH b AS (SELECT l_orderkey // 64 AS frame, l_partkey % 20 AS bx, l_suppkey % 20 AS by_, l_quantity / 25 AS s, l_returnflag = 'R' AS moving FROM lineitem), g AS (SELECT frame, bx + i AS r, by_ + j AS c, CASE WHEN moving THEN exp(-(i * i + j * j) / (2 * s * s)) ELSE greatest(0, 0.5 - 0.2 * sqrt(i * i + j * j)) END AS v FROM b, range(-3, 4) x(i), range(-3, 4) y(j))
+SELECT frame, r, c, CASE WHEN abs(r - 10) <= 1 AND abs(c - 10) <= 1 THEN 0 ELSE round(least(sum(v), 8), 4) END AS risk FROM g GROUP BY frame, r, c""")
 def r15(spark: SparkSession, d: str) -> DataFrame:
-    b = read(spark, d, "lineitem").filter("l_orderkey % 40 = 0").select((F.col("l_partkey") % 20).alias("bx"), (F.col("l_suppkey") % 20).alias("by"), (F.col("l_quantity") / 25).alias("s"))
+    """Gaussian lobes of moving boxes and a linear falloff of still ones, summed, saturated, and zero around the own vehicle; 64 orders are a frame."""
+    b = read(spark, d, "lineitem").select(F.expr("l_orderkey div 64").alias("frame"), (F.col("l_partkey") % 20).alias("bx"), (F.col("l_suppkey") % 20).alias("by"), (F.col("l_quantity") / 25).alias("s"), (F.col("l_returnflag") == "R").alias("moving"))
     i, j = (F.explode(F.sequence(F.lit(-3).cast("long"), F.lit(3).cast("long"))) for _ in range(2))
-    g = b.withColumn("i", i).withColumn("j", j).select(F.expr("bx + i").alias("r"), F.expr("by + j").alias("c"), F.exp(F.expr("-(i * i + j * j) / (2 * s * s)")).alias("v"))
-    return g.groupBy("r", "c").agg(F.round(F.least(F.sum("v"), F.lit(25.0)), 4).alias("risk"))
+    lobe, falloff = F.exp(F.expr("-(i * i + j * j) / (2 * s * s)")), F.greatest(F.lit(0.0), 0.5 - 0.2 * F.sqrt(F.expr("i * i + j * j")))
+    g = b.withColumn("i", i).withColumn("j", j).select("frame", F.expr("bx + i").alias("r"), F.expr("by + j").alias("c"), F.when(F.col("moving"), lobe).otherwise(falloff).alias("v"))
+    risk = g.groupBy("frame", "r", "c").agg(F.round(F.least(F.sum("v"), F.lit(8.0)), 4).alias("risk"))
+    return risk.withColumn("risk", F.when(F.expr("abs(r - 10) <= 1 and abs(c - 10) <= 1"), 0.0).otherwise(F.col("risk")))
 
 
-@register("r20_adjacency", f"WITH p AS (SELECT p_partkey AS id, p_size AS a, p_size + p_partkey % 7 AS b, p_brand AS chain FROM part WHERE p_partkey < 300) SELECT i.id AS i, j.id AS j FROM p i JOIN p j ON i.id < j.id AND i.chain = j.chain AND (abs(i.b - j.a) < 1 OR abs(i.a - j.b) < 1)")
+LINE_ENDS = """p AS (SELECT p_partkey AS id, p_partkey // 8 AS chain, p_partkey * 37 % 211 + 211 * (p_partkey // 1500) + 0.0::DOUBLE AS x0, p_partkey * p_partkey % 197 + 0.0::DOUBLE AS y0, p_partkey * 37 % 211 + 211 * (p_partkey // 1500) + 0.1::DOUBLE * p_size AS x1, p_partkey * p_partkey % 197 + 0.2::DOUBLE * (p_partkey % 7) AS y1 FROM part)"""
+
+
+@register("r20_adjacency", f"WITH {LINE_ENDS} SELECT i.id AS i, j.id AS j FROM p i JOIN p j ON i.id <> j.id AND ((i.chain = j.chain AND j.id = i.id + 1) OR (i.x1 - j.x0) ** 2 + (i.y1 - j.y0) ** 2 < 1)")
 def r20(spark: SparkSession, d: str) -> DataFrame:
-    p = read(spark, d, "part").filter("p_partkey < 300").select(F.col("p_partkey").alias("id"), F.col("p_size").alias("a"), (F.col("p_size") + F.col("p_partkey") % 7).alias("b"), F.col("p_brand").alias("chain"))
-    i, j = p.alias("i"), p.alias("j")
-    on = (F.col("i.chain") == F.col("j.chain")) & (F.col("i.id") < F.col("j.id")) & ((F.abs(F.expr("i.b - j.a")) < 1) | (F.abs(F.expr("i.a - j.b")) < 1))
-    return i.join(j, on).select(F.col("i.id").alias("i"), F.col("j.id").alias("j"))
+    """Pieces i and j follow each other if j is the next of i's chain, or starts less than a metre from i's end."""
+    k = F.col("p_partkey")
+    x, y = (k * 37 % 211 + 211 * F.expr("p_partkey div 1500")).cast("double"), (k * k % 197).cast("double")
+    p = read(spark, d, "part").select(k.alias("id"), F.expr("p_partkey div 8").alias("chain"), x.alias("x0"), y.alias("y0"), (x + 0.1 * F.col("p_size")).alias("x1"), (y + 0.2 * (k % 7)).alias("y1"))
+    ends = p.select(F.col("id").alias("i"), F.col("x1").alias("x"), F.col("y1").alias("y"))
+    starts = p.select(F.col("id").alias("j"), F.col("x0").alias("x"), F.col("y0").alias("y"))
+    close = neighbours(ends, starts, [], "x", "y", 1.0, "_b").filter("distance < 1 and i <> j_b").select("i", F.col("j_b").alias("j"))
+    after = p.select(F.col("id").alias("i"), "chain", (F.col("id") + 1).alias("j")).join(p.select(F.col("id").alias("j"), "chain"), ["j", "chain"]).select("i", "j")
+    return close.unionByName(after).distinct()
 
 
 @register("r21_similarity_fit", f"WITH {POSE}, m AS (SELECT scene, avg(x) AS mx, avg(y) AS my, avg(t % 97) AS mu, avg(eid % 89) AS mv FROM pose GROUP BY scene) SELECT p.scene, round(atan2(sum((x - mx) * (eid % 89 - mv) - (y - my) * (t % 97 - mu)), sum((x - mx) * (t % 97 - mu) + (y - my) * (eid % 89 - mv))), 5) AS theta FROM pose p JOIN m ON p.scene = m.scene GROUP BY p.scene")
