@@ -53,6 +53,34 @@ def test_deep_nests_and_omitted_ends():
     assert depth == 3
 
 
+BEYOND = "<div><p>" + "word " * 40 + "</p></div>" + "<nav><ul>" + "<li><a>go there now</a></li>" * 9 + "</ul></nav>" + "<div>late note</div><footer>f</footer>"
+
+
+def test_scores_choose_the_region():
+    """Texts that nothing marks as boilerplate go where the tags before them cost more than their words bring."""
+    weights = H.train([f"<nav><ul><li>a b c</li></ul></nav><article><p>{'text here ' * 20}</p></article><footer>f g</footer>"] * 9)
+    assert H.extract(BEYOND, weights).split() == ["word"] * 40
+    assert H.extract(BEYOND, H.Weights()) != H.extract(BEYOND, weights)
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.001").exists(), reason="no test tables")
+def test_marks_are_labels_only():
+    pages = [r["html"] for r in pq.read_table("/root/testdata/sf0.01/pages.parquet").to_pylist()]
+    weights = H.train(pages[:60])
+    for page in pages[60:]:
+        renamed = re.sub(r"(</?)(article|main)\b", r"\1div", page)
+        assert H.extract(renamed, weights) == H.extract(page, weights) == marked(page) != H.extract(page, H.Weights())
+
+
+def test_long_pages_and_deep_nests():
+    weights = H.train([p for p, _ in PAGES if p])
+    for depth in (150, 250):
+        page = "<div><article><p>hello</p>" + "<div>" * depth + "<aside>menu</aside>" + "</div>" * depth + "<p>end</p></article></div>"
+        assert H.extract(page, weights) == "hello\nend"
+    page = "<nav>no</nav><article>" + "<p>a long paragraph of text</p>" * 30000 + "</article>"
+    assert H.extract(page, weights).count("\n") == 29999
+
+
 def test_best_region():
     for scores in ([], [-1.0], [1, -2, 3, 3, -1, 1, -5, 6], [2, -1, 2], [0, 0]):
         lo, hi = H.best_region(scores)

@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,10 +16,12 @@ _OWN_DIR: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares (spark.checkpoint.dir); a temp folder only where none is set, as in tests."""
+    """The folder that the cluster shares (spark.checkpoint.dir); a temp folder only where none is set and the master is local."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
     key = spark.sparkContext.applicationId
     if key not in _OWN_DIR:
         _OWN_DIR[key] = "file://" + tempfile.mkdtemp(prefix="trackloom-")
@@ -41,6 +44,32 @@ def drop_table(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+class Tables:
+    """The tables of one call of an operator: write() is materialize(), done() removes them all but its result's."""
+
+    def __init__(self) -> None:
+        self.made: list[DataFrame] = []
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        self.made.append(materialize(df, name))
+        return self.made[-1]
+
+    def done(self, result: DataFrame, name: str) -> DataFrame:
+        out = materialize(result, name)
+        for made in self.made:
+            drop_table(made)
+        self.made.clear()
+        return out
+
+
+def unused(name: str, df: DataFrame) -> str:
+    """name, with underscores before it until no column of df is called so, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -49,43 +78,119 @@ def text_of(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 
 
+#: About as many bytes of texts a batch of map_rows() has; a longer text is a batch of its own.
+BATCH_BYTES = 4 << 20
+
+
+def cut(batch: pa.RecordBatch, records: int, most_bytes: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of at most so many rows and about so many bytes of strings, with buffers of their own."""
+    sizes = np.zeros(batch.num_rows, np.int64)
+    for column in batch.columns:
+        if pa.types.is_string(column.type) or pa.types.is_binary(column.type) or pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type):
+            sizes += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    upto, at = np.cumsum(sizes), 0
+    while at < batch.num_rows:
+        room = (upto[at - 1] if at else 0) + most_bytes
+        end = min(max(at + 1, int(np.searchsorted(upto, room, "right"))), at + records, batch.num_rows)
+        if at == 0 and end == batch.num_rows:
+            yield batch
+        else:  # take() copies; some kernels misread the offset of a slice
+            yield batch.take(pa.array(np.arange(at, end)))
+        at = end
+
+
 def map_rows(df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, records: int = 256) -> DataFrame:
-    """mapInArrow; rows must hold no more than a batch at once. Batches are small because single texts may be long."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(records))
-    return df.mapInArrow(rows, schema)
+    """mapInArrow; rows must hold no more than a batch at once. Spark bounds its batches in bytes; they are cut further here, because single
+    texts may be long."""
+    return df.mapInArrow(lambda batches: rows(part for b in batches for part in cut(b, records)), schema)
 
 
 _BITS = 1 << 25
 
 
+def bloom(ids: DataFrame, column: str) -> DataFrame:
+    """A one-hash Bloom filter of a long column: (slot, bits), at most 1024 rows of 4 KB whatever the number of ids, so it may be broadcast."""
+    return ids.select(_place(F.col(column)).alias("s")).groupBy((F.col("s") / 32768).cast("long").alias("slot")).agg(F.expr("bitmap_construct_agg(s % 32768)").alias("bits"))
+
+
+def _place(c: Column) -> Column:
+    return F.pmod(F.xxhash64(c, F.lit(11)), F.lit(_BITS))
+
+
+def flagged(docs: DataFrame, ids: DataFrame, column: str, hit: str, tables: Tables) -> DataFrame:
+    """docs with a boolean column `hit`: false only where ids(column) surely lacks the row's doc_id, so that most texts need no shuffle."""
+    place, slot, bits = unused("__place", docs), unused("__slot", docs), unused("__bits", docs)
+    sieve = tables.write(bloom(ids, column), "bloom").select(F.col("slot").alias(slot), F.col("bits").alias(bits))
+    marked = docs.withColumn(place, _place(F.col("doc_id"))).withColumn(slot, (F.col(place) / 32768).cast("long")).join(F.broadcast(sieve), slot, "left")
+    bit = F.expr(f"shiftright(cast(conv(hex(substring({bits}, cast(({place} % 32768) div 8 as int) + 1, 1)), 16, 10) as int), cast({place} % 8 as int)) & 1")
+    return marked.select(*[docs_column(c) for c in docs.columns], F.coalesce(F.col("doc_id").isNotNull() & (bit == 1), F.lit(False)).alias(hit))
+
+
+def docs_column(name: str) -> Column:
+    """A column by its whole name, dots and spaces in it included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """docs without the rows whose doc_id is in gone(doc_id); rows without an id stay; same columns.
 
-    A one-hash Bloom filter of the gone ids, at most 1024 rows of 4 KB whatever their number, is broadcast first, so that only rows
-    which may go are shuffled, and most texts are not.
+    Only rows that a Bloom filter of the gone ids lets through are shuffled, and most texts are not. The two tables that it reads
+    (ids, and the filter) stay in the shared folder, because the result is not computed here.
     """
-    gone = materialize(gone.select(F.col("doc_id").alias("__gone")).filter("__gone is not null").distinct(), "gone")
-    place = lambda c: F.pmod(F.xxhash64(c, F.lit(11)), F.lit(_BITS))
-    bits = gone.select(place("__gone").alias("s")).groupBy((F.col("s") / 32768).cast("long").alias("__slot")).agg(F.expr("bitmap_construct_agg(s % 32768)").alias("__bits"))
-    marked = docs.withColumn("__s", place("doc_id")).withColumn("__slot", (F.col("__s") / 32768).cast("long")).join(F.broadcast(materialize(bits, "gone-filter")), "__slot", "left")
-    bit = F.expr("shiftright(cast(conv(hex(substring(__bits, cast((__s % 32768) div 8 as int) + 1, 1)), 16, 10) as int), cast(__s % 8 as int)) & 1")
-    marked = marked.withColumn("__hit", F.coalesce(F.col("doc_id").isNotNull() & (bit == 1), F.lit(False)))
-    own = marked.filter("__hit").select(*docs.columns)
-    return marked.filter("not __hit").select(*docs.columns).unionByName(own.join(gone, own["doc_id"] == gone["__gone"], "left_anti"))
+    key, hit = unused("__gone", docs), unused("__hit", docs)
+    gone = materialize(gone.select(F.col("doc_id").alias(key)).filter(F.col(key).isNotNull()).distinct(), "gone")
+    marked = flagged(docs, gone, key, hit, Tables())
+    columns = [docs_column(c) for c in docs.columns]
+    own = marked.filter(hit).select(*columns)
+    return marked.filter(~F.col(hit)).select(*columns).unionByName(own.join(gone, F.col("doc_id") == F.col(key), "left_anti"))
 
 
+#: A key with this share of all rows or more is hot. There are at most 1 / HOT_SHARE such keys, which bounds their broadcast.
+HOT_SHARE = 1 / 1000
 
-class WordHashes(dict):
-    """word (bytes) -> 64-bit hash; bounded, and refilled when full."""
 
-    LIMIT = 400_000
+def join_skewed(rows: DataFrame, value: DataFrame, keys: list[str], total: int) -> DataFrame:
+    """rows joined with value(*keys, n, ...) on keys, n being how many of `total` rows have the key; n is left out.
+
+    Rows of hot keys meet a broadcast where they are, all others are shuffled, so that no key fills a task.
+    """
+    limit = max(64, int(total * HOT_SHARE))
+    hot, cold = value.filter(F.col("n") >= limit).drop("n"), value.filter(F.col("n") < limit).drop("n")
+    here = rows.join(F.broadcast(hot), keys)
+    there = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(cold, keys)
+    return here.unionByName(there)
 
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
 
-        if len(self) >= self.LIMIT:
+class Recent(dict):
+    """A cache in two generations of at most LIMIT short keys: when the young one is full it becomes the old one, so what is asked for
+    again and again stays, and neither grows beyond that or, if that is more, one batch."""
+
+    LIMIT, LONGEST = 100_000, 48
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.old: dict = {}
+
+    def keep_all(self, new: dict) -> None:
+        if len(self) + len(new) > self.LIMIT:
+            self.old = dict(self)
             self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        self.update((k, v) for k, v in new.items() if len(k) <= self.LONGEST)
+
+
+class WordHashes(Recent):
+    """word (bytes) -> 64-bit hash."""
+
+    def __missing__(self, word: bytes) -> int:
+        h = self.old.get(word)
+        if h is None:
+            import xxhash
+
+            h = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= self.LONGEST:
+            if len(self) >= self.LIMIT:
+                self.keep_all({word: h})
+            self[word] = h
         return h
 
 

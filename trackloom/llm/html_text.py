@@ -1,8 +1,11 @@
 """Main text of web pages by maximum-scoring subsequence.
 
-A page is a sequence of words and tags. Words score by the elements around them, tags by their kind and always below zero; the
-weights are log ratios counted on labelled pages. One linear scan finds the contiguous region with the largest sum. What lies in
-boilerplate elements inside that region is left out. Pages are labelled where they mark their article themselves.
+A page is a sequence of texts and of the tags between them. Words score by what the elements around them are called, the tags
+between two texts by their kind and always below zero; both weights are log ratios counted on labelled pages. One linear scan
+finds the contiguous region with the largest sum. Inside it, texts whose words score as boilerplate are left out.
+
+Pages label themselves where they mark their article (<article> or <main>); extraction doesn't look at these marks. Names that
+labelled pages show too seldom weigh what their usual meaning says (BOILER and BOILER_WORDS).
 """
 
 from __future__ import annotations
@@ -20,8 +23,12 @@ from pyspark.sql import functions as F
 
 from trackloom.llm.common import map_rows
 
-#: Bound of the training sample: at most so many labelled pages, by a hash of their ids, each with at most so many characters.
-SAMPLE_PAGES, SAMPLE_CHARS = 1000, 50_000
+#: Bounds of the training sample: so many labelled pages, by a hash of their ids, and so many names of elements, the commonest.
+SAMPLE_PAGES, SAMPLE_NAMES = 1000, 20_000
+#: A name that labelled pages show around fewer words than this has no weight of its own.
+LEAST_WORDS = 20
+#: Words that score this or less are boilerplate. So far it may count against a region in a word, and in a text.
+BOILER_SCORE, WORD_SHARE, TEXT_LOSS = -1.0, 0.05, -1.0
 
 # Elements by their role in a page.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -55,7 +62,8 @@ def names_of(attributes: str) -> tuple[str, ...]:
 
 @dataclass(eq=False, slots=True)
 class Place:
-    """An open element, linked to the one around it. `new` are the features that no element around it has."""
+    """An open element, linked to the one around it. `new` are the features that no element around it has. content and boiler say
+    whether a page marks it as article or as something else; they are labels."""
 
     above: Place | None = None
     tag: str = ""
@@ -105,7 +113,9 @@ def runs(page: str | None) -> Iterator[Run]:
     block = at = 0
 
     def own(place: Place) -> set[str]:
-        return {place.tag, *(f".{w}" for w in place.names)}
+        #: A header at the page's top is the site's; one further in is that of what it stands in.
+        tag = "page>header" if place.tag == "header" and (place.above is None or place.above.tag in ("", "html", "body")) else place.tag
+        return {tag, *(f".{w}" for w in place.names)}
 
     def pop() -> Place:
         nonlocal top
@@ -190,33 +200,43 @@ class Weights:
             p.learnt = low, high
         return low, high
 
-    def of_word(self, run: Run) -> float:
-        if run.boiler:  # inside an article it is left out later, and must not cut the article in two
-            return 0.0 if run.content else -3.0
-        low, high = self.learnt(run.place)
-        return low if low <= -1 and not run.content else max(high, 1.0)
+    def of_word(self, place: Place) -> float:
+        low, high = self.learnt(place)
+        return low if low <= BOILER_SCORE else max(high, 1.0)
 
     def of_tag(self, tag: str) -> float:
-        return self.tag.get(tag, -0.5) if tag.lstrip("/") in BLOCK else -0.1
+        return self.tag.get(tag, -0.25) if tag.lstrip("/") in BLOCK else -0.1
 
 
-def train(pages: list[str]) -> Weights:
-    """Count words and tags inside and outside the articles that pages mark. Pages without one are not labelled."""
-    words, tags = (Counter(), Counter()), (Counter(), Counter())
-    for page in pages:
-        own = list(runs(page))
-        if not any(r.content for r in own):
-            continue
+def counted(page: str | None) -> tuple[Counter[tuple[str, bool]], Counter[tuple[str, bool]]]:
+    """(words by feature, tags by kind) inside and outside the article that a page marks; nothing of a page that marks none."""
+    words, tags = Counter(), Counter()
+    own = list(runs(page))
+    if any(r.content for r in own):
         for r in own:
             inside = r.content and not r.boiler
             if r.tag:
-                tags[inside][r.tag] += 1
+                tags[r.tag, inside] += 1
             elif n := len(r.text.split()):
-                for f in r.place.features():
-                    if f not in CONTENT:
-                        words[inside][f] += n
-    ratio = lambda c, k: max(-3.0, min(3.0, math.log((c[1][k] + 1) / (c[0][k] + 1))))
-    return Weights({k: max(ratio(words, k), -0.5 if k in PLAIN else -3.0) for k in words[0] | words[1]}, {k: min(-0.1, ratio(tags, k) - 1) / 2 for k in tags[0] | tags[1]})
+                words.update({(f, inside): n for f in r.place.features() if f not in CONTENT})
+    return words, tags
+
+
+def weighed(words: Counter[tuple[str, bool]], tags: Counter[tuple[str, bool]]) -> Weights:
+    """Weights from counts over labelled pages, and usual meanings where there are too few."""
+    ratio = lambda c, k: max(-3.0, min(3.0, math.log((c[k, True] + 1) / (c[k, False] + 1))))
+    usual = {t: -3.0 for t in BOILER - {"header"}} | {f".{w}": -3.0 for w in BOILER_WORDS} | {"page>header": -3.0}
+    seen = {f for f, _ in words if words[f, True] + words[f, False] >= LEAST_WORDS}
+    return Weights(usual | {f: max(ratio(words, f), -0.5 if f in PLAIN else -3.0) for f in seen}, {t: max(min(-0.1, ratio(tags, t) - 1) / 4, -0.25 if t.lstrip("/") in PLAIN else -1.0) for t, _ in tags})
+
+
+def train(pages: list[str]) -> Weights:
+    """Weights from the pages that mark an article."""
+    words, tags = Counter(), Counter()
+    for page in pages:
+        for total, own in zip((words, tags), counted(page), strict=True):
+            total.update(own)
+    return weighed(words, tags)
 
 
 def best_region(scores: list[float]) -> tuple[int, int]:
@@ -234,40 +254,60 @@ def best_region(scores: list[float]) -> tuple[int, int]:
 def extract(page: str | None, weights: Weights) -> str:
     """The main text: blocks in page order joined by a line feed, white space inside a block collapsed, references decoded."""
     own = list(runs(page))
-    articles = any(r.content for r in own)
-    scores = []
-    for r in own:
+    scores, words = [], [0.0] * len(own)
+    between = 0.0  # the lowest score of the tags since the last text: a nest of tags is one boundary, however deep
+    for k, r in enumerate(own):
         if r.tag:
-            scores.append(0.0 if r.content and articles else weights.of_tag(r.tag))
+            less = min(between, weights.of_tag(r.tag))
+            scores.append(less - between)
+            between = less
+        elif n := len(r.text.split()):
+            words[k] = w = weights.of_word(r.place)
+            scores.append(max(TEXT_LOSS, WORD_SHARE * w * n) if w <= BOILER_SCORE else w * n)
+            between = 0.0
         else:
-            n = len(r.text.split())
-            w = weights.of_word(r)
-            scores.append(n * (min(w, -0.5) if articles and not r.content else w))
+            scores.append(0.0)
     lo, hi = best_region(scores)
     blocks: dict[int, list[str]] = {}
-    for r in own[lo:hi]:
-        if r.tag == "br":
+    for k in range(lo, hi):
+        r = own[k]
+        if r.tag == "br" or (not r.tag and not words[k]):
             blocks.setdefault(r.block, []).append(" ")
-        elif not r.tag and not r.boiler and (r.content or not articles):
+        elif not r.tag and words[k] > BOILER_SCORE:
             blocks.setdefault(r.block, []).append(r.text)
     lines = (" ".join(html.unescape("".join(parts)).split()) for parts in blocks.values())
     return "\n".join(line for line in lines if line)
 
 
-def labelled_pages(pages: DataFrame, most: int = SAMPLE_PAGES) -> list[str]:
-    """A bounded sample of the pages that mark an article, alike whatever the table's size."""
-    marked = pages.select("page_id", F.substring("html", 1, SAMPLE_CHARS).alias("html")).filter(F.col("html").rlike("(?i)<(article|main)\\b"))
-    ids = pages.select("page_id").filter("page_id is not null").orderBy(F.xxhash64("page_id", F.lit(29)), "page_id").limit(most)
-    return [r["html"] for r in marked.join(F.broadcast(ids), "page_id", "left_semi").orderBy("page_id").collect()]
+def learn(pages: DataFrame, most: int = SAMPLE_PAGES) -> Weights:
+    """Weights from a bounded sample of the pages that mark an article, alike whatever the table's size.
+
+    The sample's pages are counted where they lie; the driver gets their element names' counts alone.
+    """
+    marked = pages.select("page_id", "html").filter(F.col("page_id").isNotNull() & F.col("html").rlike("(?i)<(article|main)\\b"))
+    ids = marked.select("page_id").distinct().orderBy(F.xxhash64("page_id", F.lit(29)), "page_id").limit(most)
+    sample = pages.select("page_id", "html").join(F.broadcast(ids), "page_id", "left_semi")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [(kind, f, inside, n) for page in b.column(1).to_pylist() for kind, own in enumerate(counted(page)) for (f, inside), n in own.items()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int32(), pa.string(), pa.bool_(), pa.int64()))], names=["kind", "name", "inside", "n"])
+
+    counts = map_rows(sample, run, "kind int, name string, inside boolean, n long", 128).groupBy("kind", "name", "inside").agg(F.sum("n").alias("n"))
+    words, tags = Counter(), Counter()
+    for kind, name, inside, n in counts.orderBy(F.desc("n"), "kind", "name", "inside").limit(SAMPLE_NAMES).collect():
+        (tags if kind else words)[name, inside] = n
+    return weighed(words, tags)
 
 
 def extract_pages(pages: DataFrame, weights: Weights | None = None) -> DataFrame:
     """page_id, url, text, n_chars of every row of pages(page_id, url, html, ...).
 
     Null or empty pages, and pages without content, have an empty text. Rows that repeat are extracted as often; a null page_id or url
-    is passed on. Other columns are not read.
+    is passed on. Very long pages are read whole, however deep their elements nest. Of regions with equal sums the first and shortest
+    is taken. Other columns are not read; an empty table gives an empty result.
     """
-    weights = train(labelled_pages(pages)) if weights is None else weights
+    weights = learn(pages) if weights is None else weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
