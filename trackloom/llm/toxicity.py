@@ -10,9 +10,8 @@ ones, fit embeddings and softmax on them, pick again.
 from __future__ import annotations
 
 import unicodedata
-import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -20,9 +19,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import map_rows, text_of
+from trackloom.llm.common import map_rows, mix, text_of
 
-BUCKETS, DIM, SHORTEST, LONGEST, WORD_CHARS = 1 << 16, 8, 3, 5, 40
+BUCKETS, DIM, SHORTEST, LONGEST, WORD_CHARS = 1 << 16, 8, 3, 6, 40
+_ODD = np.array([pow(0x9E3779B97F4A7C15, 2 * i + 1, 1 << 64) for i in range(WORD_CHARS + 4)], np.uint64)
 #: Bound of the training sample: at most so many labelled texts of either class, by a hash of their ids.
 SAMPLE = {1: 1500, 0: 3000}
 _EDGE = " .,;:!?\"'()[]{}<>*#$%&-_/\\|~`^+=«»“”‘’¿¡…"
@@ -57,10 +57,29 @@ def bags_of(run: str) -> Iterator[str]:
     yield from (p for p in parts if p)
 
 
-def subwords(word: str) -> list[int]:
-    marked = f"<{word}>"
-    grams = {marked[i : i + n] for n in range(SHORTEST, LONGEST + 1) for i in range(len(marked) - n + 1)} | {marked}
-    return sorted(zlib.crc32(g.encode("utf-8", "replace")) % BUCKETS for g in grams)
+def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets, how many of them each word has): of all n-grams of every word between its marks, word by word, and of the word itself.
+
+    The hash of a stretch is a sum of its code points by odd factors, so numpy makes those of all words at once.
+    """
+    if not words:
+        return np.empty(0, np.int32), np.empty(0, np.int64)
+    codes = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    ends = np.cumsum(sizes)
+    own, place = np.repeat(np.arange(len(words)), sizes), np.arange(len(codes))
+    left = np.repeat(ends, sizes) - place
+    factors = _ODD[np.minimum(place - np.repeat(ends - sizes, sizes), len(_ODD) - 1)]
+    found, owner = [mix(np.add.reduceat(codes * factors, ends - sizes))], [np.arange(len(words))]
+    sums = np.zeros(len(codes), np.uint64)
+    for n in range(1, LONGEST + 1):
+        sums[: len(codes) - n + 1] += codes[n - 1 :] * _ODD[n]
+        if n >= SHORTEST:
+            at = np.flatnonzero(left >= n)
+            found.append(mix(sums[at] + np.uint64(n)))
+            owner.append(own[at])
+    owner, found = np.concatenate(owner), (np.concatenate(found) % np.uint64(BUCKETS)).astype(np.int32)
+    return found[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(words))
 
 
 def misspelt(word: str, rng: np.random.Generator) -> str:
@@ -84,35 +103,32 @@ class Model:
     weights: np.ndarray
     scale: float = 1.0
     bias: float = -4.0
-    seen: dict[str, float] = field(default_factory=dict, repr=False)
-
-    def __getstate__(self) -> dict:
-        return {"weights": self.weights, "scale": self.scale, "bias": self.bias, "seen": {}}
-
-    def bag(self, word: str) -> float:
-        if word not in self.seen:
-            if len(self.seen) > 600_000:
-                self.seen.clear()
-            self.seen[word] = float(self.weights[subwords(word)].mean())
-        return self.seen[word]
-
-    def word(self, raw: str) -> float:
-        """Of a run between white space: its most toxic bag."""
-        if len(raw) > WORD_CHARS:
-            return max(map(self.bag, bags_of(raw)), default=-np.inf)
-        if raw not in self.seen:
-            if len(self.seen) > 600_000:
-                self.seen.clear()
-            word = bare(raw)
-            self.seen[raw] = float(self.weights[subwords(word)].mean()) if word else -np.inf
-        return self.seen[raw]
+
+    def bags(self, words: list[str], at_once: int = 20_000) -> np.ndarray:
+        """Mean weight of each bag."""
+        out = np.empty(len(words))
+        for lo in range(0, len(words), at_once):
+            buckets, sizes = subwords(words[lo : lo + at_once])
+            out[lo : lo + at_once] = np.add.reduceat(self.weights[buckets], np.cumsum(sizes) - sizes, dtype=np.float64) / sizes
+        return out
+
+    def runs(self, runs: pa.Array) -> np.ndarray:
+        """Of each lower-cased run between white space, its most toxic bag; -inf where it has no letter."""
+        words = pc.utf8_trim(runs, characters=_EDGE)
+        out = np.full(len(runs), -np.inf)
+        short = pc.less_equal(pc.utf8_length(words), WORD_CHARS).to_numpy(zero_copy_only=False)
+        lettered = pc.match_substring_regex(words, r"\p{L}").to_numpy(zero_copy_only=False)
+        at = np.flatnonzero(short & lettered)
+        out[at] = self.bags(words.take(pa.array(at)).to_pylist())
+        for k in np.flatnonzero(~short & lettered).tolist():
+            out[k] = max(self.bags(list(bags_of(runs[k].as_py()))), default=-np.inf)
+        return out
 
     def score(self, texts: pa.Array) -> np.ndarray:
-        """Probability of each text, from its most toxic bag; texts without words get the bias alone."""
+        """Probability of each text, from its most toxic bag; texts without words get the bias alone. Each distinct run is looked at once."""
         split = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
         coded = split.flatten().dictionary_encode()
-        of_word = np.array([self.word(w) for w in coded.dictionary.to_pylist()] + [-np.inf])
-        of_all = np.append(of_word[coded.indices.to_numpy(zero_copy_only=False)], -np.inf)
+        of_all = np.append(np.append(self.runs(coded.dictionary), -np.inf)[coded.indices.to_numpy(zero_copy_only=False)], -np.inf)
         offsets = split.offsets.to_numpy() - split.offsets[0].as_py()
         best = np.maximum.reduceat(of_all, np.minimum(offsets[:-1], len(of_all) - 1)) if len(texts) else np.empty(0)
         best[offsets[1:] == offsets[:-1]] = -np.inf
@@ -132,9 +148,9 @@ def train(texts: list[str], labels: np.ndarray, rounds: int = 14, steps: int = 6
     if not (labels[full] == 1).any() or not (labels[full] == 0).any():
         return Model(np.zeros(BUCKETS, np.float32))
     names = list(words)
-    grams = [np.array(subwords(w), np.int32) for w in names]
-    sizes = np.array([len(g) for g in grams])
-    flat, starts = np.concatenate(grams), np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    made = [subwords(names[lo : lo + 20_000]) for lo in range(0, len(names), 20_000)]
+    flat, sizes = (np.concatenate(part) for part in zip(*made, strict=True))
+    starts = np.cumsum(sizes) - sizes
     y, member = labels[full], [d for d, f in zip(docs, full, strict=True) if f]
     bags = np.concatenate(member)
     bounds = np.concatenate([[0], np.cumsum([len(d) for d in member])])
@@ -166,10 +182,9 @@ def train(texts: list[str], labels: np.ndarray, rounds: int = 14, steps: int = 6
         index, first = _gather(flat, starts, sizes, picked)
         count = sizes[picked]
         again = np.concatenate([np.flatnonzero(target == 1), np.flatnonzero(target == 0)[::3]])
-        noisy = [np.array(subwords(misspelt(names[w], rng)), np.int32) for w in picked[again]]
-        noisy_count = np.array([len(g) for g in noisy])
+        noisy, noisy_count = subwords([misspelt(names[w], rng) for w in picked[again]])
         first = np.concatenate([first, len(index) + np.cumsum(noisy_count) - noisy_count])
-        index, count, target = np.concatenate([index, *noisy]), np.concatenate([count, noisy_count]), np.concatenate([target, target[again]])
+        index, count, target = np.concatenate([index, noisy]), np.concatenate([count, noisy_count]), np.concatenate([target, target[again]])
         weight = np.where(target == 1, 0.5 / max(1, (target == 1).sum()), 0.5 / max(1, (target == 0).sum()))
         for _ in range(steps):
             step += 1
@@ -226,7 +241,7 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, score, predicted of every row.
 
     Null and empty texts get the model's prior, below 0.5. Rows that repeat are scored alike; null ids keep their row and
-    are not held out; other columns are not read.
+    are not held out; other columns are not read. Very long texts are scored whole: their most toxic bag counts wherever it stands.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,7 +253,11 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def reject_toxic(docs: DataFrame, model: Model) -> DataFrame:
-    """docs without the rows that the model calls toxic; same columns."""
+    """docs without the rows that the model calls toxic; same columns, whatever their names.
+
+    Null and empty texts stay, and so do rows without a doc_id that aren't toxic. Rows that repeat go or stay together; an empty
+    table stays empty. Very long texts are scored whole.
+    """
     column = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
