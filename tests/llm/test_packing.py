@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -12,7 +13,8 @@ public_tokenizers = pytest.importorskip("public_tokenizers")
 from trackloom.llm import packing, token_output  # noqa: E402
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
-TEXTS = ["", None, "a", "Á était 'S don't Σας İx <|endoftext|> 12ab ***'s ﬁ ½ á ...'re\x85z q\x1c", "The end. " * 900, "word " * 37, *[f"Number {i}, " * (i % 90) for i in range(150)]]
+SF = "/root/testdata/sf0.001/documents.parquet"
+TEXTS = ["", None, "a <|endoftext|> b", "Á était 'S don't Σας İx <|endoftext|> 12ab ***'s ﬁ ½ á ...'re\x85z q\x1c", "The end. " * 900, "word " * 37, *[f"Number {i}, " * (i % 90) for i in range(150)]]
 
 
 @pytest.fixture(scope="module")
@@ -25,7 +27,6 @@ def expected(text):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     return np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 2], np.uint32)
 
 
@@ -46,6 +47,53 @@ def test_packing(docs):
     assert rows["sequence_id"].nunique() <= used / 256 * 1.1 + rows["sequence_id"].floordiv(1 << 32).nunique()
 
 
+def test_special_tokens_and_sliced_batches():
+    import pyarrow as pa
+
+    from trackloom.llm.common import cut
+    from trackloom.llm.tokens import WordTokens
+
+    texts = ["a <|endoftext|> b", "x<|startoftext|>y <|ENDOFTEXT|> Σας<|endoftext|><|endoftext|>", "  <|endoftext|>", "<|endoftext", "plain", "é ü <|endoftext|>. 'S", None] * 9
+    table = WordTokens(PATH)
+    table.LIMIT = 3  # nothing is lost when the cache is full
+    for part in cut(pa.RecordBatch.from_arrays([pa.array(texts)], names=["t"]).slice(1), 4):
+        for text, ids in zip(part.column(0).to_pylist(), table.texts(part.column(0)), strict=True):
+            assert ids.tolist() == expected(text).tolist(), text
+    assert expected(texts[0]).tolist() == [320, 49407, 321, 2]
+    parts = list(cut(pa.RecordBatch.from_arrays([pa.array(["x" * 50] * 7 + [None, "y" * 500, "z"])], names=["t"]), 4, 120))
+    assert [p.num_rows for p in parts] == [2, 2, 2, 2, 1, 1] and sum((p.column(0).to_pylist() for p in parts), []) == ["x" * 50] * 7 + [None, "y" * 500, "z"]
+
+
+def test_one_id_fills_no_group(spark):
+    rows = spark.createDataFrame([(None, "same text here")] * 300 + [(5, "word " * 9000)], "doc_id long, text string")
+    packed = packing.pack_documents(rows, PATH, limit=64, group_chars=6000).toPandas()
+    group = packed["sequence_id"].floordiv(1 << 32)
+    for own in (group[packed["doc_id"].isna()], group[packed["doc_id"] == 5]):
+        assert len(own) > 100 and own.value_counts().max() < 0.5 * len(own) and own.nunique() > 4
+
+
+@pytest.mark.skipif(not Path(SF).exists(), reason="no test tables")
+def test_whole_table(spark):
+    docs = spark.read.parquet(SF)
+    want = {r["doc_id"]: expected(r["text"]) for r in docs.collect()}
+    pieces: dict = {}
+    for r in packing.pack_documents(docs, PATH).collect():
+        pieces.setdefault(r["doc_id"], []).append(r)
+    assert pieces.keys() == want.keys()
+    for doc_id, own in pieces.items():
+        ids, at = want[doc_id], 0
+        for r in sorted(own, key=lambda r: r["start"]):
+            assert r["start"] == at and r["ids_crc32"] == zlib.crc32(ids[at : at + r["length"]].tobytes()) and r["doc_tokens"] == len(ids)
+            at += r["length"]
+        assert at == len(ids)
+    found: dict = {}
+    for r in token_output.pack_matrices(docs, PATH).collect():
+        ids = np.frombuffer(r["ids"], "<u2")
+        for d, start, lo, hi in zip(r["doc_ids"], r["doc_starts"], r["cu_seqlens"], r["cu_seqlens"][1:], strict=False):
+            found.setdefault(d, {})[start] = ids[lo:hi]
+    assert {d: np.concatenate([p for _, p in sorted(parts.items())]).tolist() for d, parts in found.items()} == {d: ids.tolist() for d, ids in want.items()}
+
+
 def test_first_fit_is_first_fit():
     rng = np.random.default_rng(3)
     for n in (0, 1, 2, 7, 200):

@@ -1,8 +1,9 @@
 """First-fit-decreasing packing over a tournament tree of bin capacities, in randomised groups of documents.
 
 Documents are tokenised where they are read; only their pieces (ids, lengths, checksums; no tokens) are dealt to
-groups by a hash of the document id, so that groups are alike in size whatever the sources. A group is one task's work
-and holds about GROUP_CHARS characters; the number of groups grows with the corpus.
+groups by a hash of their place in the table, piece by piece, so that groups are alike in size whatever the sources, however long a
+document is, and however many rows share an id or have none. A group is one task's work and holds about GROUP_CHARS characters;
+the number of groups grows with the corpus.
 """
 
 from __future__ import annotations
@@ -39,7 +40,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, limit: int = SEQUENCE) -> Data
                     out.append((doc_id, lo, len(part), zlib.crc32(part.astype("<u4").tobytes()), len(ids)))
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
-    return map_rows(docs.select("doc_id", text_of()), run, PIECES, 1024)
+    return map_rows(docs.select("doc_id", text_of()), run, PIECES, 512)
 
 
 def first_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -68,7 +69,8 @@ def first_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray
 
 
 def pack_pieces(pieces: DataFrame, groups: int, limit: int = SEQUENCE, seed: int = 7) -> DataFrame:
-    """pieces with sequence_id and offset. Sequence ids are unique over all groups."""
+    """pieces with sequence_id and offset. Sequence ids are unique over all groups. A piece's group depends on its place in its
+    partition, which a task that runs again finds anew."""
 
     def pack(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(["length", "doc_id", "start", "ids_crc32"], ascending=[False, True, True, True], kind="stable", ignore_index=True)
@@ -77,15 +79,16 @@ def pack_pieces(pieces: DataFrame, groups: int, limit: int = SEQUENCE, seed: int
         part["offset"] = offsets
         return part
 
-    dealt = pieces.withColumn("group", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(groups)))
+    dealt = pieces.withColumn("group", F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(seed)), F.lit(groups)))
     return dealt.groupBy("group").applyInPandas(pack, PIECES + ", sequence_id long, offset long")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, limit: int = SEQUENCE, group_chars: int = GROUP_CHARS) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset of every piece of every document.
 
-    A null text is an empty one. Repeated rows are packed as often as they occur; a null doc_id is packed too. Other
-    columns are not read. An empty table gives an empty result.
+    A null text is an empty one. Repeated rows are packed as often as they occur; a null doc_id is packed too. Very long texts are
+    cut at multiples of limit. Of equally long pieces of a group the one with the smaller doc_id, start and checksum goes
+    first. Other columns are not read. An empty table gives an empty result.
     """
     chars = docs.agg(F.sum(F.length(text_of()))).first()[0] or 0
     return pack_pieces(token_pieces(docs, tokenizer, limit), max(1, -(-chars // group_chars)), limit)

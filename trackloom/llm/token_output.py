@@ -1,8 +1,8 @@
 """Token-ID output: best-fit-decreasing packing with a segment tree over capacities, as fixed-width id matrices.
 
 Documents are tokenised where they are read and cut at multiples of the sequence length, so overlong ones lose nothing. Their
-pieces, with ids in the narrowest unsigned type that holds the vocabulary, are dealt to groups by a hash of the document id; a
-group is one task's work and one matrix.
+pieces, with ids in the narrowest unsigned type that holds the vocabulary, are dealt to groups by a hash of their place in the table,
+piece by piece, so that no id, and no document however long, fills a group. A group is one task's work and one matrix.
 """
 
 from __future__ import annotations
@@ -117,7 +117,7 @@ def pack_matrices(docs: DataFrame, tokenizer: str, limit: int = LENGTH, group_ch
             out.append((group * (1 << 32) + int(bins[own[0]]), int(ends[-1]), ids + np.full(limit - int(ends[-1]), PAD_ID, kind).tobytes(), [0, *ends.tolist()], (ends - sizes).tolist(), [None if pd.isna(i) else int(i) for i in part["doc_id"].iloc[own]], part["start"].iloc[own].tolist()))
         return pd.DataFrame(out, columns=["sequence_id", "n_tokens", "ids", "cu_seqlens", "position_resets", "doc_ids", "doc_starts"])
 
-    dealt = _pieces(docs, tokenizer, limit, kind).withColumn("group", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(groups)))
+    dealt = _pieces(docs, tokenizer, limit, kind).withColumn("group", F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(seed)), F.lit(groups)))
     return dealt.groupBy("group").applyInPandas(pack, MATRIX)
 
 

@@ -1,18 +1,22 @@
 """Token ids of whole texts with a public word-level BPE file, with every word's ids computed once per worker.
 
 The file's normaliser and splitter never look across ASCII white space, so a text's ids are those of its white-space
-separated words, one after another. The strings of special tokens inside a text are ordinary text.
+separated words, one after another. The strings of special tokens inside a text are those tokens, as the tokenizer
+reads them; what lies between them is split into words.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import unicodedata
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from trackloom.llm.common import Recent
+
 END_ID = 2
 _TAILS = b".,;:!?*#$%&()-"
 
@@ -24,10 +28,10 @@ def _values(array: pa.LargeStringArray) -> list[bytes]:
     return [raw[lo:hi] for lo, hi in zip(at[:-1], at[1:], strict=True)]
 
 
-class WordTokens(dict):
-    """Lower-cased word (bytes) -> its ids as little-endian uint32 bytes; bounded, and refilled when full."""
+class WordTokens(Recent):
+    """Lower-cased word (bytes) -> its ids as little-endian uint32 bytes."""
 
-    LIMIT = 900_000
+    LIMIT = 150_000
 
     def __init__(self, path: str) -> None:
         super().__init__()
@@ -35,11 +39,13 @@ class WordTokens(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = True  # texts() takes special tokens out first, and lower-casing must not make new ones
         vocab = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self.cores: dict[bytes, bytes] = {}
+        special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special}
+        self.special = {t: np.array([i], np.uint32) for t, i in special.items()}
+        self.split = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
 
     def _encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
@@ -58,40 +64,52 @@ class WordTokens(dict):
             core = low.encode()
         return core, word[len(letters.encode()) :]
 
-    def fill(self, words: list[bytes]) -> None:
-        """Encode the words not seen before, the plain ones many at a time."""
-        todo = [w for w in words if w not in self]
-        if len(self) + len(todo) > self.LIMIT:
-            self.clear()
-            self.cores.clear()
-            todo = words
-        split = [self._core(w) for w in todo]
-        new = list({both[0] for both in split if both} - self.cores.keys())
-        for lo in range(0, len(new), 4000):
-            part = new[lo : lo + 4000]
-            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, np.uint32)
-            cuts = [0, *((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()]
-            if len(cuts) != len(part) + 1:  # not one run of letters each after all
-                self.cores.update((w, self._encode(w.decode())) for w in part)
+    def ids_of(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each of these distinct words; those not seen lately are encoded, the plain ones many at a time."""
+        out = list(map(self.get, words))
+        todo = [k for k, ids in enumerate(out) if ids is None]
+        new: dict[bytes, bytes] = {}
+        fresh, old = [], self.old.get
+        for k in todo:
+            if (ids := old(words[k])) is None:
+                fresh.append(k)
             else:
-                raw = ids.tobytes()
-                self.cores.update((w, raw[cuts[i] : cuts[i + 1]]) for i, w in enumerate(part))
-        for w, both in zip(todo, split, strict=True):
-            if both:
-                core, tail = both
-                if tail and tail not in self.cores:
-                    self.cores[tail] = self._encode(tail.decode())
-                self[w] = self.cores[core] + (self.cores[tail] if tail else b"")
-            else:
-                self[w] = self._encode(w.decode())
+                new[words[k]] = out[k] = ids
+        split = [self._core(words[k]) for k in fresh]
+        cores = {both[0] for both in split if both}
+        parts = {part: self.get(part) or old(part) for part in cores | {both[1] for both in split if both and both[1]}}
+        plain = [p for p in cores if parts[p] is None]
+        for lo in range(0, len(plain), 4000):
+            some = plain[lo : lo + 4000]
+            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0].ids, np.uint32)
+            cuts = [0, *((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()]
+            raw = ids.tobytes()
+            if len(cuts) == len(some) + 1:  # one run of letters each
+                parts.update((w, raw[cuts[i] : cuts[i + 1]]) for i, w in enumerate(some))
+        parts |= {part: self._encode(part.decode()) for part, ids in parts.items() if ids is None}
+        for k, both in zip(fresh, split, strict=True):
+            out[k] = self._encode(words[k].decode()) if not both else parts[both[0]] + parts[both[1]] if both[1] else parts[both[0]]
+            new[words[k]] = out[k]
+        self.keep_all(parts | new)
+        return out
 
     def texts(self, texts: pa.Array) -> list[np.ndarray]:
-        """Ids of each text with the end id after them. Arrow splits the words and numbers the distinct ones of the batch."""
-        split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
+        """Ids of each text with the end id after them, as the tokenizer gives them: the strings of special tokens are those tokens."""
+        texts, end = pc.fill_null(texts.cast(pa.large_string()), ""), np.array([END_ID], np.uint32)
+        out = self._plain(texts)
+        if self.split:
+            rows = np.flatnonzero(pc.match_substring_regex(texts, self.split.pattern).to_numpy(zero_copy_only=False))
+            for k in rows.tolist():
+                parts = self.split.split(texts[k].as_py())
+                between = iter(self._plain(pa.array(parts[::2], pa.large_string())))
+                out[k] = np.concatenate([self.special[p] if i % 2 else next(between) for i, p in enumerate(parts)])
+        return [np.concatenate([ids, end]) for ids in out]
+
+    def _plain(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of texts that hold no special token. Arrow splits the words and numbers the distinct ones of the batch."""
+        split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
         coded = split.flatten().dictionary_encode()
-        words = _values(coded.dictionary)
-        self.fill(words)
-        ids = [self[w] for w in words]
+        ids = self.ids_of(_values(coded.dictionary))
         lens = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         starts = np.cumsum(lens) - lens
         flat = np.frombuffer(b"".join(ids), np.uint32)
@@ -101,8 +119,7 @@ class WordTokens(dict):
         out = flat[np.repeat(starts[at] - (ends - n), n) + np.arange(ends[-1] if len(n) else 0)]
         offsets = split.offsets.to_numpy()
         cuts = np.concatenate([[0], ends])[offsets - offsets[0]]
-        end = np.array([END_ID], np.uint32)
-        return [np.concatenate([out[cuts[i] : cuts[i + 1]], end]) for i in range(len(texts))]
+        return [out[cuts[i] : cuts[i + 1]] for i in range(len(texts))]
 
 
 _OPEN: dict[str, WordTokens] = {}
