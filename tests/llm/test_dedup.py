@@ -135,6 +135,52 @@ def test_near_repeats_nulls_and_empty(spark):
     assert kept == ["11", "4", "None"]
 
 
+CLASHES = ["gone", "__gone", "__hit", "__s", "__slot", "__bits", "__place", "slot", "hit", "n", "g", "node", "a b", "x.y", "kept"]
+
+
+def test_clashing_names(spark):
+    text = " ".join(map(str, range(30)))
+    schema = "doc_id long, text string, " + ", ".join(f"`{c}` string" for c in CLASHES)
+    docs = spark.createDataFrame([(i, t, *[f"{i}{c}" for c in CLASHES]) for i, t in ((4, text), (9, text + " end"), (11, None), (12, text))], schema)
+    for keep, ids in ((N.keep_one, [4, 11]), (keep_largest, [9, 11, 12])):
+        left = keep(docs)
+        assert left.columns == docs.columns
+        assert sorted(map(tuple, left.collect())) == [r for r in sorted(map(tuple, docs.collect())) if r[0] in ids]
+
+
+def test_size_bands(spark):
+    """Any two sizes that can reach the threshold share a band or have neighbouring ones."""
+    sizes = spark.range(1, 400).select(F.col("id").alias("n"), N.size_band(F.col("id"), 80).alias("b")).collect()
+    for x in sizes:
+        for y in sizes:
+            if x["n"] < y["n"] and 100 * x["n"] >= 80 * y["n"]:
+                assert y["b"] - x["b"] in (0, 1)
+
+
+def test_hot_nodes_of_components(spark, monkeypatch):
+    from trackloom.llm import common
+
+    monkeypatch.setattr(common, "HOT_SHARE", 0.02)
+    edges = [(0, k) for k in range(1, 400)] + [(1000 + k, 399) for k in range(300)] + [(5000 + k, 5001 + k) for k in range(20)]
+    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert {v for k, v in got.items() if k < 5000} == {0} and {v for k, v in got.items() if k >= 5000} == {5000}
+
+
+def test_no_tables_left(spark, tmp_path):
+    """One call leaves its result alone behind."""
+    from trackloom.llm import common
+
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path}")
+    try:
+        assert N.near_duplicates(frame(spark, families(3, 3, 4))).count() == 12
+    finally:
+        spark.conf.set("spark.checkpoint.dir", before) if before else spark.conf.unset("spark.checkpoint.dir")
+    left = [p.name for p in tmp_path.iterdir()]
+    assert sum("near-duplicates" in n for n in left) == 1 and len(left) <= 3, left
+    assert common.HOT_SHARE == 1 / 1000
+
+
 def test_odd_sketch_estimates():
     rng = np.random.default_rng(6)
     for true in (0.5, 0.8, 0.95):

@@ -19,10 +19,10 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import WordHashes, gram_hashes, map_rows, materialize, mix, text_of, word_hashes
+from trackloom.llm.common import Tables, WordHashes, gram_hashes, map_rows, mix, text_of, without, word_hashes
 from trackloom.llm.components import components
 
 #: Bands of ROWS samples: a pair of similarity 0.8 shares none with probability (1 - 0.8**ROWS)**BANDS, about 7e-6.
@@ -204,35 +204,61 @@ def _intersections(sets: list[np.ndarray]) -> np.ndarray:
     return np.rint(out).astype(np.int64)
 
 
-def _by_group(kernel: Callable[[list[tuple]], list[tuple[int, int]]]):
-    """mapInArrow over rows sorted by (g, c): calls kernel on each group's (node, payload...) rows, one group at a time."""
+def sketch_sieve(percent: int) -> Callable[[list[tuple]], list[int]]:
+    """The members whose sketch agrees with another member's."""
+    least = percent / 100 - SLACK
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, members, out = None, [], []
+    def run(members: list[tuple]) -> list[int]:
+        may = _alike(np.frombuffer(b"".join(m[1] for m in members), np.uint64).reshape(len(members), -1), least)
+        np.fill_diagonal(may, False)
+        return [members[k][0] for k in np.flatnonzero(may.any(1)).tolist()]
 
-        def flush() -> None:
-            if len(members) > 1:
-                out.extend(kernel(members))
-            members.clear()
+    return run
 
-        for b in batches:
-            keys = list(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
-            rows = list(zip(*(c.to_pylist() for c in b.columns[2:]), strict=True))
-            for k, row in zip(keys, rows, strict=True):
-                if k != key:
-                    flush()
-                    key = k
-                if not members or members[-1][0] != row[0]:
-                    members.append(row)
+
+def _groups_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[tuple]]]:
+    """((g, c), its (node, payload...) rows, each node once) from rows sorted by (g, c, node), one group at a time."""
+    key, members = None, []
+    for b in batches:
+        keys = list(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
+        rows = list(zip(*(c.to_pylist() for c in b.columns[2:]), strict=True))
+        for k, row in zip(keys, rows, strict=True):
+            if k != key:
+                if len(members) > 1:
+                    yield key, members
+                key, members = k, []
+            if not members or members[-1][0] != row[0]:
+                members.append(row)
+    if len(members) > 1:
+        yield key, members
+
+
+def _by_group(kernel: Callable[[list[tuple]], list[tuple[int, int]]]):
+    """mapInArrow over rows sorted by (g, c, node): the links that kernel finds in each group."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = []
+        for _, members in _groups_of(batches):
+            out += kernel(members)
             if len(out) > 10_000:
                 yield _edges(out)
                 out.clear()
-        flush()
         yield _edges(out)
 
     return run
 
 
+def _by_block(sieve: Callable[[list[tuple]], list[int]]):
+    """mapInArrow over rows sorted by (g, c, node): the (g, c, node) that sieve leaves."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (g, c), members in _groups_of(batches):
+            nodes = sieve(members)
+            yield pa.RecordBatch.from_arrays([pa.array([g] * len(nodes), pa.int64()), pa.array([c] * len(nodes), pa.int64()), pa.array(nodes, pa.int64())], names=["g", "c", "node"])
+
+    return run
+
+
 def _edges(rows: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
@@ -243,26 +269,37 @@ def _compared(rows: DataFrame, payload: DataFrame, kernel: Callable) -> DataFram
     return map_rows(full.repartition("g", "c").sortWithinPartitions("g", "c", "node"), _by_group(kernel), "a long, b long", 256).distinct()
 
 
-def resolve(groups: DataFrame, payload: DataFrame, kernel: Callable, name: str) -> DataFrame:
+def resolve(groups: DataFrame, payload: DataFrame, kernel: Callable, name: str, tables: Tables, sieve: tuple[DataFrame, Callable] | None = None) -> DataFrame:
     """Links (a, b) with the same components as all links that kernel accepts between members of a group.
 
     groups: (g, node, chunks), chunks being the number of tasks that a group needs. payload: (node, ...) that kernel gets.
     A group of one chunk is compared whole. Larger ones are dealt to their chunks by a hash, each chunk with the group's
     PIVOTS pivots. Members that end outside the group's largest component are then compared with all
     of the group, in blocks of BLOCK against CHUNK; those inside it can gain nothing from each other.
+    sieve, (payload, kernel) of small rows, names the members of a block that can have a link there at all, so that
+    the blocks of large groups copy the large rows of these alone.
     """
-    dealt = groups.select("g", "node", F.when(F.col("chunks") == 1, F.lit(0)).otherwise(F.pmod(F.xxhash64("node", "g"), F.col("chunks"))).cast("long").alias("c"))
+    dealt = groups.select("g", "node", F.when(F.col("chunks") == 1, F.lit(0)).otherwise(F.pmod(F.xxhash64("node", "g"), F.col("chunks"))).cast("long").alias("c"), "chunks")
     large = groups.filter("chunks > 1")
     if large.isEmpty():
-        return materialize(_compared(dealt, payload, kernel), name)
+        return tables.write(_compared(dealt.drop("chunks"), payload, kernel), name)
+
+    def sifted(blocks: DataFrame, step: str) -> DataFrame:
+        if sieve is None:
+            return blocks
+        small, may = sieve
+        full = blocks.join(small, "node").select("g", "c", *small.columns)
+        return tables.write(map_rows(full.repartition("g", "c").sortWithinPartitions("g", "c", "node"), _by_block(may), "g long, c long, node long", 256), f"{name}-{step}")
+
     pivots = large.groupBy("g", F.pmod(F.xxhash64("node"), F.lit(PIVOTS)).alias("p")).agg(F.min("node").alias("node"), F.max("chunks").alias("chunks"))
     pivots = pivots.select("g", "node", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks").cast("long") - 1)).alias("c"))
-    links = materialize(_compared(dealt.unionByName(pivots).distinct(), payload, kernel), name)
-    state = large.join(components(links), "node", "left").select("g", "node", F.coalesce("component", "node").alias("part"))
-    state = materialize(state, f"{name}-parts")
+    blocks = sifted(dealt.filter("chunks > 1").drop("chunks").unionByName(pivots).distinct(), "blocks")
+    links = tables.write(_compared(dealt.filter("chunks = 1").drop("chunks").unionByName(blocks), payload, kernel), name)
+    state = large.join(components(links, tables), "node", "left").select("g", "node", F.coalesce("component", "node").alias("part"))
+    state = tables.write(state, f"{name}-parts")
     parts = state.groupBy("g", "part").agg(F.count(F.lit(1)).alias("n"))
     whole = parts.groupBy("g").agg(F.max(F.struct("n", "part")).alias("main"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
-    whole = materialize(whole.select(F.col("g").alias("gg"), F.col("main.part").alias("main"), F.ceil((F.col("n") - F.col("main.n")) / BLOCK).cast("long").alias("few"), F.ceil(F.col("n") / CHUNK).cast("long").alias("all")), f"{name}-open")
+    whole = tables.write(whole.select(F.col("g").alias("gg"), F.col("main.part").alias("main"), F.ceil((F.col("n") - F.col("main.n")) / BLOCK).cast("long").alias("few"), F.ceil(F.col("n") / CHUNK).cast("long").alias("all")), f"{name}-open")
     if whole.isEmpty():
         return links
     open_rows = state.join(whole, F.col("g") == F.col("gg")).withColumn("rest", F.col("part") != F.col("main"))
@@ -270,42 +307,59 @@ def resolve(groups: DataFrame, payload: DataFrame, kernel: Callable, name: str)
     own_few, own_all = F.pmod(F.xxhash64("node"), F.col("few")), F.pmod(F.xxhash64("node", F.lit(5)), F.col("all"))
     mine = open_rows.filter("rest").select("g", "node", (own_few * F.col("all")).alias("base"), F.explode(steps("all")).alias("step")).select("g", "node", (F.col("base") + F.col("step")).alias("c"))
     theirs = open_rows.select("g", "node", "all", own_all.alias("own"), F.explode(steps("few")).alias("step")).select("g", "node", (F.col("step") * F.col("all") + F.col("own")).alias("c"))
-    return links.unionByName(materialize(_compared(mine.unionByName(theirs).distinct(), payload, kernel), f"{name}-rest"))
+    return links.unionByName(tables.write(_compared(sifted(mine.unionByName(theirs).distinct(), "rest-blocks"), payload, kernel), f"{name}-rest"))
+
+
+def size_band(n_shingles: Column, percent: int) -> Column:
+    """Number of a size's band; two sets that reach percent lie in one band or in neighbouring ones."""
+    return F.floor(F.log(n_shingles.cast("double")) / F.log(F.lit(100 / percent)) + 1e-9).cast("long")
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row of docs(doc_id, text, ...).
+    """doc_id, n_shingles, component_id, kept of every row of docs(doc_id, text, ...), as a table in the shared folder.
 
     Words are lower-cased in A-Z. Texts of fewer than n words are one shingle, their whole sequence; null texts and those without
     words have none and are alone. component_id is the smallest doc_id that links reach. Rows that repeat a doc_id share its result;
-    a row with a null doc_id has a null component_id and is not kept. Other columns are not read.
+    a row with a null doc_id has a null component_id and is not kept. Very long texts count whole. Other columns are not read, and an
+    empty table gives an empty result.
     """
-    sketched = materialize(sketches(docs, n), "sketches")
-    classes = materialize(sketched.filter("doc_id is not null and print is not null").groupBy("print").agg(F.min("doc_id").alias("node")), "classes")
+    tables = Tables()
+    sketched = tables.write(sketches(docs, n), "sketches")
+    classes = tables.write(sketched.filter("doc_id is not null and print is not null").groupBy("print").agg(F.min("doc_id").alias("node")), "classes")
     found = sketched.select(F.col("doc_id").alias("node"), "n_shingles", "bands", "odd").join(classes.select("node"), "node", "left_semi").dropDuplicates(["node"])
-    found = materialize(found, "representatives")
+    found = tables.write(found, "representatives")
 
     keyed = found.select("node", F.explode("bands").alias("g"))
     buckets = keyed.groupBy("g").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("g", F.ceil(F.col("n") / CHUNK).cast("long").alias("chunks"))
-    members = materialize(keyed.join(buckets, "g"), "buckets")
-    candidates = components(resolve(members, found.select("node", "odd"), sketch_kernel(percent), "candidates"))
-
-    sized = candidates.join(found.select("node", "n_shingles"), "node").select(F.col("component").alias("g"), "node", "n_shingles")
-    chunks = sized.groupBy("g").agg(F.greatest(F.ceil(F.count(F.lit(1)) / CHUNK), F.ceil(F.sum("n_shingles") / CHUNK_SHINGLES)).cast("long").alias("chunks"))
-    groups = materialize(sized.select("g", "node").join(chunks, "g"), "candidate-groups")
-    texts = docs.select(F.col("doc_id").alias("node"), text_of().alias("t")).join(groups.select("node"), "node", "left_semi").dropDuplicates(["node"])
-    payload = found.select("node", "odd").join(texts, "node")
-    linked = components(resolve(groups, payload, set_kernel(percent, n), "links"))
-
-    labels = classes.join(linked, "node", "left").select(F.col("print").alias("p"), F.coalesce("component", "node").alias("label"))
+    members = tables.write(keyed.join(buckets, "g"), "buckets")
+    candidates = components(resolve(members, found.select("node", "odd"), sketch_kernel(percent), "candidates", tables), tables)
+
+    sized = tables.write(candidates.join(found.select("node", "n_shingles"), "node").select(F.col("component").alias("g"), "node", "n_shingles"), "candidate-sizes")
+    counted = lambda df: df.groupBy("g").agg(F.greatest(F.ceil(F.count(F.lit(1)) / CHUNK), F.ceil(F.sum("n_shingles") / CHUNK_SHINGLES)).cast("long").alias("chunks"))
+    chunks = tables.write(counted(sized), "candidate-chunks")
+    whole = sized.join(chunks.filter("chunks = 1"), "g").select("g", "node", "chunks")
+    #: Components beyond one task: only sets of about one size can be alike, so each member joins its own size band and the next.
+    wide = sized.join(chunks.filter("chunks > 1").select("g"), "g", "left_semi")
+    band = size_band(F.col("n_shingles"), percent)
+    wide = wide.select(F.explode(F.array(F.xxhash64("g", band), F.xxhash64("g", band + 1))).alias("g"), "node", "n_shingles")
+    groups = tables.write(whole.unionByName(wide.join(counted(wide), "g").select("g", "node", "chunks")), "candidate-groups")
+    texts = docs.select(F.col("doc_id").alias("node"), text_of().alias("t")).join(sized.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    odd = found.select("node", "odd")
+    linked = components(resolve(groups, odd.join(texts, "node"), set_kernel(percent, n), "links", tables, (odd, sketch_sieve(percent))), tables)
+
+    labels = tables.write(classes.join(linked, "node", "left").select(F.col("print").alias("p"), F.coalesce("component", "node").alias("label")), "labels")
     rows = sketched.select("doc_id", "n_shingles", F.coalesce("print", F.col("doc_id").cast("string").cast("binary")).alias("print"))
-    rows = rows.join(materialize(labels, "labels"), F.col("print") == F.col("p"), "left")
+    rows = rows.join(labels, F.col("print") == F.col("p"), "left")
     #: A null doc_id belongs to no component, whatever its text.
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "doc_id"))
-    return rows.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+    rows = rows.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+    return tables.done(rows, "near-duplicates")
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """docs with one row of each group of near duplicates, and all rows without a doc_id; same columns."""
-    gone = near_duplicates(docs, n, percent).filter("doc_id is not null and not kept").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("gone"), "left_anti")
+    """docs with the row of the smallest doc_id of each group of near duplicates; same columns, whatever their names.
+
+    Rows without a doc_id, and texts that are null or have no words, stay. Rows that repeat a doc_id stay or go together. Very
+    long texts are compared whole; an empty table stays empty.
+    """
+    return without(docs, near_duplicates(docs, n, percent).filter("doc_id is not null and not kept"))
