@@ -68,6 +68,32 @@ def test_nulls_repeats_and_empty(spark):
     assert S.substring_dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_batches_have_to_rise(spark):
+    index = S.FingerprintIndex(12)
+    docs = spark.createDataFrame([(i, "a b c") for i in (5, 6)], "doc_id long, text string")
+    index.append(docs)
+    with pytest.raises(ValueError, match="rising"):
+        index.append(docs.filter("doc_id = 6"))
+    index.append(docs.limit(0))
+    index.close()
+
+
+def test_runs_are_not_shuffled(spark):
+    """Merging the bucketed runs with a batch reads them where they are."""
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(80))
+    index = S.FingerprintIndex(12, most_runs=9)
+    for k in range(3):
+        index.append(spark.createDataFrame([(10 * k + i, text(i + k)) for i in range(4)], "doc_id long, text string"))
+    mine = index.runs[2][1].select("g").distinct()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = index.runs[0][1].join(mine, "g", "left_semi")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    index.close()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
 @pytest.mark.skipif(not Path("/root/testdata/sf0.001").exists(), reason="no test tables")
 def test_whole_table(spark):
     texts = {r["doc_id"]: r["text"] for r in pq.read_table("/root/testdata/sf0.001/documents.parquet").to_pylist()}

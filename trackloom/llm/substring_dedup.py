@@ -17,14 +17,15 @@ Fingerprints of spans and windows are 128 bits wide: two lanes over independent
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import WordHashes, drop_table, gram_hashes, map_rows, materialize, mix, text_of, word_hashes
+from trackloom.llm.common import Tables, WordHashes, drop_table, flagged, gram_hashes, join_skewed, map_rows, materialize, mix, shared_dir, text_of, word_hashes
 
 WINDOW, GRAM, SEGMENT = 50, 8, 1 << 20
 _BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
@@ -128,79 +129,91 @@ def _without(window: int):
     return run
 
 
-_BITS = 1 << 25
-
-
-def _slot(col: str) -> Column:
-    return F.pmod(F.xxhash64(col, F.lit(11)), F.lit(_BITS))
-
-
-def _filter_of(ids: DataFrame) -> DataFrame:
-    """A one-hash Bloom filter of ids(doc): at most 1024 rows of 4 KB, whatever the number of ids, so it may be broadcast."""
-    return ids.select(_slot("doc").alias("s")).groupBy((F.col("s") / 32768).cast("long").alias("slot")).agg(F.expr("bitmap_construct_agg(s % 32768)").alias("bits"))
-
-
-def _flagged(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """docs(doc_id, text) with hit: false only where ids(doc) surely lacks the row's doc_id, so that most texts need no shuffle."""
-    slot = docs.withColumn("s", _slot("doc_id")).withColumn("slot", (F.col("s") / 32768).cast("long"))
-    bit = F.expr("shiftright(cast(conv(hex(substring(bits, cast((s % 32768) div 8 as int) + 1, 1)), 16, 10) as int), cast(s % 8 as int)) & 1")
-    return slot.join(F.broadcast(materialize(_filter_of(ids), "bloom")), "slot", "left").select("doc_id", "text", F.coalesce(F.col("doc_id").isNotNull() & (bit == 1), F.lit(False)).alias("hit"))
-
-
 class FingerprintIndex:
-    """Immutable sorted runs of (g, h1, h2, doc), and the documents appended so far."""
+    """Immutable runs of (g, h1, h2, doc, n), bucketed and sorted by anchor, and the documents appended so far.
 
-    def __init__(self, window: int = WINDOW, most_runs: int = 2) -> None:
-        self.window, self.most_runs = window, most_runs
-        self.runs: list[DataFrame] = []
+    A run is a bucketed table, so merging it with the next batch or with other runs shuffles nothing of it. Documents have to
+    come in rising order of their ids, because a document loses what a smaller one has; append() raises otherwise. Texts of
+    earlier batches are read again only for anchors that have several classes; keeping the fingerprints of all their
+    windows instead would take almost three times the texts' room.
+    """
+
+    def __init__(self, window: int = WINDOW, most_runs: int = 2, buckets: int = 8) -> None:
+        self.window, self.most_runs, self.buckets = window, most_runs, buckets
+        self.runs: list[tuple[str, DataFrame]] = []
         self.seen: DataFrame | None = None
+        self.last: int | None = None
 
     def _classes(self, rows: DataFrame) -> DataFrame:
         return rows.groupBy("g", "h1", "h2").agg(F.min("doc").alias("doc"), F.sum("n").alias("n"))
 
+    def _write_run(self, classes: DataFrame) -> DataFrame:
+        spark, name = classes.sparkSession, f"trackloom_run_{uuid.uuid4().hex}"
+        path = f"{shared_dir(spark)}/{name}"
+        classes.repartition(self.buckets, "g").write.bucketBy(self.buckets, "g").sortBy("g", "h1", "h2").option("path", path).saveAsTable(name)
+        self.runs.append((name, spark.table(name)))
+        return self.runs[-1][1]
+
     def append(self, docs: DataFrame) -> DataFrame:
         """(doc, lo, hi): the ranges of windows that documents of this batch lose. docs(doc_id, text) joins the index."""
         docs = docs.select("doc_id", "text").filter("doc_id is not null")
+        first, last = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
+        if first is not None and self.last is not None and first <= self.last:
+            raise ValueError(f"documents have to come by rising doc_id: {first} after {self.last}")
+        self.last = self.last if last is None else last
         self.seen = docs if self.seen is None else self.seen.unionByName(docs)
-        rows = materialize(map_rows(docs, _anchor_rows(self.window), "g long, h1 long, h2 long, doc long, lo long, hi long", 256), "anchors")
-        run = materialize(self._classes(rows.withColumn("n", F.lit(1).cast("long"))).repartition("g").sortWithinPartitions("g", "h1", "h2"), "run")
-        known = run
-        if self.runs:
+        tables = Tables()
+        rows = tables.write(map_rows(docs, _anchor_rows(self.window), "g long, h1 long, h2 long, doc long, lo long, hi long", 256), "anchors")
+        old = [run for _, run in self.runs]
+        known = run = self._write_run(self._classes(rows.withColumn("n", F.lit(1).cast("long"))))
+        if old:
             mine = run.select("g").distinct()
-            for old in self.runs:
-                known = known.unionByName(old.join(mine, "g", "left_semi"))
+            for earlier in old:
+                known = known.unionByName(earlier.join(mine, "g", "left_semi"))
             known = self._classes(known)
         several = known.groupBy("g").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("g")
         #: Classes of several occurrences, or of anchors that have several classes; all others are unique text.
         classes = known.join(several.withColumn("many", F.lit(True)), "g", "left").filter("n > 1 or many").withColumn("many", F.coalesce("many", F.lit(False)))
-        classes = materialize(classes.select("g", "h1", "h2", F.col("doc").alias("least"), "many"), "shared")
-        whole = rows.join(classes, ["g", "h1", "h2"]).filter("least < doc").select("doc", "lo", "hi")
+        classes = tables.write(classes.select("g", "h1", "h2", F.col("doc").alias("least"), "many", "n"), "shared")
+        whole = join_skewed(rows, classes.drop("many"), ["g", "h1", "h2"], rows.count()).filter("least < doc").select("doc", "lo", "hi")
         wanted = classes.filter("many").select(F.col("least").alias("doc"), "g").distinct()
-        found = materialize(whole.unionByName(self._verified(wanted, docs)), "ranges")
-        drop_table(rows)
-        drop_table(classes)
-        self.runs.append(run)
+        found = tables.done(whole.unionByName(self._verified(wanted, docs, tables)), "ranges")
         if len(self.runs) > self.most_runs:
             self.compact()
         return found
 
-    def _verified(self, wanted: DataFrame, batch: DataFrame) -> DataFrame:
+    def _verified(self, wanted: DataFrame, batch: DataFrame, tables: Tables) -> DataFrame:
         """Windows at the wanted anchors (doc, g) that a smaller document has too; of this batch's documents."""
-        per = materialize(wanted.groupBy("doc").agg(F.collect_set("g").alias("gs")), "wanted")
-        texts = _flagged(self.seen, per.select("doc")).filter("hit").dropDuplicates(["doc_id"])
-        windows = materialize(map_rows(texts.join(per, texts["doc_id"] == per["doc"]).select("doc_id", "text", "gs"), _window_rows(self.window), "w1 long, w2 long, doc long, start long", 256), "windows")
-        least = windows.groupBy("w1", "w2").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).filter("least < most").select("w1", "w2", "least")
-        late = windows.join(least, ["w1", "w2"]).filter("least < doc")
+        per = tables.write(wanted.groupBy("doc").agg(F.collect_set("g").alias("gs")), "wanted")
+        texts = flagged(self.seen, per, "doc", "hit", tables).filter("hit").dropDuplicates(["doc_id"])
+        windows = tables.write(map_rows(texts.join(per, texts["doc_id"] == per["doc"]).select("doc_id", "text", "gs"), _window_rows(self.window), "w1 long, w2 long, doc long, start long", 256), "windows")
+        least = windows.groupBy("w1", "w2").agg(F.min("doc").alias("least"), F.max("doc").alias("most"), F.count(F.lit(1)).alias("n")).filter("least < most").drop("most")
+        late = join_skewed(windows, least, ["w1", "w2"], windows.count()).filter("least < doc")
         return late.join(batch.select(F.col("doc_id").alias("doc")), "doc", "left_semi").select("doc", F.col("start").alias("lo"), F.col("start").alias("hi"))
 
     def compact(self) -> None:
         """One sorted run instead of all; the old ones are removed."""
-        old, rows = self.runs, self.runs[0]
-        for run in old[1:]:
+        old, self.runs = self.runs, []
+        rows = old[0][1]
+        for _, run in old[1:]:
             rows = rows.unionByName(run)
-        self.runs = [materialize(self._classes(rows).repartition("g").sortWithinPartitions("g", "h1", "h2"), "run")]
-        for run in old:
+        self._write_run(self._classes(rows))
+        self._drop(old)
+
+    def close(self) -> None:
+        """Remove the runs."""
+        self._drop(self.runs)
+        self.runs = []
+
+    @staticmethod
+    def _drop(runs: list[tuple[str, DataFrame]]) -> None:
+        for name, run in runs:
             drop_table(run)
+            run.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+#: About so many characters of text per bucket of a run, and Spark's default limit of their number.
+BUCKET_CHARS, MOST_BUCKETS = 64 << 20, 100_000
 
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW, batches: int = 3) -> DataFrame:
@@ -208,19 +221,22 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, batches: int = 3) ->
 
     Words are runs of anything but ASCII white space, unchanged; kept ones are joined by one space. The documents enter the index
     in `batches` batches by id. Null texts have no words; rows that repeat a doc_id are one document and never lose to each other;
-    rows without a doc_id lose nothing. Other columns are not read. An empty table gives an empty result.
+    rows without a doc_id lose nothing. Very long texts are cut into segments that share no window and miss none. Other columns are
+    not read. An empty table gives an empty result.
     """
     docs = docs.select("doc_id", text_of().alias("text"))
-    cuts = docs.agg(F.percentile_approx("doc_id", [k / batches for k in range(1, batches)], 1000)).first()[0] if batches > 1 else []
-    index, ranges = FingerprintIndex(window), None
-    for lo, hi in zip([None, *(cuts or [])], [*(cuts or []), None], strict=True):
+    chars, cuts = docs.agg(F.sum(F.length("text")), F.percentile_approx("doc_id", [k / batches for k in range(1, batches)] or [0.5], 1000)).first()
+    index, ranges = FingerprintIndex(window, buckets=min(MOST_BUCKETS, max(8, (chars or 0) // BUCKET_CHARS))), None
+    cuts = sorted(set(cuts or [])) if batches > 1 else []
+    for lo, hi in zip([None, *cuts], [*cuts, None], strict=True):
         batch = docs.filter((F.col("doc_id") > lo if lo is not None else F.lit(True)) & (F.col("doc_id") <= hi if hi is not None else F.lit(True)))
         found = index.append(batch)
         ranges = found if ranges is None else ranges.unionByName(found)
+    index.close()
     per = materialize(ranges.groupBy("doc").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges")), "ranges-of")
-    flagged = _flagged(docs, per.select("doc"))
-    clean = flagged.filter("not hit").select("doc_id", "text", F.lit(None).cast("array<struct<lo:bigint,hi:bigint>>").alias("ranges"))
-    dirty = flagged.filter("hit").join(per, F.col("doc_id") == F.col("doc"), "left").select("doc_id", "text", "ranges")
+    marked = flagged(docs, per, "doc", "hit", Tables())
+    clean = marked.filter("not hit").select("doc_id", "text", F.lit(None).cast("array<struct<lo:bigint,hi:bigint>>").alias("ranges"))
+    dirty = marked.filter("hit").join(per, F.col("doc_id") == F.col("doc"), "left").select("doc_id", "text", "ranges")
     return map_rows(clean.unionByName(dirty), _without(window), "doc_id long, n_words long, n_removed long, kept_text string", 256)
 
 
