@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
+
+import pyarrow.parquet as pq
+import pytest
 
 from trackloom.llm import decontamination as D
 
+SF = "/root/testdata/sf0.001"
+
 
 def plain(pattern, text):
     row = [0] * (len(text) + 1)
@@ -51,8 +57,8 @@ def test_find_leaks(spark):
             p = D.normalized(item)
             if k is None or not p:
                 continue
-            if len(p) < D.LEAST_CHARS:
-                want += [(i, k, 0)] if p == text else []
+            if len(p) < D.WORD_CHARS:
+                want += [(i, k, 0)] if f" {p} " in f" {text} " else []
             elif len(text) < 3000 and (d := plain(p, text)) <= int(D.RATE * len(p)):
                 want.append((i, k, d))
     df = spark.createDataFrame([(i, t, 5) for i, t in docs], "doc_id long, text string, item_id int")
@@ -63,6 +69,32 @@ def test_find_leaks(spark):
     assert left.columns == df.columns and sorted(r["doc_id"] for r in left.collect()) == sorted(i for i, _ in docs if i not in {w[0] for w in want})
 
 
+def test_short_items():
+    item = "the quick brown foxes ru"
+    assert len(item) == 24
+    matcher = D.Matcher([(1, item), (2, item + "n"), (3, "ab"), (4, "what is it")])
+    find = lambda t: dict(matcher.find(t))
+    assert find(f"so {item.upper()} away") == {1: 0, 2: 1}
+    assert find("so the quikc brown foxes ru") == {} and find("the quick brwn foxes ru!") == {1: 1}
+    assert find("crab abs") == {} and find("crab ab.") == {3: 0} and find("(ab)") == {3: 0}
+    assert find("so what is it?") == {4: 0} and find("somewhat is it") == {} and find("what is its") == {}
+
+
+@pytest.mark.skipif(not Path(SF).exists(), reason="no test tables")
+def test_whole_table(spark):
+    """The planted benchmark against the dynamic program, over every document that shares a piece, and a sample of the others."""
+    docs = {r["doc_id"]: D.normalized(r["text"]) for r in pq.read_table(f"{SF}/documents.parquet").to_pylist()}
+    items = {r["item_id"]: D.normalized(r["text"]) for r in pq.read_table(f"{SF}/benchmark.parquet").to_pylist()}
+    got = {(r[0], r[1]): r[2] for r in D.find_leaks(spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")).collect()}
+    small = sorted(docs, key=lambda i: len(docs[i]))[:40]
+    for i in {d for d, _ in got} | set(small):
+        for k, item in items.items():
+            if (i, k) in got or (i in small and len(docs[i]) < 1500):
+                d = plain(item, docs[i])
+                assert got.get((i, k)) == (d if d <= int(D.RATE * len(item)) else None), (i, k)
+    assert got
+
+
 def test_blocks_and_empty(spark, monkeypatch):
     monkeypatch.setattr(D, "BLOCK_CHARS", 100)
     items = [(i, f"item number {i} " * 4) for i in range(12)]

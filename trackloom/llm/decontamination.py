@@ -2,8 +2,10 @@
 
 A test item of m characters may differ from a passage by k = floor(rate * m) edits. Cut into k + 1 pieces, at least one
 piece then occurs unchanged in the passage. One automaton finds all pieces of all items in a text in one pass; each
-hit names an item and a place, and Myers' bit-parallel distance settles that place.
-Benchmarks are the query set: they go to the tasks in blocks of BLOCK_CHARS characters, each block against all rows.
+hit names an item and a place, and Myers' bit-parallel distance settles that place. Items under WORD_CHARS characters have to stand
+between word boundaries, since so few letters also occur inside longer words.
+Benchmarks are the query set: they go to the tasks in blocks of BLOCK_CHARS characters, each block against all rows, so a task
+holds one block's automaton at a time, and a corpus is read once for every block.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 
 from trackloom.llm.common import map_rows, text_of
 
-RATE, LEAST_CHARS, BLOCK_CHARS = 0.05, 25, 4_000_000
+RATE, WORD_CHARS, BLOCK_CHARS = 0.05, 25, 4_000_000
 
 
 def normalized(text: str | None) -> str:
@@ -44,19 +46,35 @@ def myers(pattern: str, text: str, most: int) -> int | None:
     return best if best <= most else None
 
 
+def bounded(pattern: str, text: str, lo: int, hi: int, most: int) -> int | None:
+    """Least edit distance, if at most `most`, of pattern to a stretch of text[lo:hi] that starts and ends between words."""
+    edge = lambda k: k in (0, len(text)) or not (text[k - 1].isalnum() and text[k].isalnum())
+    ends = [k for k in range(lo, min(hi, len(text)) + 1) if edge(k)]
+    found = [d for a in ends for z in ends if abs(z - a - len(pattern)) <= most and (d := whole_distance(pattern, text[a:z])) <= most]
+    return min(found, default=None)
+
+
+def whole_distance(a: str, b: str) -> int:
+    """Edit distance of two short texts."""
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
 class Matcher:
     """Finds the items (item_id, text) of one block in texts."""
 
-    def __init__(self, items: list[tuple[int, str]], rate: float = RATE, least: int = LEAST_CHARS) -> None:
+    def __init__(self, items: list[tuple[int, str]], rate: float = RATE) -> None:
         import ahocorasick
 
-        self.rate, self.whole, self.texts = rate, {}, {}
+        self.rate, self.texts = rate, {}
         pieces: dict[str, list[tuple[str, int]]] = {}
         for item, raw in items:
             text = normalized(raw)
-            if 0 < len(text) < least:
-                self.whole.setdefault(text, []).append(item)
-            elif text:
+            if text:
                 self.texts.setdefault(text, []).append(item)
         for text in self.texts:
             n = self.budget(text) + 1
@@ -76,7 +94,6 @@ class Matcher:
     def find(self, raw: str | None) -> list[tuple[int, int]]:
         """(item_id, distance) of each item that the text contains within its budget."""
         text = normalized(raw)
-        found = {i: 0 for i in self.whole.get(text, [])}
         best: dict[str, int] = {}
         tried: set[tuple[str, int]] = set()
         for end, (size, places) in self.automaton.iter(text) if self.any else ():
@@ -86,38 +103,42 @@ class Matcher:
                     continue
                 tried.add((item, start))
                 near = text[max(0, start - k) : max(0, start + len(item) + k)]
-                distance = 0 if item in near else myers(item, near, k)
+                if len(item) < WORD_CHARS:
+                    distance = bounded(item, text, max(0, start - k), max(0, start + len(item) + k), k)
+                else:
+                    distance = 0 if item in near else myers(item, near, k)
                 if distance is not None:
                     best[item] = min(distance, best.get(item, distance))
-        found |= {i: d for text, d in best.items() for i in self.texts[text]}
-        return sorted(found.items())
+        return sorted((i, d) for text, d in best.items() for i in self.texts[text])
 
 
-def _blocks(benchmark: DataFrame) -> list[list[tuple[int, str]]]:
-    """The query set, cut into blocks by size. Each collect is bounded by its block."""
+def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
+    """The query set, cut into blocks by size, one after another. The plans that read them hold them, so the driver holds the benchmark."""
     items = benchmark.select("item_id", text_of().alias("t")).filter("item_id is not null").distinct()
     chars = items.agg(F.sum(F.length("t"))).first()[0] or 0
     n = -(-chars // BLOCK_CHARS)
-    return [[(r[0], r[1]) for r in items.filter(F.pmod(F.xxhash64("item_id"), F.lit(n)) == b).collect()] for b in range(n)]
+    for b in range(n):
+        yield [(r[0], r[1]) for r in items.filter(F.pmod(F.xxhash64("item_id", "t"), F.lit(n)) == b).collect()]
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, least: int = LEAST_CHARS) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
     """doc_id, item_id, distance of every document and test item that it holds, within rate * the item's length edits.
 
-    Texts are compared in lower case with white space collapsed. Items shorter than `least` characters count only where they are a
-    document's whole text; null or empty items, and items without an id, match nothing. Null texts hold nothing. Rows that
-    repeat are reported as often as they occur. Other columns are not read.
+    Texts are compared in lower case with white space collapsed. Items of under WORD_CHARS characters count between word boundaries
+    alone; null or empty items, and items without an id, match nothing. Null and empty texts hold nothing; very long ones are
+    searched whole. Of several places of an item the least distance counts. Rows that repeat, or have no doc_id, are reported as often as they
+    occur; an empty table on either side gives an empty result. Other columns are not read.
     """
     found = None
     for items in _blocks(benchmark):
-        part = map_rows(docs.select("doc_id", text_of()), _leak_rows(items, rate, least), "doc_id long, item_id long, distance int", 512)
+        part = map_rows(docs.select("doc_id", text_of()), _leak_rows(items, rate), "doc_id long, item_id long, distance int", 512)
         found = part if found is None else found.unionByName(part)
     return found if found is not None else docs.sparkSession.createDataFrame([], "doc_id long, item_id long, distance int")
 
 
-def _leak_rows(items: list[tuple[int, str]], rate: float, least: int):
+def _leak_rows(items: list[tuple[int, str]], rate: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(items, rate, least)
+        matcher = Matcher(items, rate)
         for b in batches:
             rows = [(i, *hit) for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for hit in matcher.find(t)]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.int32()))], names=["doc_id", "item_id", "distance"])
@@ -125,13 +146,17 @@ def _leak_rows(items: list[tuple[int, str]], rate: float, least: int):
     return run
 
 
-def drop_leaking(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, least: int = LEAST_CHARS) -> DataFrame:
-    """docs without the rows that hold a test item; same columns."""
+def drop_leaking(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
+    """docs without the rows that hold a test item; same columns, whatever their names.
+
+    Null and empty texts stay, and so do rows without a doc_id that hold no item; rows that repeat go or stay together; an
+    empty table stays empty. Very long texts are searched whole.
+    """
     column = docs.columns.index("text")
 
     def keep(items: list[tuple[int, str]]):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(items, rate, least)
+            matcher = Matcher(items, rate)
             for b in batches:
                 yield b.filter(pa.array([not matcher.find(t) for t in b.column(column).to_pylist()], pa.bool_()))
 
