@@ -65,6 +65,55 @@ def test_every_run_and_uncovered_rest(spark):
     assert rows == {0: "random:4:24", 1: "random:4:16", 2: "random:0:11,hex:11:29,random:29:38", 3: ""}
 
 
+def plain_random(spark, text, table, cut):
+    """The Markov finds of a text by loops: whole tokens, and the uncovered rest of those that a base span touches."""
+    key = set(secrets.ALPHABET)
+
+    def ratio(token):
+        pairs = [secrets.ALPHABET.index(a) * secrets.N + secrets.ALPHABET.index(b) for a, b in zip(token, token[1:], strict=False)]
+        return sum(table[p] for p in pairs) / max(len(token) - 1, 1)
+
+    base, out, at = [(a, z) for a, _, _, z in brute(text)], [], 0
+    while at < len(text):
+        end = at
+        while end < len(text) and text[end] in key:
+            end += 1
+        if end - at >= secrets.LEAST_TOKEN:
+            sure = ratio(text[at:end]) > cut
+            free = [k for k in range(at, end) if not any(a <= k < z for a, z in base)]
+            parts: list[list[int]] = []
+            for k in free:
+                if parts and parts[-1][1] == k:
+                    parts[-1][1] = k + 1
+                else:
+                    parts.append([k, k + 1])
+            for a, z in parts:
+                if sure or (z - a < end - at and z - a >= secrets.LEAST_TOKEN and ratio(text[a:z]) > cut):
+                    out.append(f"random:{a}:{z}")
+        at = max(end, at + 1)
+    return out
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.001").exists(), reason="no test tables")
+def test_random_spans_against_loops(spark):
+    path = "/root/testdata/sf0.001/documents.parquet"
+    texts = {r["doc_id"]: r["text"] or "" for r in pq.read_table(path).to_pylist()} | {10**6 + i: t or "" for i, t in enumerate(TEXTS)}
+    known = secrets.samples(spark, 200)
+    table = secrets.ratios(known)
+    cut = secrets.threshold(known, table)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    for r in secrets.report(secrets.scan(df, known)).collect():
+        said = [s for s in r["spans"].split(",") if s.startswith("random")]
+        assert said == plain_random(spark, texts[r["doc_id"]], table, cut), r["doc_id"]
+
+
+def test_many_matches_in_one_text(spark):
+    text = " ".join(f"word{k:08d}abcd token=abcdefgh{k:06d}" for k in range(20000))
+    row = secrets.report(secrets.scan(spark.createDataFrame([(1, text)], "doc_id long, text string"))).first()
+    check({1: row}, {1: text})
+    assert row["n_assign"] == 20000
+
+
 @pytest.mark.skipif(not Path("/root/testdata/sf0.001").exists(), reason="no test tables")
 def test_whole_table(spark):
     path = "/root/testdata/sf0.001/documents.parquet"

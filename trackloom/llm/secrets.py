@@ -129,10 +129,15 @@ def threshold(labelled: DataFrame, table: list[float]) -> float:
 
 
 def _found(text: Column, pattern: str) -> Column:
-    """[(start, end, value)] of a pattern's leftmost matches, from the texts between them; none where the text has no match."""
+    """[(all, gap, value)] of a pattern's leftmost matches: how long the match is with the text before it, how long that text is, and the
+    pattern's group; none where the text has no match."""
     lazy = rf"(?s)\G(.*?)(?:{pattern})"  # \G: after the last match the search ends at once and is not begun anew at every character
-    pieces = F.arrays_zip(F.regexp_extract_all(text, F.lit(lazy), F.lit(0)).alias("a"), F.regexp_extract_all(text, F.lit(lazy), F.lit(1)).alias("b"), F.regexp_extract_all(text, F.lit(lazy), F.lit(2)).alias("v"))
-    sizes = F.transform(pieces, lambda p: F.struct(F.length(p["a"]).cast("long").alias("all"), F.length(p["b"]).cast("long").alias("gap"), p["v"].alias("value")))
+    found = lambda group: F.regexp_extract_all(text, F.lit(lazy), F.lit(group))
+    if pattern != ASSIGN:  # the group is the whole match, so what is left of it is the text before
+        sizes = F.zip_with(found(0), found(2), lambda a, v: F.struct(F.length(a).cast("long").alias("all"), (F.length(a) - F.length(v)).cast("long").alias("gap"), v.alias("value")))
+    else:
+        pieces = F.arrays_zip(found(0).alias("a"), found(1).alias("b"), found(2).alias("v"))
+        sizes = F.transform(pieces, lambda p: F.struct(F.length(p["a"]).cast("long").alias("all"), F.length(p["b"]).cast("long").alias("gap"), p["v"].alias("value")))
     return F.when(text.rlike(pattern), sizes).otherwise(F.lit(None))
 
 
@@ -140,20 +145,36 @@ _SPANS = "array<struct<start:bigint,end:bigint,value:string>>"
 
 
 def _placed(sizes: str) -> Column:
-    """Starts and ends, from the running sum of what came before."""
-    kind = f"struct<at:bigint,out:{_SPANS}>"
-    first = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(_SPANS).alias("out")).cast(kind)
+    """Starts and ends, from the running sum of what came before.
+
+    The matches are cut into about as many blocks as a block has matches. Each block is summed up by itself, from the sum of those before
+    it, so a text with n matches costs n * sqrt(n) steps and not n * n (every step of an aggregate copies what it has).
+    """
+    kind, none = f"struct<at:bigint,out:{_SPANS}>", F.array().cast(_SPANS)
+    block = F.greatest(F.ceil(F.sqrt(F.size(sizes))), F.lit(1)).cast("int")
+    blocks = F.transform(F.sequence(F.lit(1), F.greatest(F.size(sizes), F.lit(1)), block), lambda k: F.slice(sizes, k, block))
+    totals = F.transform(blocks, lambda own: F.aggregate(own, F.lit(0).cast("long"), lambda total, s: total + s["all"]))
+    starts = F.aggregate(totals, F.array(F.lit(0).cast("long")), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
     step = lambda acc, s: F.struct((acc["at"] + s["all"]).alias("at"), F.concat(acc["out"], F.array(F.struct((acc["at"] + s["gap"]).alias("start"), (acc["at"] + s["all"]).alias("end"), s["value"].alias("value")))).alias("out")).cast(kind)
-    return F.coalesce(F.when(F.col(sizes).isNotNull(), F.aggregate(F.col(sizes), first, step)["out"]), F.array().cast(_SPANS))
+    spans = F.zip_with(blocks, F.slice(starts, F.lit(1), F.size(blocks)), lambda own, at: F.aggregate(own, F.struct(at.alias("at"), none.alias("out")).cast(kind), step)["out"])
+    return F.coalesce(F.when(F.size(sizes) > 0, F.flatten(spans)), none)
 
 
 _PARTS = "array<struct<start:bigint,end:bigint,value:string,part:boolean,sure:boolean>>"
 
 
-def _uncovered(token: Column, base: Column, sure: Column) -> Column:
-    """The parts of a token that no span of the patterns covers; the whole token where none touches it."""
+def _by_stretch(spans: Column, width: Column) -> Column:
+    """Spans by the stretch of `width` characters that they touch, from the text's start to the last span's end."""
+    stretches = F.sequence(F.lit(0).cast("long"), F.floor(F.coalesce(F.array_max(F.transform(spans, lambda b: b["end"])), F.lit(0)) / width))
+    return F.transform(stretches, lambda k: F.filter(spans, lambda b: (b["start"] < (k + 1) * width) & (b["end"] > k * width)))
+
+
+def _uncovered(token: Column, base: Column, width: Column, sure: Column) -> Column:
+    """The parts of a token that no span of the patterns (base: by stretch) covers; the whole token where none touches it."""
     kind = f"struct<at:bigint,out:{_PARTS}>"
-    touching = F.array_sort(F.filter(base, lambda b: (b["start"] < token["end"]) & (token["start"] < b["end"])))
+    first, last = F.floor(token["start"] / width), F.floor((token["end"] - 1) / width)
+    here = F.when(first < F.size(base), F.flatten(F.slice(base, (first + 1).cast("int"), (last - first + 1).cast("int")))).otherwise(F.array().cast("array<struct<start:bigint,end:bigint>>"))
+    touching = F.array_sort(F.filter(F.array_distinct(here), lambda b: (b["start"] < token["end"]) & (token["start"] < b["end"])))
     ends = F.concat(touching, F.array(F.struct(token["end"].alias("start"), token["end"].alias("end"))))
 
     def step(acc: Column, b: Column) -> Column:
@@ -169,8 +190,11 @@ def _uncovered(token: Column, base: Column, sure: Column) -> Column:
 def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     """doc_id, assign, access, hex, random: the spans of each kind in every text, as arrays of (start, end) in code points, end exclusive.
 
-    random holds the Markov models' finds without what spans of the patterns cover; a part of 12 characters or more counts by itself as well. Null texts are empty and hold nothing. Rows that repeat
-    are scanned as often; other columns are not read. labelled(token, random) replaces the built-in samples.
+    random holds the Markov models' finds without what spans of the patterns cover; a part of 12 characters or more counts by itself as well.
+    Every run of at least LEAST_TOKEN key characters is scored, digits or not; shorter ones are shorter than any value that the patterns
+    count. Null texts are empty and hold nothing. Rows that repeat are scanned as often; rows without a doc_id are scanned too; very long texts
+    are scanned whole, in n * sqrt(n) steps of their n tokens and spans. An empty table gives an
+    empty result; other columns are not read. labelled(token, random) replaces the built-in samples.
     """
     known = (samples(docs.sparkSession) if labelled is None else labelled).select("token", F.col("random").cast("int").alias("random")).filter(F.length("token") > 1)
     table = ratios(known)
@@ -182,7 +206,10 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     long_enough = lambda kind, least: F.filter(kind, lambda s: F.length(s["value"]) >= least)
     out = out.select("doc_id", "random", *[bare(long_enough(k, least)).alias(k) for k, _, least in KINDS])
     base = F.concat("assign", "access", "hex")
-    out = out.withColumn("random", F.flatten(F.transform("random", lambda s: _uncovered(s, base, mean_ratio(s["value"], table) > cut))))
+    #: As many stretches as the root of the number of spans, so that a token is held against few of them.
+    reach = F.coalesce(F.array_max(F.transform(base, lambda b: b["end"])), F.lit(1))
+    out = out.withColumn("_width", F.ceil(reach / F.greatest(F.ceil(F.sqrt(F.size(base))), F.lit(1)))).withColumn("_base", _by_stretch(base, F.col("_width")))
+    out = out.withColumn("random", F.flatten(F.transform("random", lambda s: _uncovered(s, F.col("_base"), F.col("_width"), mean_ratio(s["value"], table) > cut))))
     likely = F.filter("random", lambda p: p["sure"] | (p["part"] & (F.length(p["value"]) >= LEAST_TOKEN) & (mean_ratio(p["value"], table) > cut)))
     return out.select("doc_id", "assign", "access", "hex", bare(likely).alias("random"))
 
@@ -198,6 +225,6 @@ def listed(kinds: list[str]) -> Column:
 
 
 def report(scanned: DataFrame) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans."""
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans of every row of scan(); texts without spans have an empty list."""
     base = [k for k, _, _ in KINDS]
     return scanned.select("doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in base], F.sha2(listed(base), 256).alias("base_sha256"), listed([*base, "random"]).alias("spans"))
