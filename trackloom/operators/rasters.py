@@ -198,3 +198,39 @@ def linked(ends: pd.DataFrame, gap: float, angle_deg: float) -> list[tuple[int,
             used |= {a, b}
             out.append((a, b))
     return out
+
+
+def linked_lines(ends: DataFrame, gap: float, angle_deg: float) -> DataFrame:
+    """scene, line_a, side_a, line_b, side_b: the ends (scene, line, side, x, y, heading) of each scene that linked() joins."""
+
+    def one(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["line", "side"], kind="stable", ignore_index=True)
+        pairs = linked(rows, gap, angle_deg)
+        a, b = (rows.iloc[[p[k] for p in pairs]] for k in (0, 1))
+        return pd.DataFrame({"scene": rows["scene"].iloc[0], "line_a": a["line"].to_numpy(), "side_a": a["side"].to_numpy(), "line_b": b["line"].to_numpy(), "side_b": b["side"].to_numpy()})
+
+    return ends.groupBy("scene").applyInPandas(one, "scene long, line_a long, side_a int, line_b long, side_b int")
+
+
+def smoothed(points: np.ndarray, reach: int = 3) -> np.ndarray:
+    """Each point on the parabola that fits its neighbours within reach best, by their places; ends have fewer neighbours."""
+    out = np.empty_like(points)
+    for k in range(len(points)):
+        lo, hi = max(0, k - reach), min(len(points), k + reach + 1)
+        at = np.arange(lo, hi) - k
+        out[k] = [np.polyfit(at, points[lo:hi, j], min(2, len(at) - 1))[-1] for j in (0, 1)]
+    return out
+
+
+def simplified_lines(points: DataFrame, tolerance: float) -> DataFrame:
+    """scene, n, kept, sx, sy of points (scene, n, x, y): whether simplified() keeps a point, and where smoothed() puts it."""
+
+    def one(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("n", ignore_index=True)
+        xy = rows[["x", "y"]].to_numpy(float)
+        kept = np.zeros(len(rows), bool)
+        kept[simplified(xy, tolerance)] = True
+        smooth = smoothed(xy)
+        return pd.DataFrame({"scene": rows["scene"], "n": rows["n"], "kept": kept, "sx": smooth[:, 0], "sy": smooth[:, 1]})
+
+    return points.groupBy("scene").applyInPandas(one, "scene long, n long, kept boolean, sx double, sy double")
