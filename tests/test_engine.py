@@ -154,6 +154,31 @@ def test_filled_polygons_are_polygon_cells(spark):
     assert {(r["frame"], r["r"], r["c"]): r["layer"] for r in rasters.filled_polygons(df).collect()} == want
 
 
+def test_plan_headings(spark):
+    """A left curve, longer by two in a line or held: headings rise, and a held end keeps the last one."""
+    points = F.array(*[F.struct(F.lit(float(i)).alias("x"), F.lit(0.1 * i * i).alias("y")) for i in range(1, 7)])
+    rows = spark.range(1).select(commands.poses(points).alias("curve"), commands.poses(F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in ((0.0, 0.0), (-1.0, 0.1), (-2.0, 0.0), (-2.0, 0.0))])).alias("turned")).first()
+    xy = np.array([[0, 0], *[[i, 0.1 * i * i] for i in range(1, 7)]])
+    step = np.diff(xy, axis=0)
+    assert [p["heading"] for p in rows["curve"]] == pytest.approx(np.arctan2(step[:, 1], step[:, 0]).tolist())
+    raw = [0.0, math.atan2(0.1, -1), math.atan2(-0.1, -1), math.atan2(-0.1, -1)]
+    assert [p["heading"] for p in rows["turned"]] == pytest.approx(np.unwrap(raw).tolist())
+
+
+def test_simplified_and_smoothed_lines(spark):
+    rng = np.random.default_rng(5)
+    xy = np.cumsum(rng.normal(0, 1, (40, 2)), axis=0)
+    df = spark.createDataFrame([(1, n, float(x), float(y)) for n, (x, y) in enumerate(xy)], "scene long, n long, x double, y double")
+    rows = rasters.simplified_lines(df, 1.5).orderBy("n").collect()
+    kept = [r["n"] for r in rows if r["kept"]]
+    for a, b in zip(kept, kept[1:], strict=False):
+        d = xy[b] - xy[a]
+        off = [abs(d[0] * (p[1] - xy[a][1]) - d[1] * (p[0] - xy[a][0])) / np.hypot(*d) for p in xy[a + 1 : b]]
+        assert max(off, default=0) <= 1.5
+    line = np.stack([np.arange(12.0), 2 + 0.5 * np.arange(12.0) ** 2], 1)
+    assert rasters.smoothed(line) == pytest.approx(line)
+
+
 def test_around_is_linear(spark):
     """A quarter of a million rows of one scene: with a frame that reaches ahead this took hours."""
     n = 250_000

@@ -31,20 +31,42 @@ def label_lines(lines: DataFrame, fields: int, numbers: list[int], sizes: list[i
 
 def stamped_files(spark: SparkSession, folder: str, pattern: str = r"([^/]+)/(\d+)-(\d+)\.[a-z]+$") -> DataFrame:
     """path, stream, t (ns) of files whose stem is seconds-nanoseconds, from the listing alone."""
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path")
-    found = listed.filter(F.col("path").rlike(pattern))
+    return stamped(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path"), pattern)
+
+
+def stamped(paths: DataFrame, pattern: str = r"([^/]+)/(\d+)-(\d+)\.[a-z]+$") -> DataFrame:
+    """path, stream, t (ns) of those paths whose stem is seconds-nanoseconds."""
+    found = paths.filter(F.col("path").rlike(pattern))
     return found.select("path", F.regexp_extract("path", pattern, 1).alias("stream"), (F.regexp_extract("path", pattern, 2).cast("long") * 1_000_000_000 + F.regexp_extract("path", pattern, 3).cast("long")).alias("t"))
 
 
 def scenes_under(spark: SparkSession, folder: str, marker: str, depth: int = 3) -> DataFrame:
     """scene paths: folders at most `depth` levels down that hold a file named marker."""
     root = folder.rstrip("/")
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", marker).load(root).select("path")
-    parent = files.select(F.regexp_replace("path", r"/[^/]+$", "").alias("scene"))
-    below = F.regexp_replace("scene", rf"^.*{root.rsplit('/', 1)[-1]}/?", "")
+    return scene_folders(spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", marker).load(root).select("path"), root, marker, depth)
+
+
+def scene_folders(paths: DataFrame, root: str, marker: str, depth: int = 3) -> DataFrame:
+    """scene: the folders of paths to a file named marker, at most `depth` levels below root."""
+    parent = paths.filter(F.substring_index("path", "/", -1) == marker).select(F.regexp_replace("path", r"/[^/]+$", "").alias("scene"))
+    below = F.substring_index("scene", root.rstrip("/"), -1)
     return parent.filter(F.size(F.filter(F.split(below, "/"), lambda p: p != "")) <= depth).distinct()
 
 
+def log_rows(texts: DataFrame, column: str, schema: str) -> DataFrame:
+    """The rows of JSON arrays in a column, with the other columns beside them. What isn't an array (a pickle, say) is an error."""
+    kind = f"array<struct<{', '.join(f.replace(' ', ':', 1) for f in schema.split(', '))}>>"
+    checked = F.when(F.col(column).rlike(r"^\s*\["), F.col(column)).otherwise(F.raise_error(F.lit("a log has to be a JSON array")))
+    others = [c for c in texts.columns if c != column]
+    return texts.select(*others, F.inline(F.from_json(checked, kind)))
+
+
+def telemetry(lines: DataFrame, schema: str) -> DataFrame:
+    """The fields of CSV lines (recording, line) that start with seconds and nanoseconds, as t in nanoseconds."""
+    rows = lines.select("recording", F.from_csv("line", schema).alias("f")).select("recording", "f.*")
+    return rows.withColumn("t", F.col("sec") * 1_000_000_000 + F.col("nsec")).drop("sec", "nsec")
+
+
 def float_points(files: DataFrame, width: int = 5) -> DataFrame:
     """path, pt, x, y, z of binaryFile rows that hold float32 records of `width` values; a cut-off record is an error."""
 
@@ -62,6 +84,7 @@ def _points(path: str, xyz: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([path] * len(xyz)), pa.array(np.arange(len(xyz), dtype=np.int32)), *[pa.array(np.ascontiguousarray(xyz[:, k])) for k in range(3)]], names=["path", "pt", "x", "y", "z"])
 
 
+# The format's types.
 _PCD_TYPES = {("F", 4): "<f4", ("F", 8): "<f8", ("U", 1): "u1", ("U", 2): "<u2", ("U", 4): "<u4", ("I", 1): "i1", ("I", 2): "<i2", ("I", 4): "<i4"}
 
 
@@ -117,6 +140,20 @@ def rle_runs(counts: str) -> list[int]:
     return out
 
 
+def rle_text(runs: list[int]) -> str:
+    """The string that rle_runs() reads."""
+    out = []
+    for i, n in enumerate(runs):
+        left = n - runs[i - 2] if i > 2 else n
+        while True:
+            low, left = left & 31, left >> 5
+            last = left == (-1 if low & 16 else 0)
+            out.append(chr(48 + low + (0 if last else 32)))
+            if last:
+                break
+    return "".join(out)
+
+
 def wkb_polygon(blob: bytes) -> list[list[tuple[float, float]]]:
     """Rings of a WKB polygon of either byte order."""
     order = "<" if blob[0] == 1 else ">"
