@@ -145,20 +145,24 @@ def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     return marked.filter(~F.col(hit)).select(*columns).unionByName(own.join(gone, F.col("doc_id") == F.col(key), "left_anti"))
 
 
-#: A key with this share of all rows or more is hot. There are at most 1 / HOT_SHARE such keys, which bounds their broadcast.
-HOT_SHARE = 1 / 1000
+#: A key with this share of all rows or more is hot, unless its rows fill no task anyway. There are at most 1 / HOT_SHARE such keys,
+#: which bounds their broadcast.
+HOT_SHARE, HOT_ROWS, SALTS = 1 / 1000, 100_000, 32
 
 
 def join_skewed(rows: DataFrame, value: DataFrame, keys: list[str], total: int) -> DataFrame:
     """rows joined with value(*keys, n, ...) on keys, n being how many of `total` rows have the key; n is left out.
 
-    Rows of hot keys meet a broadcast where they are, all others are shuffled, so that no key fills a task.
+    The rows of a hot key are dealt to SALTS parts, and its value goes to each of them, so that no key fills a task.
     """
-    limit = max(64, int(total * HOT_SHARE))
-    hot, cold = value.filter(F.col("n") >= limit).drop("n"), value.filter(F.col("n") < limit).drop("n")
-    here = rows.join(F.broadcast(hot), keys)
-    there = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(cold, keys)
-    return here.unionByName(there)
+    limit = max(HOT_ROWS, int(total * HOT_SHARE))
+    if total < limit:
+        return rows.join(value.drop("n"), keys)
+    hot = value.filter(F.col("n") >= limit).select(*keys, F.lit(True).alias("__hot"))
+    salted = rows.join(F.broadcast(hot), keys, "left").withColumn("__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS))).otherwise(0).cast("int"))
+    parts = F.when(F.col("n") >= limit, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    spread = value.withColumn("__salt", F.explode(parts)).drop("n")
+    return salted.drop("__hot").join(spread, [*keys, "__salt"]).drop("__salt")
 
 
 class Recent(dict):

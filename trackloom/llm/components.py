@@ -1,6 +1,6 @@
 """Connected components of an edge table, by alternating large-star and small-star steps; all state stays distributed.
 
-Every step joins edges with the smallest neighbour of an end; the ends that have many edges are kept apart from the rest (join_skewed).
+Every step joins edges with the smallest neighbour of an end; those of an end with very many are dealt to several tasks (join_skewed).
 """
 
 from __future__ import annotations
@@ -23,12 +23,10 @@ def components(edges: DataFrame, tables: Tables | None = None, most_rounds: int
         both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(now.select(F.col("b").alias("u"), F.col("a").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).select("u", F.least("u", "m").alias("m"), "n")
         large = join_skewed(both.filter("v > u"), least, ["u"], n).select(F.col("v").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
-        large = materialize(large, "large-edges")
         down = large.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
         small = join_skewed(large, down, ["a"], n).select(F.explode(F.array(F.struct(F.col("a").alias("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").filter("a <> b").distinct()
         after = materialize(small, "edges")
         drop_table(now)
-        drop_table(large)
         now, state = after, after.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before:
             break
