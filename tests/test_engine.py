@@ -235,6 +235,9 @@ def test_publish_is_all_or_nothing(spark, tmp_path):
     with pytest.raises(ValueError, match="few"):
         publish.publish(bad, root, 2, rule)
     assert publish.current_version(spark, root) == 1 and publish.current(spark, root).count() == 3
+    with pytest.raises(FileExistsError):
+        publish.publish(bad, root, 1)
+    assert publish.current(spark, root).count() == 3
     assert publish.stages_to_run(["a", "b", "c"], [("a", "k")], "k", lambda s: True) == ["b", "c"]
     for done, exists in (([("b", "k")], True), ([("a", "old")], True), ([("a", "k")], False)):
         with pytest.raises(ValueError):

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,26 +18,52 @@ def _file_system(spark: SparkSession, path: str):
 
 
 def publish(df: DataFrame, root: str, version: int, check: Callable[[DataFrame], DataFrame] | None = None, partition: list[str] | None = None) -> None:
-    """Write df as root/v=<version>, check it as written, then move the pointer. A failed check leaves the old version in force."""
+    """Write df aside, check it as written, then name it by a pointer file. A failed check leaves the old version in force.
+
+    The pointer is written aside too and renamed into place, which fails where the version is taken: of two writers one raises, and neither
+    touches the other's data.
+    """
     spark = df.sparkSession
-    target = f"{root}/data/v={version}"
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(*partition) if partition else writer).parquet(target)
+    name = f"v={version}-{uuid.uuid4().hex}"
+    target = f"{root}/data/{name}"
+    (df.write.partitionBy(*partition) if partition else df.write).parquet(target)
     if check is not None:
         require_none(check(spark.read.parquet(target)))
-    spark.createDataFrame([(version,)], "version int").coalesce(1).write.mode("append").parquet(f"{root}/pointer")
+    fs, aside = _file_system(spark, f"{root}/pointer/.{name}")
+    out = fs.create(aside, False)
+    out.write(bytearray(name.encode()))
+    out.close()
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(f"{root}/pointer/{version}")
+    none = spark._sc._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(aside, place, none)
+    except Py4JJavaError as error:
+        raise FileExistsError(f"version {version} is published already") from error
 
 
 def current_version(spark: SparkSession, root: str) -> int | None:
+    """The largest published version, from the names of the pointer files alone."""
     fs, at = _file_system(spark, f"{root}/pointer")
-    return spark.read.parquet(f"{root}/pointer").agg(F.max("version")).first()[0] if fs.exists(at) else None
+    names = [s.getPath().getName() for s in fs.listStatus(at)] if fs.exists(at) else []
+    return max((int(n) for n in names if n.isdigit()), default=None)
 
 
 def current(spark: SparkSession, root: str) -> DataFrame:
     version = current_version(spark, root)
     if version is None:
         raise FileNotFoundError(root)
-    return spark.read.parquet(f"{root}/data/v={version}")
+    fs, at = _file_system(spark, f"{root}/pointer/{version}")
+    file = fs.open(at)
+    name = bytes(file.readAllBytes()).decode()
+    file.close()
+    return spark.read.parquet(f"{root}/data/{name}")
+
+
+def reused(old: DataFrame, new: DataFrame, key: str, content: str, place: str) -> DataFrame:
+    """new with `from`: where a row of the same key and content lies already (old's `place`), or null if it has to be written. Nothing is copied."""
+    before = old.select(F.col(key).alias("_k"), F.col(content).alias("_c"), F.col(place).alias("from"))
+    return new.join(before, (F.col(key) == F.col("_k")) & (F.col(content) == F.col("_c")), "left").drop("_k", "_c")
 
 
 def split_write(df: DataFrame, reason: str, accepted: str, quarantine: str) -> None:
