@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import random
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from trackloom.llm import toxicity as T
 
@@ -63,6 +65,39 @@ def test_long_runs():
         assert set("".join(parts)) == set(run) and max(map(len, parts)) <= T.WORD_CHARS
 
 
+def plainly(model, text):
+    """A text's score by loops over its words and their n-grams."""
+    best = -np.inf
+    for run in (text or "").lower().split():
+        for bag in T.bags_of(run):
+            marked = f"<{bag}>"
+            stretches = [(0, marked)] + [(n, marked[i : i + n]) for n in range(T.SHORTEST, T.LONGEST + 1) for i in range(len(marked) - n + 1)]
+            buckets = []
+            for n, part in stretches:
+                total = sum(ord(c) * int(T._ODD[k + (n > 0)]) for k, c in enumerate(part)) + n
+                buckets.append(int(T.mix(np.array([total % 2**64], np.uint64))[0]) % T.BUCKETS)
+            best = max(best, float(np.mean(model.weights[buckets].astype(float))))
+    logit = model.bias if np.isinf(best) else best * model.scale + model.bias
+    return 1 / (1 + np.exp(-np.clip(logit, -40, 40)))
+
+
+def test_scores_are_those_of_loops():
+    rows = made(300, 1)
+    model = T.train([r[1] for r in rows], np.array([r[2] for r in rows]))
+    texts = [r[1] for r in made(9, 7)] + [None, "", "Ünïcode \u00a0STUPID's", "x" * 100 + "-" + "stupid" * 9, "... 12 ?!", "\u4e00\u4e01 mo", "a"]
+    assert model.score(pa.array(texts)).tolist() == pytest.approx([plainly(model, t) for t in texts], abs=1e-5)
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.1").exists(), reason="no test tables")
+def test_held_out_labels(spark):
+    """On the large table: the small ones' fold has six toxic texts, too few to say anything."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    rows = T.score_documents(docs, T.fit(docs, labels)).join(labels, "doc_id").filter("held_out").select("toxic", "predicted").collect()
+    toxic = [r["predicted"] for r in rows if r["toxic"] == 1]
+    clean = [r["predicted"] for r in rows if r["toxic"] == 0]
+    assert len(toxic) > 50 and sum(toxic) >= 0.85 * len(toxic) and sum(clean) <= 0.03 * len(clean)
+
+
 def test_no_labels(spark):
     docs = spark.createDataFrame([(1, "stupid")], "doc_id long, text string")
     labels = spark.createDataFrame([(1, None, None)], "doc_id long, quality int, toxic int")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -101,8 +103,22 @@ def cut(batch: pa.RecordBatch, records: int, most_bytes: int = BATCH_BYTES) -> I
 
 def map_rows(df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, records: int = 256) -> DataFrame:
     """mapInArrow; rows must hold no more than a batch at once. Spark bounds its batches in bytes; they are cut further here, because single
-    texts may be long."""
-    return df.mapInArrow(lambda batches: rows(part for b in batches for part in cut(b, records)), schema)
+    texts may be long. Workers live on between tasks, so a task gives back at its end what it has freed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from rows(part for b in batches for part in cut(b, records))
+        finally:
+            give_back()
+
+    return df.mapInArrow(run, schema)
+
+
+def give_back() -> None:
+    """Return freed memory to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 _BITS = 1 << 25

@@ -29,7 +29,7 @@ from trackloom.llm.components import components
 BANDS, ROWS, ODD_BITS = 30, 5, 512
 #: An estimate this far under the threshold is over five standard deviations away.
 SLACK = 0.18
-CHUNK, PIVOTS, BLOCK, CHUNK_SHINGLES = 512, 16, 256, 2_000_000
+CHUNK, PIVOTS, BLOCK, CHUNK_SHINGLES = 512, 16, 256, 1_000_000
 
 _RNG = np.random.default_rng(20240607)
 _MUL = _RNG.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
@@ -78,9 +78,9 @@ def sketches(docs: DataFrame, n: int) -> DataFrame:
         for b in batches:
             ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
             at = 0
-            while at < len(texts):  # about half a million shingles at a time
+            while at < len(texts):  # some two hundred thousand shingles at a time
                 end, chars = at + 1, len(texts[at])
-                while end < len(texts) and chars < 3_000_000:
+                while end < len(texts) and chars < 1_000_000:
                     chars += len(texts[end])
                     end += 1
                 yield _sketch(ids[at:end], [shingle_set(t, n, cache) for t in texts[at:end]])
@@ -193,7 +193,7 @@ def _intersections(sets: list[np.ndarray]) -> np.ndarray:
     on = several[inverse]
     owner, column = owner[on], column[inverse[on]]
     out = np.zeros((m, m), np.float64)
-    width = max(1, 8_000_000 // m)
+    width = max(1, 2_000_000 // m)
     order = np.argsort(column, kind="stable")
     owner, column = owner[order], column[order]
     for lo in range(0, int(several.sum()), width):

@@ -54,15 +54,15 @@ class WordTokens(Recent):
     def _core(word: bytes) -> tuple[bytes, bytes] | None:
         """(letters, punctuation after them) if the word is just that and lower-casing it is plain; else None."""
         core = word.rstrip(_TAILS)
+        if core.isalpha():  # ASCII letters alone
+            return core, word[len(core) :]
         letters = core.decode("utf-8", "replace")
         if not letters.isalpha():
             return None
-        if not letters.isascii():
-            low = letters.lower()
-            if "Σ" in letters or not low.isalpha() or not unicodedata.is_normalized("NFC", letters) or not unicodedata.is_normalized("NFC", low):
-                return None
-            core = low.encode()
-        return core, word[len(letters.encode()) :]
+        low = letters.lower()
+        if "Σ" in letters or not low.isalpha() or not unicodedata.is_normalized("NFC", letters) or not unicodedata.is_normalized("NFC", low):
+            return None
+        return low.encode(), word[len(core) :]
 
     def ids_of(self, words: list[bytes]) -> list[bytes]:
         """Ids of each of these distinct words; those not seen lately are encoded, the plain ones many at a time."""
