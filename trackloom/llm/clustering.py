@@ -99,7 +99,7 @@ def _read(column: pa.Array, kind: str, n: int) -> np.ndarray:
 
 
 def _state(ids: pa.Array, raw: pa.Array, b: Bounds, was: np.ndarray) -> pa.RecordBatch:
-    columns = [ids, raw, pa.array(b.cluster, pa.int32()), pa.array(was, pa.int32()), pa.array(b.upper), _raw(b.near.astype("u1")), _raw(b.lower.astype("<f8"))]
+    columns = [ids, raw, pa.array(b.cluster, pa.int32()), pa.array(was, pa.int32()), pa.array(b.upper), _raw(b.near.astype("<u4")), _raw(b.lower.astype("<f8"))]
     return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in STATE.split(", ")])
 
 
@@ -126,7 +126,7 @@ def next_pass(state: DataFrame, before: np.ndarray, centroids: np.ndarray, near:
             bounds = Bounds(_read(part.column(1), "<i4", n).astype(np.int64), len(centroids), near)
             was = part.column(2).to_numpy()
             bounds.cluster, bounds.upper = was.astype(np.int64), part.column(4).to_numpy().copy()
-            bounds.near, bounds.lower = _read(part.column(5), "u1", n).astype(np.int64).reshape(n, bounds.n_near), _read(part.column(6), "<f8", n).copy()
+            bounds.near, bounds.lower = _read(part.column(5), "<u4", n).astype(np.int64).reshape(n, bounds.n_near), _read(part.column(6), "<f8", n).copy()
             bounds.moved(by)
             bounds.assign(centroids)
             yield _state(part.column(0), part.column(1), bounds, was)
