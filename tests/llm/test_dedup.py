@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from trackloom.llm import near_dedup as N
 from trackloom.llm.components import components
-from trackloom.llm.exact_dedup import exact_dedup, keep_largest
+from trackloom.llm.exact_dedup import exact_dedup, keep_each_text, keep_largest
 
 SCHEMA = "doc_id long, text string, keep_id int, digest string"
 
@@ -47,6 +47,13 @@ def test_exact_keeps_one_row_without_an_id(spark):
     assert sorted((str(r["doc_id"]), r["text"] or "") for r in left.collect()) == [("3", "named"), ("5", "own"), ("None", ""), ("None", "alone"), ("None", "twice")]
 
 
+def test_each_text_keeps_columns_of_any_name(spark):
+    rows = [(1, "a", "t1", "u1", "v1", 1), (2, "a", "t2", "u2", "v2", 2), (None, "b", "t3", "u3", "v3", 3), (None, "b", "t3", "u3", "v3", 3), (None, "a", "t4", "u4", "v4", 4), (None, None, "t5", "u5", "v5", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `__t` string, `__alone` string, `a.b` string, `__text` int")
+    kept = keep_each_text(docs)
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.collect()), key=str) == sorted([rows[1], rows[2], rows[5]], key=str)
+
+
 def test_exact_hot_group_and_empty(spark):
     rows = frame(spark, [(i, "same" if i % 2 else f"own {i}") for i in range(400)])
     assert {(r["keep_id"], r["group_size"]) for r in exact_dedup(rows).filter("group_size > 1").collect()} == {(399, 200)}

@@ -72,6 +72,29 @@ def test_one_id_fills_no_group(spark):
         assert len(own) > 100 and own.value_counts().max() < 0.5 * len(own) and own.nunique() > 4
 
 
+def test_large_ids_beside_nulls_in_a_shuffled_table(spark):
+    rows = [(2**60 + k, f"a b {k % 7}") for k in range(60)] + [(None, "c d")] * 20 + [(-(2**59) - 1, "e " * 700)] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    ids = sorted((r[0] for r in rows), key=str)
+    pieces = packing.pack_documents(docs, PATH, limit=128, group_chars=300).collect()
+    assert sorted((r["doc_id"] for r in pieces if r["start"] == 0), key=str) == ids and len({r["sequence_id"] >> 32 for r in pieces}) > 3
+    packed = token_output.pack_matrices(docs, PATH, limit=128, group_chars=300).collect()
+    assert sorted((i for r in packed for i, s in zip(r["doc_ids"], r["doc_starts"], strict=True) if s == 0), key=str) == ids
+
+
+def test_places_do_not_depend_on_the_order():
+    from collections import Counter
+
+    from trackloom.llm.tokens import places
+
+    pieces = [(k % 3 or None, 0, k % 2) for k in range(40)]
+
+    def dealt(rows):
+        return sorted(zip(rows, places(Counter(), *map(list, zip(*rows, strict=True))), strict=True), key=str)
+
+    assert dealt(pieces) == dealt(pieces[::-1]) and len({p for _, p in dealt(pieces)}) == 40
+
+
 @pytest.mark.skipif(not Path(SF).exists(), reason="no test tables")
 def test_whole_table(spark):
     docs = spark.read.parquet(SF)

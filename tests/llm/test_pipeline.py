@@ -18,7 +18,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_names():
-    assert [n.split("_")[0] for n in queries.queries()] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.queries()] == [f"op{k}" for k in range(1, 14)]
     assert set(queries.oracle_sql()) <= set(queries.queries())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "near_dedup", "decontamination", "packing"]
 

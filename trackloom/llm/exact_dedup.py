@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import materialize, text_of, without
+from trackloom.llm.common import docs_column, materialize, text_of, unused, without
 
 #: A group is hot if it holds this share of all rows or more; there are at most 1 / HOT_SHARE such groups, which bounds their broadcast.
 HOT_SHARE = 1 / 1000
@@ -65,17 +65,23 @@ def _collided(docs: DataFrame, shared: DataFrame, digest: Callable[[Column], Col
 def keep_largest(docs: DataFrame, salts: int = 16) -> DataFrame:
     """docs without the rows that a row of equal text and larger doc_id replaces, and without those that have no doc_id; same columns.
 
-    A doc_id whose rows differ in text stays if any of its rows does.
+    A doc_id whose rows differ in text stays if any of its rows does; rows that repeat one stay or go together. Null texts equal empty ones; long
+    texts are compared whole; other columns, whatever they are called, come along. An empty table gives an empty result.
     """
     lost = exact_dedup(docs, salts).groupBy("doc_id").agg(F.bool_or("kept").alias("kept")).filter("not kept")
     return without(docs.filter("doc_id is not null"), lost)
 
 
 def keep_each_text(docs: DataFrame, salts: int = 16) -> DataFrame:
-    """keep_largest, and of the texts that only rows without a doc_id have, one row per equal text; same columns."""
+    """keep_largest, and of the texts that only rows without a doc_id have, one row per equal text; same columns, whatever they are called.
+
+    Such rows of equal text may differ in other columns: any one of them stays. Null texts equal empty ones; long texts are compared whole. An
+    empty table gives an empty result.
+    """
     kept, nameless = keep_largest(docs, salts), docs.filter("doc_id is null")
     if nameless.isEmpty():
         return kept
-    alone = exact_dedup(docs, salts).filter("doc_id is null and keep_id is null").select(F.col("text_sha256").alias("__alone")).distinct()
-    one = nameless.withColumn("__t", text_of()).dropDuplicates(["__t"])
-    return kept.unionByName(one.join(alone, sha256_hex(F.col("__t")) == F.col("__alone"), "left_semi").select(*docs.columns))
+    text, key = unused("__text", docs), unused("__alone", docs)
+    alone = exact_dedup(docs, salts).filter("doc_id is null and keep_id is null").select(F.col("text_sha256").alias(key)).distinct()
+    one = nameless.withColumn(text, text_of()).dropDuplicates([text])
+    return kept.unionByName(one.join(alone, sha256_hex(F.col(text)) == F.col(key), "left_semi").select(*[docs_column(c) for c in docs.columns]))

@@ -1,22 +1,25 @@
 """Token-ID output: best-fit-decreasing packing with a segment tree over capacities, as fixed-width id matrices.
 
 Documents are tokenised where they are read and cut at multiples of the sequence length, so overlong ones lose nothing. Their
-pieces, with ids in the narrowest unsigned type that holds the vocabulary, are dealt to groups by a hash of their place in the table,
-piece by piece, so that no id, and no document however long, fills a group. A group is one task's work and one matrix.
+pieces, with ids in the narrowest unsigned type that holds the vocabulary, are dealt to groups by a hash of what they are and of how many of
+their like came before, piece by piece, so that no id, and no document however long, fills a group. A group is one task's work and one matrix.
 """
 
 from __future__ import annotations
 
 import heapq
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trackloom.llm.common import map_rows, text_of
+from trackloom.llm.packing import CACHE, dealt
 
 LENGTH, PAD_ID = 4096, 0
 GROUP_CHARS = 16 << 20
@@ -79,46 +82,50 @@ def best_fit_decreasing(lengths: np.ndarray, limit: int) -> tuple[np.ndarray, np
     return bins, offsets
 
 
-def _pieces(docs: DataFrame, tokenizer: str, limit: int, kind: str) -> DataFrame:
+def _pieces(docs: DataFrame, tokenizer: str, limit: int, kind: str, cache: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from trackloom.llm.tokens import word_tokens
+        from trackloom.llm.tokens import places, word_tokens
 
-        table = word_tokens(tokenizer)
+        table, seen = word_tokens(tokenizer, cache), Counter()
         for b in batches:
-            out = [(i, lo, ids[lo : lo + limit].astype(kind).tobytes()) for i, ids in zip(b.column(0).to_pylist(), table.texts(b.column(1)), strict=True) for lo in range(0, len(ids), limit)]
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.binary()))], names=["doc_id", "start", "ids"])
+            cut = [(i, lo, ids[lo : lo + limit].astype(kind).tobytes()) for i, ids in zip(b.column(0).to_pylist(), table.texts(b.column(1)), strict=True) for lo in range(0, len(ids), limit)]
+            doc_ids, starts, raw = (list(x) for x in zip(*cut, strict=True))
+            place = places(seen, doc_ids, starts, [zlib.crc32(x) for x in raw])
+            yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.array(starts, pa.int64()), pa.array(raw, pa.binary()), pa.array(place, pa.int64())], names=["doc_id", "start", "ids", "place"])
 
-    return map_rows(docs.select("doc_id", text_of()), run, "doc_id long, start long, ids binary", 512)
+    return map_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")), run, "doc_id long, start long, ids binary, place long", 512)
 
 
-def pack_matrices(docs: DataFrame, tokenizer: str, limit: int = LENGTH, group_chars: int = GROUP_CHARS, seed: int = 17) -> DataFrame:
+def pack_matrices(docs: DataFrame, tokenizer: str, limit: int = LENGTH, group_chars: int = GROUP_CHARS, seed: int = 17, cache: int = CACHE) -> DataFrame:
     """One row per sequence, a row of its group's id matrix: ids holds exactly `limit` ids, padded with PAD_ID after n_tokens.
 
     cu_seqlens has the segments' ends after a leading 0 (and limit nowhere unless the row is full); position_resets where positions
     start again from 0, one per segment; doc_ids and doc_starts which document each segment comes from, and where in its ids it starts.
-    Every id of every document, with the end id, lies in exactly one segment. Null texts are empty and have the end id alone; rows
-    that repeat are packed as often; null doc_ids are packed too. Other columns are not read.
+    Every id of every document, with the end id, lies in exactly one segment. Null and empty texts have the end id alone; very long texts are
+    cut at multiples of limit; rows that repeat are packed as often; null doc_ids are packed too. Of equally long pieces of a group the one with the
+    smaller doc_id (null last), start and ids goes first. Other columns are not read; an empty table gives an empty result.
     """
     kind = id_type(tokenizer)
     width = np.dtype(kind).itemsize
     chars = docs.agg(F.sum(F.length(text_of()))).first()[0] or 0
     groups = max(1, -(-chars // group_chars))
 
-    def pack(part: pd.DataFrame) -> pd.DataFrame:
-        group = int(part["group"].iloc[0])
-        part = part.assign(n=part["ids"].map(len) // width).sort_values(["n", "doc_id", "start", "ids"], ascending=[False, True, True, True], kind="stable", ignore_index=True)
-        bins, offsets = best_fit_decreasing(part["n"].to_numpy(), limit)
-        out = []
-        order = np.lexsort((offsets, bins))
+    def pack(part: pa.Table) -> pa.Table:
+        group = part.column("group")[0].as_py()
+        part = part.append_column("n", pc.divide(pc.cast(pc.binary_length(part.column("ids")), pa.int64()), width))
+        part = part.take(pc.sort_indices(part, sort_keys=[("n", "descending"), ("doc_id", "ascending"), ("start", "ascending"), ("ids", "ascending")]))
+        sizes, doc_ids, starts, raw = part.column("n").to_numpy(), part.column("doc_id").to_pylist(), part.column("start").to_pylist(), part.column("ids").to_pylist()
+        bins, offsets = best_fit_decreasing(sizes, limit)
+        order, out = np.lexsort((offsets, bins)), []
         for own in np.split(order, np.flatnonzero(np.diff(bins[order])) + 1):
-            sizes = part["n"].to_numpy()[own]
-            ends = np.cumsum(sizes)
-            ids = b"".join(part["ids"].iloc[own])
-            out.append((group * (1 << 32) + int(bins[own[0]]), int(ends[-1]), ids + np.full(limit - int(ends[-1]), PAD_ID, kind).tobytes(), [0, *ends.tolist()], (ends - sizes).tolist(), [None if pd.isna(i) else int(i) for i in part["doc_id"].iloc[own]], part["start"].iloc[own].tolist()))
-        return pd.DataFrame(out, columns=["sequence_id", "n_tokens", "ids", "cu_seqlens", "position_resets", "doc_ids", "doc_starts"])
-
-    dealt = _pieces(docs, tokenizer, limit, kind).withColumn("group", F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(seed)), F.lit(groups)))
-    return dealt.groupBy("group").applyInPandas(pack, MATRIX)
+            ends, at = np.cumsum(sizes[own]), own.tolist()
+            ids = b"".join([raw[k] for k in at])
+            used = int(ends[-1])
+            out.append((group * (1 << 32) + int(bins[own[0]]), used, ids + np.full(limit - used, PAD_ID, kind).tobytes(), [0, *ends.tolist()], (ends - sizes[own]).tolist(), [doc_ids[k] for k in at], [starts[k] for k in at]))
+        kinds = {"sequence_id": pa.int64(), "n_tokens": pa.int32(), "ids": pa.binary(), "cu_seqlens": pa.list_(pa.int32()), "position_resets": pa.list_(pa.int32()), "doc_ids": pa.list_(pa.int64()), "doc_starts": pa.list_(pa.int64())}
+        return pa.table({name: pa.array(column, t) for (name, t), column in zip(kinds.items(), zip(*out, strict=True), strict=True)})
+
+    return dealt(_pieces(docs, tokenizer, limit, kind, cache), groups, seed).groupBy("group").applyInArrow(pack, MATRIX)
 
 
 def write_matrices(packed: DataFrame, path: str) -> None:

@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import re
 import unicodedata
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -31,10 +32,9 @@ def _values(array: pa.LargeStringArray) -> list[bytes]:
 class WordTokens(Recent):
     """Lower-cased word (bytes) -> its ids as little-endian uint32 bytes."""
 
-    LIMIT = 150_000
-
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, words: int = 150_000) -> None:
         super().__init__()
+        self.LIMIT = words
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -122,11 +122,25 @@ class WordTokens(Recent):
         return [out[cuts[i] : cuts[i + 1]] for i in range(len(texts))]
 
 
-_OPEN: dict[str, WordTokens] = {}
+_OPEN: dict[tuple[str, int], WordTokens] = {}
+
+
+def word_tokens(path: str, words: int = 150_000) -> WordTokens:
+    """The worker's table for this file, which keeps `words` words in each of two generations; workers live on between tasks."""
+    if (path, words) not in _OPEN:
+        _OPEN[path, words] = WordTokens(path, words)
+    return _OPEN[path, words]
+
 
+def places(seen: Counter, doc_ids: list[int | None], starts: list[int], checksums: list[int]) -> list[int]:
+    """A 64-bit place to deal each piece by: what the piece is, and how many of its like the task has dealt before (seen).
 
-def word_tokens(path: str) -> WordTokens:
-    """The worker's table for this file; workers live on between tasks."""
-    if path not in _OPEN:
-        _OPEN[path] = WordTokens(path)
-    return _OPEN[path]
+    A task that runs again on the same rows in another order deals the same places, so no piece is lost or doubled; and rows that repeat get
+    places of their own, so they don't meet in a group.
+    """
+    out = []
+    for piece in zip(doc_ids, starts, checksums, strict=True):
+        key = hash(piece)
+        out.append(hash((*piece, seen[key])))
+        seen[key] += 1
+    return out
