@@ -19,6 +19,9 @@ from trackloom.llm.packing import pack_documents
 from trackloom.llm.queries import tokenizer_path
 from trackloom.llm.toxicity import fit, reject_toxic
 
+#: Words whose ids a worker keeps; less than op5 alone has, as other stages' memory is not all given back before packing begins.
+TOKEN_CACHE = 150_000
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -44,7 +47,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every row's pieces, repeats and rows without an id included; of equally long pieces the smaller doc_id goes first."""
-    return pack_documents(docs, tokenizer_path())
+    return pack_documents(docs, tokenizer_path(), cache=TOKEN_CACHE)
 
 
 STAGES: list[tuple[str, Stage]] = [("toxicity", toxicity), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("decontamination", decontamination), ("packing", packing)]
