@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trackloom.operators.grids import square
+from trackloom.operators.sequences import parabola_weights, parabolas
 
 
 def dense(rows: pd.DataFrame, pad: int = 0) -> tuple[np.ndarray, int, int]:
@@ -214,23 +215,18 @@ def linked_lines(ends: DataFrame, gap: float, angle_deg: float) -> DataFrame:
 
 def smoothed(points: np.ndarray, reach: int = 3) -> np.ndarray:
     """Each point on the parabola that fits its neighbours within reach best, by their places; ends have fewer neighbours."""
-    out = np.empty_like(points)
-    for k in range(len(points)):
-        lo, hi = max(0, k - reach), min(len(points), k + reach + 1)
-        at = np.arange(lo, hi) - k
-        out[k] = [np.polyfit(at, points[lo:hi, j], min(2, len(at) - 1))[-1] for j in (0, 1)]
-    return out
+    ends = [(min(k, reach), min(len(points) - 1 - k, reach)) for k in range(len(points))]
+    return np.array([np.array(parabola_weights(a, b)) @ points[k - a : k + b + 1] for k, (a, b) in enumerate(ends)])
 
 
 def simplified_lines(points: DataFrame, tolerance: float) -> DataFrame:
-    """scene, n, kept, sx, sy of points (scene, n, x, y): whether simplified() keeps a point, and where smoothed() puts it."""
+    """scene, n, kept, sx, sy of points (scene, n, x, y): whether simplified() keeps a point, and where its neighbours' parabola puts it."""
 
     def one(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("n", ignore_index=True)
-        xy = rows[["x", "y"]].to_numpy(float)
         kept = np.zeros(len(rows), bool)
-        kept[simplified(xy, tolerance)] = True
-        smooth = smoothed(xy)
-        return pd.DataFrame({"scene": rows["scene"], "n": rows["n"], "kept": kept, "sx": smooth[:, 0], "sy": smooth[:, 1]})
+        kept[simplified(rows[["x", "y"]].to_numpy(float), tolerance)] = True
+        return rows[["scene", "n", "sx", "sy"]].assign(kept=kept)
 
-    return points.groupBy("scene").applyInPandas(one, "scene long, n long, kept boolean, sx double, sy double")
+    smooth = parabolas(points.select("scene", F.col("n").cast("long").alias("n"), "x", "y"), ["scene"], ["n"], ["x", "y"])
+    return smooth.groupBy("scene").applyInPandas(one, "scene long, n long, sx double, sy double, kept boolean").select("scene", "n", "kept", "sx", "sy")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -133,3 +134,28 @@ def advantage(df: DataFrame, value: str, keys: list[str], floor: float = 1e-3, o
     w = Window.partitionBy(*keys)
     spread = F.greatest(F.coalesce(F.stddev_samp(value).over(w), F.lit(0.0)), F.lit(floor))
     return df.withColumn(out, (F.col(value) - F.avg(value).over(w)) / spread)
+
+
+def parabola_weights(before: int, after: int) -> list[float]:
+    """What each neighbour, from `before` places back to `after` ahead, adds to the value at 0 of the parabola that fits them best."""
+    at = np.arange(-before, after + 1, dtype=float)
+    return np.linalg.pinv(at[:, None] ** np.arange(min(2, len(at) - 1) + 1))[0].tolist()
+
+
+def parabolas(points: DataFrame, keys: list[str], order: list[str], values: list[str], reach: int = 3) -> DataFrame:
+    """points with s<value> columns: each point on the parabola that fits its neighbours within reach best, by their places.
+
+    The weights of the neighbours depend on how many there are before and after alone, so they are fixed; ends have fewer neighbours.
+    """
+    weights = {(before, after): parabola_weights(before, after) for before in range(reach + 1) for after in range(reach + 1)}
+    span = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-reach, reach)
+    whole = Window.partitionBy(*keys).orderBy(*order)
+    size = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    out = points.withColumn("_k", F.row_number().over(whole)).withColumn("_size", size)
+    before, after = F.least(F.col("_k") - 1, F.lit(reach)), F.least(F.col("_size") - F.col("_k"), F.lit(reach))
+    table = F.array(*[F.lit(weights[b, a]) for b in range(reach + 1) for a in range(reach + 1)])
+    out = out.withColumn("_w", F.get(table, (before * (reach + 1) + after).cast("int")))
+    for v in values:
+        near = F.zip_with(F.collect_list(v).over(span), "_w", lambda x, w: x * w)
+        out = out.withColumn(f"s{v}", near).withColumn(f"s{v}", F.aggregate(f"s{v}", F.lit(0.0), lambda a, b: a + b))
+    return out.drop("_k", "_size", "_w")

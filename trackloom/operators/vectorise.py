@@ -175,29 +175,6 @@ def smoothed_lines(points: DataFrame, **how: float) -> DataFrame:
     return points.groupBy("frame", "line").applyInPandas(one, "frame long, line int, n int, x double, y double")
 
 
-def parabolas(points: DataFrame, keys: list[str], order: list[str], values: list[str], reach: int = 3) -> DataFrame:
-    """points with s<value> columns: each point on the parabola that fits its neighbours within reach best, by their places.
-
-    The weights of the neighbours depend on how many there are before and after alone, so they are fixed; ends have fewer neighbours.
-    """
-    weights = {}
-    for before in range(reach + 1):
-        for after in range(reach + 1):
-            at = np.arange(-before, after + 1, dtype=float)
-            weights[before, after] = np.linalg.pinv(at[:, None] ** np.arange(min(2, len(at) - 1) + 1))[0].tolist()
-    span = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-reach, reach)
-    whole = Window.partitionBy(*keys).orderBy(*order)
-    size = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    out = points.withColumn("_k", F.row_number().over(whole)).withColumn("_size", size)
-    before, after = F.least(F.col("_k") - 1, F.lit(reach)), F.least(F.col("_size") - F.col("_k"), F.lit(reach))
-    table = F.array(*[F.lit(weights[b, a]) for b in range(reach + 1) for a in range(reach + 1)])
-    out = out.withColumn("_w", F.get(table, (before * (reach + 1) + after).cast("int")))
-    for v in values:
-        near = F.zip_with(F.collect_list(v).over(span), "_w", lambda x, w: x * w)
-        out = out.withColumn(f"s{v}", near).withColumn(f"s{v}", F.aggregate(f"s{v}", F.lit(0.0), lambda a, b: a + b))
-    return out.drop("_k", "_size", "_w")
-
-
 def turn(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> float:
     return (b[0] - a[0]) * (c[1] - a[1]) - (b[1] - a[1]) * (c[0] - a[0])
 
@@ -271,7 +248,9 @@ def candidate_shapes(parts: DataFrame) -> DataFrame:
         shapes, sides = {"hull": corners}, (0.0, 0.0)
         if len(corners) > 2:
             box, *sides = rectangle(corners)
-            shapes = {"rectangle": box, "quad": fewer_corners(corners, 4), "triangle": fewer_corners(corners, 3), "hull": fewer_corners(corners, 6)}
+            shapes = {"rectangle": box, "triangle": fewer_corners(corners, 3), "hull": fewer_corners(corners, 6)}
+            if len(corners) > 3:
+                shapes["quad"] = fewer_corners(corners, 4)
         named = [(k, [{"r": float(r), "c": float(c)} for r, c in s]) for k, s in shapes.items()]
         return pd.DataFrame([(rows["frame"].iloc[0], rows["part"].iloc[0], len(rows), area(corners) if len(corners) > 2 else 0.0, sides[0] * sides[1], min(sides), *s) for s in named], columns=["frame", "part", "n", "hull_area", "rect_area", "short_side", "kind", "corners"])
 

@@ -105,8 +105,8 @@ def r14_votes(spark: SparkSession, d: str) -> DataFrame:
 @register("r17_simplified_lines")
 def r17(spark: SparkSession, d: str) -> DataFrame:
     """The points of each track that stay within 25 m of it as straight pieces, and the track smoothed by local parabolas."""
-    n = pose_track(spark, d).withColumn("n", F.row_number().over(Window.partitionBy("scene").orderBy("t", "eid")) - 1)
-    return R.simplified_lines(n.select("scene", "n", "x", "y"), 25.0).select("scene", "n", "kept", F.round("sx", 5).alias("sx"), F.round("sy", 5).alias("sy"))
+    n = pose_track(spark, d).select("scene", (F.row_number().over(Window.partitionBy("scene").orderBy("t", "eid")) - 1).cast("long").alias("n"), "x", "y")
+    return R.simplified_lines(n, 25.0).select("scene", "n", "kept", F.round("sx", 5).alias("sx"), F.round("sy", 5).alias("sy"))
 
 
 _WRAPPED = "abs(({h}) - floor((({h}) + pi()) / (2 * pi())) * 2 * pi())"

@@ -53,6 +53,10 @@ def current(spark: SparkSession, root: str) -> DataFrame:
     version = current_version(spark, root)
     if version is None:
         raise FileNotFoundError(root)
+    return _version(spark, root, version)
+
+
+def _version(spark: SparkSession, root: str, version: int) -> DataFrame:
     fs, at = _file_system(spark, f"{root}/pointer/{version}")
     file = fs.open(at)
     name = bytes(file.readAllBytes()).decode()
@@ -82,3 +86,36 @@ def stages_to_run(stages: list[str], done: list[tuple[str, str]], config: str, e
     if missing := [s for s, _ in done if not exists(s)]:
         raise ValueError(f"outputs are missing: {missing}")
     return stages[len(done) :]
+
+
+Stage = tuple[str, Callable[[DataFrame | None], DataFrame]]
+
+
+def run_stages(spark: SparkSession, root: str, stages: list[Stage], config: str, crash_before_entry: str | None = None) -> dict[str, DataFrame]:
+    """Run the stages that a log does not name yet, in order, each on its predecessor's output (the first on None), and return all outputs.
+
+    A stage's output is written whole first and its entry in the log then, as a version of its own that names where the output lies; so a run that dies
+    between the two does the stage again, elsewhere, and never reads half an output. A log that was made with another configuration raises, and so does
+    one whose outputs are gone. crash_before_entry names a stage to die at, for tests.
+    """
+    log, done, outputs = f"{root}/log", [], {}
+    for k in range(current_version(spark, log) or 0):
+        entry = _version(spark, log, k + 1).first()
+        done.append((entry["stage"], entry["config"]))
+        outputs[entry["stage"]] = entry["output"]
+
+    def exists(name: str) -> bool:
+        fs, at = _file_system(spark, outputs[name] + "/_SUCCESS")
+        return fs.exists(at)
+
+    names = [name for name, _ in stages]
+    todo = stages_to_run(names, done, config, exists)
+    for name, run in stages[len(names) - len(todo) :]:
+        k = names.index(name)
+        before = spark.read.parquet(outputs[names[k - 1]]) if k else None
+        outputs[name] = f"{root}/stage/{name}-{uuid.uuid4().hex}"
+        run(before).write.parquet(outputs[name])
+        if name == crash_before_entry:
+            raise InterruptedError(name)
+        publish(spark.createDataFrame([(name, config, outputs[name])], "stage string, config string, output string"), log, k + 1)
+    return {name: spark.read.parquet(outputs[name]) for name in names}

@@ -30,6 +30,11 @@ def annotation_table(spark: SparkSession, folders: list[str], name: str) -> Data
     return read.withColumn("scene", F.regexp_extract(F.input_file_name(), r"([^/]+)/[^/]+$", 1))
 
 
+def json_folders(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """One table of all scenes below a path whose folders are named scene=...; a scene's file is one array of JSON."""
+    return spark.read.schema(SCHEMAS[name] + ", scene string").option("multiLine", "true").json(path)
+
+
 def frames(tables: dict[str, DataFrame]) -> DataFrame:
     """scene, sample, channel, filename, timestamp with the sensor's calibration and the ego pose; missing links give nulls, not lost rows."""
     data = tables["sample_data"].alias("d")
