@@ -328,3 +328,106 @@ def test_alignment_is_the_best_of_all_and_looks_at_few(spark):
         assert got[frame] == (dr, dc, t, score)
     looked = sum(level.count() for level in tried)
     assert looked < 0.1 * 4 * len(turns) * 32 * 32
+
+
+def test_patches_equal_direct_sums(spark):
+    from trackloom.operators import stereo as S
+
+    rng = np.random.default_rng(6)
+    a = rng.integers(0, 50, (9, 14))
+    b = np.roll(a, 3, axis=1) + rng.integers(0, 3, a.shape)
+    a[:4, :4] = 7  # flat
+    rows = lambda x: spark.createDataFrame([(1, r, c, int(v)) for (r, c), v in np.ndenumerate(x) if v], "frame long, r int, c int, v long")
+    image, other = S.dense_image(rows(a), 9, 14), S.dense_image(rows(b), 9, 14)
+    for reach in (1, 2):
+        got = {(x["r"], x["c"]): (x["depth"], x["ncc"]) for x in S.matched_depth(image, other, [2.0, 4.0, 3.0, 50.0], 12.0, reach).collect()}
+        want = {}
+        for r, c in np.ndindex(a.shape):
+            for z, s in ((2.0, 6), (4.0, 3), (3.0, 4), (50.0, 0)):
+                if reach <= r < 9 - reach and reach <= c and c + s < 14 - reach:
+                    p, q = (x[r - reach : r + reach + 1, k - reach : k + reach + 1].astype(float) for x, k in ((a, c), (b, c + s)))
+                    p, q = p - p.mean(), q - q.mean()
+                    if p.any() and q.any():
+                        ncc = round(float((p * q).sum() / np.sqrt((p * p).sum() * (q * q).sum())), 9)
+                        want[r, c] = max(want.get((r, c), (-9, 0)), (ncc, z))
+        assert set(got) == set(want) and all(got[k][0] == z and got[k][1] == pytest.approx(ncc, abs=1e-6) for k, (ncc, z) in want.items())
+        assert Counter(z for z, _ in got.values()).most_common(1)[0][0] == 4.0
+
+
+def test_paint_is_told_apart(spark):
+    from trackloom.operators import paint as P
+
+    bars = {(r, c) for r in (10, 13, 16, 19) for c in range(20, 30)}
+    stop, lane, far_bar = {(31, c) for c in range(20, 31)}, {(r, 4) for r in range(0, 22)} | {(r, 4) for r in range(30, 45)}, {(80, c) for c in range(3, 14)}
+    mask = spark.createDataFrame([(3, r, c) for r, c in bars | stop | lane | far_bar], "frame long, r int, c int")
+    votes = P.ballots(mask, 36)
+    lines = P.supported(votes, P.maxima(votes, 36, 8), 3.0, 6.0)
+    kinds = P.named(lines, P.stripes(lines, 36, 10.0, 25.0, 1.5, 3, (3.0, 12.0)), 13.0, (6.0, 30.0)).collect()
+    covers = lambda kind: {(r, c) for x in kinds if x["kind"] == kind for r, c in bars | stop | lane | far_bar if min(x["r0"], x["r1"]) <= r <= max(x["r0"], x["r1"]) and min(x["c0"], x["c1"]) <= c <= max(x["c0"], x["c1"])}
+    assert {r for r, _ in covers("stripe")} >= {10, 13, 16, 19} and len(covers("stripe") & bars) >= 36
+    assert len(covers("stop") & stop) >= 9 and not covers("stop") & far_bar and len(covers("lane") & lane) >= 34
+    assert max(x["length"] for x in kinds if x["kind"] == "lane") <= 22  # a gap ends a run
+
+
+def plain_render(label, extent, strip, most_hole, share=0.3):
+    """The composition over dictionaries of one frame, with sets alone."""
+    height, width = extent
+    square = [(a, b) for a in (-1, 0, 1) for b in (-1, 0, 1)]
+    shift = lambda p, s: (p[0] + s[0], p[1] + s[1])
+    erode = lambda own: {p for p in own if all(shift(p, s) in own for s in square)}
+    dilate = lambda own, k: own if not k else dilate({shift(p, s) for p in own for s in square}, k - 1)
+
+    def reach(start, allowed, steps):
+        seen, todo = set(start), list(start)
+        while todo:
+            p = todo.pop()
+            new = {shift(p, s) for s in steps} & allowed - seen
+            seen |= new
+            todo += new
+        return seen
+
+    def holes(own, most):
+        if not own:
+            return set()
+        rows, columns = [r for r, _ in own], [c for _, c in own]
+        free = {(r, c) for r in range(min(rows) - 1, max(rows) + 2) for c in range(min(columns) - 1, max(columns) + 2)} - own
+        four = [(0, 1), (0, -1), (1, 0), (-1, 0)]
+        free -= reach([(min(rows) - 1, min(columns) - 1)], free, four)
+        return {p for p in free if len(reach([p], free, four)) <= most}
+
+    road = {p for p, v in label.items() if v in ("road", "crossing", "line", "divider")}
+    thin = erode(road)
+    near = dilate(reach([p for p in thin if strip[0] <= p[1] <= strip[1]], thin, square), 2) & road
+    region = near if len(near) >= share * len(road) else road
+    out = {p: v for p, v in label.items() if p not in road or p in region}
+    out |= {p: "road" for p in holes(region, most_hole) if p not in out}
+    road = {p for p, v in out.items() if v in ("road", "crossing", "line", "divider")}
+    closed = erode(dilate(road, 1))
+    whole = closed | holes(closed, height * width)
+    land = {(r, c) for r in range(height) for c in range(width)} - whole
+    beyond = dilate(erode(land), 2)
+    return out | {p: "edge" for p in whole - erode(whole) if 0 < p[0] < height - 1 and p in beyond}
+
+
+def test_composed_render(spark, tmp_path):
+    from functools import partial
+
+    from trackloom.operators import render as N
+    from trackloom.sources import publish
+
+    rng = random.Random(12)
+    area = {(r, c): "road" for r in range(20) for c in range(8, 20) if rng.random() < 0.95} | {(r, c): "road" for r in range(20) for c in range(26, 31)} | {(r, c): "walk" for r in range(20) for c in range(20, 23)}
+    area |= {(9, c): "road" for c in range(20, 27)}  # a narrow bridge to the other road
+    wide = {k: {(r, c): "road" if c % 3 else "walk" for r in range(20) for c in range(5, 25)} if k == 2 else area for k in (1, 2)}
+    kinds = "frame long, r int, c int, label string"
+    base = spark.createDataFrame([(k, *p, v) for k, own in wide.items() for p, v in own.items()], kinds)
+    crossings, lines = {(r, c): "crossing" for r in (4, 5) for c in range(9, 18)}, {(r, 13): "line" for r in range(-2, 25)}
+    layer = lambda own: spark.createDataFrame([(k, *p, v) for k in (1, 2) for p, v in own.items()], kinds)
+    got = N.composed(base, layer(crossings), layer(lines), ["road", "crossing", "line", "divider"], (20, 40), (13, 14), 4, partial(publish.written, folder=f"file://{tmp_path}/r"))
+    rows = defaultdict(dict)
+    for x in got.collect():
+        rows[x["frame"]][x["r"], x["c"]] = x["label"]
+    for k, own in wide.items():
+        label = {p: v for p, v in (own | crossings | lines).items() if 0 <= p[0] < 20 and 0 <= p[1] < 40}
+        assert rows[k] == plain_render(label, (20, 40), (13, 14), 4)
+    assert (3, 28) not in rows[1] and rows[1][4, 10] == "crossing" and "edge" in rows[1].values()

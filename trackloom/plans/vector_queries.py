@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,10 +11,16 @@ from trackloom.functions.scalars import r6
 from trackloom.operators import alignment as A
 from trackloom.operators import densify as D
 from trackloom.operators import grids as G
+from trackloom.operators import paint as P
 from trackloom.operators import rasters as R
+from trackloom.operators import render as N
+from trackloom.operators import stereo as S
 from trackloom.operators import vectorise as V
 from trackloom.plans.grid_queries import CELLS, ORDER, RANK, RC, cells
 from trackloom.plans.registry import register
+from trackloom.plans.stream_queries import work_folder
+from trackloom.sources import publish
+from trackloom.sources.tables import read
 
 GROUND = ["AF", "RF", "NO"]
 OVERRIDES = {"ego": 0.5, "RO": 80.0}
@@ -122,3 +130,80 @@ def r22_refined(spark: SparkSession, d: str) -> DataFrame:
     a = cells(spark, d).filter("cls = 'NF' and z > 1.6").select("frame", *RC).distinct()
     best, _ = A.aligned(a, a.withColumn("frame", F.col("frame") - 1), LEVELS, TURNS)
     return best.filter("score > 0")
+
+
+HEIGHT, WIDTH, DEPTHS, REACH = 12, 24, [2.0, 2.5, 4.0, 8.0, 40.0], 1
+_PIXELS = f"{CELLS}, px AS (SELECT frame, r, c, sum(CAST(floor(z * 50) AS BIGINT)) AS v FROM cells GROUP BY ALL), im AS MATERIALIZED (SELECT f.frame, CAST(r AS INT) AS r, CAST(c AS INT) AS c, CAST(coalesce(v, 0) AS BIGINT) AS v FROM (SELECT DISTINCT frame FROM px) f CROSS JOIN range(0, {HEIGHT}) a(r) CROSS JOIN range(0, {WIDTH}) b(c) LEFT JOIN px USING (frame, r, c))"
+_HYPOTHESES = ", ".join(f"({z!r}::DOUBLE, {round(8.0 / z)})" for z in DEPTHS)
+
+
+@register("x16_patch_depth", f"""WITH {_PIXELS}, h AS (SELECT a.frame, z AS depth, a.r, a.c, a.v AS a, b.v AS b FROM im a CROSS JOIN (VALUES {_HYPOTHESES}) t(z, s) JOIN im b ON b.frame = a.frame + 1 AND b.r = a.r AND b.c = a.c + s),
+s AS (SELECT m.frame, m.depth, m.r, m.c, count(*) AS n, CAST(sum(w.a) AS BIGINT) AS a, CAST(sum(w.a * w.a) AS BIGINT) AS aa, CAST(sum(w.b) AS BIGINT) AS b, CAST(sum(w.b * w.b) AS BIGINT) AS bb, CAST(sum(w.a * w.b) AS BIGINT) AS ab
+ FROM h m JOIN h w ON w.frame = m.frame AND w.depth = m.depth AND w.r BETWEEN m.r - {REACH} AND m.r + {REACH} AND w.c BETWEEN m.c - {REACH} AND m.c + {REACH} GROUP BY m.frame, m.depth, m.r, m.c HAVING count(*) = {(2 * REACH + 1) ** 2}),
+k AS (SELECT frame, r, c, depth, round((n * ab - a * b) / sqrt(CAST(n * aa - a * a AS DOUBLE) * CAST(n * bb - b * b AS DOUBLE)), 9) AS ncc FROM s WHERE n * aa - a * a > 0 AND n * bb - b * b > 0)
+SELECT frame, r, c, arg_max(depth, (ncc, depth)) AS depth, round(max(ncc), 6) AS ncc FROM k GROUP BY frame, r, c""")
+def x16_patches(spark: SparkSession, d: str) -> DataFrame:
+    """For every pixel of a frame's image the depth at which the patch about it agrees best with the next frame's."""
+    pixels = cells(spark, d).groupBy("frame", *RC).agg(F.sum(F.floor(F.col("z") * 50)).alias("v"))
+    image_ = S.dense_image(pixels, HEIGHT, WIDTH)
+    return S.matched_depth(image_, image_.withColumn("frame", F.col("frame") - 1), DEPTHS, 8.0, REACH)
+
+
+N_ANGLES = 18
+_NORMALS = ", ".join(f"({k}, {a!r}::DOUBLE)" for k, a in P.normals(N_ANGLES))
+_HALF = "abs(({a}) - ({b}) - floor((({a}) - ({b}) + pi() / 2) / pi()) * pi())"
+
+
+@register("r34_paint_lines", f"""WITH {MARKS}, v AS MATERIALIZED (SELECT frame, r, c, k AS angle, a, CAST(round_even(r * cos(a) + c * sin(a), 0) AS INT) AS rho FROM marks, (VALUES {_NORMALS}) t(k, a)),
+t AS MATERIALIZED (SELECT frame, angle, rho, count(*) AS votes FROM v GROUP BY ALL HAVING count(*) >= 3),
+pk AS (SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM t o WHERE o.frame = t.frame AND (o.angle, o.rho) <> (t.angle, t.rho)
+ AND ((abs(o.angle - t.angle) <= 1 AND abs(o.rho - t.rho) <= 1) OR (abs(o.angle - t.angle) = {N_ANGLES - 1} AND abs(o.rho + t.rho) <= 1)) AND (o.votes, -o.angle, -o.rho) > (t.votes, -t.angle, -t.rho))),
+o AS (SELECT v.*, round(c * cos(a) - r * sin(a), 9) AS t FROM v JOIN pk USING (frame, angle, rho)),
+g AS (SELECT *, CASE WHEN t - lag(t) OVER w <= 2 THEN 0 ELSE 1 END AS new FROM o WINDOW w AS (PARTITION BY frame, angle, rho ORDER BY t, r, c)),
+u AS (SELECT *, CAST(sum(new) OVER (PARTITION BY frame, angle, rho ORDER BY t, r, c) - 1 AS INT) AS run FROM g),
+l AS MATERIALIZED (SELECT frame, angle, rho, run, arg_min(r, (t, r, c)) AS r0, arg_min(c, (t, r, c)) AS c0, arg_max(r, (t, r, c)) AS r1, arg_max(c, (t, r, c)) AS c1, count(*) AS cells FROM u GROUP BY frame, angle, rho, run),
+ln AS MATERIALIZED (SELECT *, sqrt(CAST((r1 - r0) * (r1 - r0) + (c1 - c0) * (c1 - c0) AS DOUBLE)) AS length, (r0 + r1) / 2.0::DOUBLE AS y, (c0 + c1) / 2.0::DOUBLE AS x, pi() - (angle + 0.5::DOUBLE) * (pi() / {N_ANGLES}) AS h FROM l WHERE (r1 - r0) * (r1 - r0) + (c1 - c0) * (c1 - c0) >= 4),
+tv AS (SELECT * FROM ln WHERE abs(c1 - c0) >= 1.4::DOUBLE * abs(r1 - r0)),
+nr AS MATERIALIZED (SELECT s.frame, s.angle AS sa, s.rho AS sr, s.run AS sn, m.angle, m.rho, m.run, m.y, m.x, m.h FROM tv s JOIN tv m ON m.frame = s.frame AND sqrt((m.y - s.y) ** 2 + (m.x - s.x) ** 2) <= 6 AND {_HALF.format(a="m.h", b="s.h")} <= radians(25) + 0.000000001::DOUBLE),
+gm AS (SELECT frame, sa, sr, sn, atan2(sum(sin(2 * h)), sum(cos(2 * h))) / 2 AS h FROM nr GROUP BY ALL),
+of AS (SELECT nr.frame, sa, sr, sn, nr.angle, nr.rho, nr.run, round(y * cos(gm.h) - x * sin(gm.h), 6) AS o FROM nr JOIN gm USING (frame, sa, sr, sn)),
+ok AS (SELECT frame, sa, sr, sn FROM of GROUP BY ALL HAVING count(DISTINCT round_even(round(o / 1.5, 6), 0)) >= 3 AND round(max(o) - min(o), 6) BETWEEN 2 AND 9),
+st AS (SELECT DISTINCT of.frame, of.angle, of.rho, of.run FROM of JOIN ok USING (frame, sa, sr, sn)),
+mk AS (SELECT ln.*, st.frame IS NOT NULL AS striped FROM ln LEFT JOIN st ON st.frame = ln.frame AND st.angle = ln.angle AND st.rho = ln.rho AND st.run = ln.run)
+SELECT frame, angle, rho, run, r0, c0, r1, c1, cells, CASE WHEN striped THEN 'stripe' WHEN abs(r1 - r0) >= 2 * greatest(abs(c1 - c0), 1) THEN 'lane'
+ WHEN abs(c1 - c0) >= 2 * greatest(abs(r1 - r0), 1) AND length BETWEEN 3 AND 12 AND EXISTS (SELECT 1 FROM mk z WHERE z.frame = mk.frame AND z.striped AND sqrt((z.y - mk.y) ** 2 + (z.x - mk.x) ** 2) <= 5) THEN 'stop' ELSE 'other' END AS kind FROM mk""")
+def r34_lines(spark: SparkSession, d: str) -> DataFrame:
+    """The lines of each frame's marks with the runs that support them: stripes of crossings, stop bars near them, lanes, and others."""
+    votes = P.ballots(_marks(spark, d), N_ANGLES)
+    lines = P.supported(votes, P.maxima(votes, N_ANGLES, 3), 2.0, 2.0)
+    crossing = P.stripes(lines, N_ANGLES, 6.0, 25.0, 1.5, 3, (2.0, 9.0))
+    return P.named(lines, crossing, 5.0, (3.0, 12.0)).select("frame", "angle", "rho", "run", "r0", "c0", "r1", "c1", "cells", "kind")
+
+
+_SEGMENTS = "sg AS (SELECT l_orderkey % 50 AS frame, CAST(l_linenumber % 2 AS INT) AS layer, CAST(l_partkey % 13 AS DOUBLE) AS y0, CAST(l_suppkey % 25 AS DOUBLE) AS x0, CAST(l_partkey % 13 AS DOUBLE) + l_quantity / 10 - 2.5 AS y1, CAST(l_suppkey % 25 AS DOUBLE) + l_extendedprice / 20000 - 2.5 AS x1 FROM lineitem WHERE l_returnflag = 'A' AND l_discount > 0.085)"
+HALF = 0.7
+
+
+def _segments(spark: SparkSession, d: str) -> DataFrame:
+    """Lane lines of two layers in every frame."""
+    return read(spark, d, "lineitem").filter("l_returnflag = 'A' and l_discount > 0.085").selectExpr("l_orderkey % 50 as frame", "cast(l_linenumber % 2 as int) as layer", "cast(l_partkey % 13 as double) as y0", "cast(l_suppkey % 25 as double) as x0", "cast(l_partkey % 13 as double) + l_quantity / 10 - 2.5 as y1", "cast(l_suppkey % 25 as double) + l_extendedprice / 20000 - 2.5 as x1")
+
+
+@register("r28_thick_lines", f"""WITH {_SEGMENTS}, g AS (SELECT sg.*, CAST(i AS INT) AS r, CAST(j AS INT) AS c FROM sg, range(-5, 19) a(i), range(-5, 32) b(j) WHERE i BETWEEN least(y0, y1) - 2 AND greatest(y0, y1) + 2 AND j BETWEEN least(x0, x1) - 2 AND greatest(x0, x1) + 2),
+t AS (SELECT *, coalesce(greatest(least(((c + 0.5::DOUBLE - x0) * (x1 - x0) + (r + 0.5::DOUBLE - y0) * (y1 - y0)) / nullif((x1 - x0) * (x1 - x0) + (y1 - y0) * (y1 - y0), 0), 1.0::DOUBLE), 0.0::DOUBLE), 0.0::DOUBLE) AS t FROM g)
+SELECT frame, r, c, max(layer) AS layer FROM t WHERE (c + 0.5::DOUBLE - x0 - t * (x1 - x0)) ** 2 + (r + 0.5::DOUBLE - y0 - t * (y1 - y0)) ** 2 <= {HALF * HALF!r}::DOUBLE GROUP BY frame, r, c""")
+def r28_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Lane lines with a width, as cells."""
+    return N.thick_lines(_segments(spark, d), HALF)
+
+
+@register("r28_composed_render")
+def r28_composed(spark: SparkSession, d: str) -> DataFrame:
+    """Each frame's map from its area majority, crossing polygons and lane lines, with the ego vehicle's road alone, small holes filled and its edge."""
+    area = G.majority(G.histogram(cells(spark, d), ["frame", *RC]), ["frame", *RC], ORDER)
+    label = F.when(F.col("cls").isin("AF", "RF", "NO", "AO"), "road").when(F.col("cls") == "RO", "walk").otherwise("other")
+    corners = F.posexplode(F.expr("array(struct(r0 as y, c0 as x), struct(r0 + 2 as y, c0 as x), struct(r0 + 2 as y, c0 + 3 as x), struct(r0 as y, c0 + 3 as x))")).alias("seq", "p")
+    q = read(spark, d, "lineitem").filter("l_returnflag = 'R' and l_discount > 0.095").selectExpr("l_orderkey % 50 as frame", "l_orderkey * 10 + l_linenumber as poly", "1 as layer", "cast(l_partkey % 11 as double) as r0", "cast(l_suppkey % 22 as double) as c0")
+    crossings = R.filled_polygons(q.select("frame", "poly", "layer", corners).select("frame", "poly", "layer", "seq", "p.y", "p.x"))
+    lines = N.thick_lines(_segments(spark, d), HALF).select("frame", *RC, F.when(F.col("layer") == 0, "line").otherwise("divider").alias("label"))
+    return N.composed(area.select("frame", *RC, label.alias("label")), crossings.select("frame", *RC, F.lit("crossing").alias("label")), lines, ["road", "crossing", "line", "divider"], (HEIGHT, WIDTH), (11, 12), 4, partial(publish.written, folder=work_folder(spark)))

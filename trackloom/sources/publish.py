@@ -42,6 +42,12 @@ def publish(df: DataFrame, root: str, version: int, check: Callable[[DataFrame],
         raise FileExistsError(f"version {version} is published already") from error
 
 
+def written(df: DataFrame, folder: str, name: str) -> DataFrame:
+    """df as a table of the folder, read back: what reads it does not compute it again, and a lost executor loses nothing of it."""
+    df.write.parquet(f"{folder}/{name}")
+    return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+
 def current_version(spark: SparkSession, root: str) -> int | None:
     """The largest published version, from the names of the pointer files alone."""
     fs, at = _file_system(spark, f"{root}/pointer")
