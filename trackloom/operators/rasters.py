@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trackloom.operators.grids import square
+from trackloom.operators.joins import neighbours
 from trackloom.operators.sequences import parabola_weights, parabolas
 
 
@@ -191,10 +192,15 @@ def linked(ends: pd.DataFrame, gap: float, angle_deg: float) -> list[tuple[int,
     d = np.hypot(x[:, None] - x[None, :], y[:, None] - y[None, :])
     turn = np.abs((h[:, None] - h[None, :] + 2 * np.pi) % (2 * np.pi) - np.pi)
     i, j = np.nonzero(np.triu((d <= gap) & (line[:, None] != line[None, :]) & (turn <= np.radians(angle_deg)), 1))
-    used: set[int] = set()
+    order = np.lexsort((j, i, d[i, j]))
+    return greedy(list(zip(i[order].tolist(), j[order].tolist(), strict=True)))
+
+
+def greedy(pairs: list[tuple]) -> list[tuple]:
+    """The pairs, in order, whose ends no earlier chosen pair has."""
+    used: set = set()
     out = []
-    for k in np.lexsort((j, i, d[i, j])):
-        a, b = int(i[k]), int(j[k])
+    for a, b in pairs:
         if a not in used and b not in used:
             used |= {a, b}
             out.append((a, b))
@@ -202,15 +208,22 @@ def linked(ends: pd.DataFrame, gap: float, angle_deg: float) -> list[tuple[int,
 
 
 def linked_lines(ends: DataFrame, gap: float, angle_deg: float) -> DataFrame:
-    """scene, line_a, side_a, line_b, side_b: the ends (scene, line, side, x, y, heading) of each scene that linked() joins."""
+    """scene, line_a, side_a, line_b, side_b: the ends (scene, line, side, x, y, heading) of each scene that linked() joins.
+
+    Candidates come from a join on cells of the gap's size; a task gets a scene's candidates, which are as many as its ends have
+    neighbours, and never a table of all ends against all.
+    """
+    near = neighbours(ends, ends, ["scene"], "x", "y", gap).filter("line <> line_b and (line, side) < (line_b, side_b)")
+    facing = F.abs(F.pmod(F.col("heading") - F.col("heading_b") + 2 * np.pi, F.lit(2 * np.pi)) - np.pi) <= np.radians(angle_deg)
+    pairs = near.filter(facing).select("scene", "line", "side", "line_b", "side_b", "distance")
 
     def one(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["line", "side"], kind="stable", ignore_index=True)
-        pairs = linked(rows, gap, angle_deg)
-        a, b = (rows.iloc[[p[k] for p in pairs]] for k in (0, 1))
-        return pd.DataFrame({"scene": rows["scene"].iloc[0], "line_a": a["line"].to_numpy(), "side_a": a["side"].to_numpy(), "line_b": b["line"].to_numpy(), "side_b": b["side"].to_numpy()})
+        rows = rows.sort_values(["distance", "line", "side", "line_b", "side_b"], kind="stable")
+        a, b = (list(zip(rows[f"line{k}"].tolist(), rows[f"side{k}"].tolist(), strict=True)) for k in ("", "_b"))
+        out = [(rows["scene"].iloc[0], *p, *q) for p, q in greedy(list(zip(a, b, strict=True)))]
+        return pd.DataFrame(out, columns=["scene", "line_a", "side_a", "line_b", "side_b"])
 
-    return ends.groupBy("scene").applyInPandas(one, "scene long, line_a long, side_a int, line_b long, side_b int")
+    return pairs.groupBy("scene").applyInPandas(one, "scene long, line_a long, side_a int, line_b long, side_b int")
 
 
 def smoothed(points: np.ndarray, reach: int = 3) -> np.ndarray:

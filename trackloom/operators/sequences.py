@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -120,13 +121,84 @@ def heading_error(df: DataFrame, yaw: str, keys: list[str], order: list[str], x:
     return df.withColumn(out, F.abs(wrap(F.col(yaw) - course)))
 
 
+def pairs_at_most(at: np.ndarray, value: np.ndarray, before: np.ndarray, slope: float) -> int:
+    """How many pairs (i, j), i among the first before[j] rows, have a slope of at most `slope`.
+
+    That is so if value - slope * at is as large at i as at j, or larger. Ranks of these numbers are read bit by bit, from the highest: at
+    each bit rows are parted by it, and each j follows its own rank's bits, counting the rows among its first ones that are above it.
+    """
+    level = value - slope * at
+    ranks = np.unique(level, return_inverse=True)[1].astype(np.int32)
+    lo, hi, now, own, found = np.zeros(len(at), np.int32), before.astype(np.int32), ranks, ranks, 0
+    for bit in range(max(int(ranks.max()).bit_length(), 1) - 1, -1, -1):
+        ones = (now >> bit & 1).astype(bool)
+        up = np.concatenate([[0], np.cumsum(ones, dtype=np.int32)]).astype(np.int32)
+        zeros, lo1, hi1 = len(now) - int(up[-1]), up[lo], up[hi]
+        above = (own >> bit & 1).astype(bool)
+        found += int((hi1 - lo1)[~above].sum(dtype=np.int64))
+        lo, hi = np.where(above, zeros + lo1, lo - lo1), np.where(above, zeros + hi1, hi - hi1)
+        now = np.concatenate([now[~ones], now[ones]])
+    return found + int((hi - lo).sum(dtype=np.int64))
+
+
+def median_slope(at: np.ndarray, value: np.ndarray, apart: float) -> float | None:
+    """The median slope over pairs of rows at least `apart` (over 0) apart; None without a pair.
+
+    Slopes are searched by halving, between two of a few thousand pairs' at first; counting those below takes n log n steps, so the pairs themselves
+    are never made. What is found is the slope of a pair, unless several differ by less than 1e-12.
+    """
+    order = np.argsort(at, kind="stable")
+    at, value = at[order].astype(float), value[order].astype(float)
+    before = np.searchsorted(at, at - apart, "right")
+    total = int(before.sum())
+    if not total:
+        return None
+    most = float(np.ptp(value)) / apart
+    known = {most: total}
+    rng = np.random.default_rng(1)
+    j = rng.choice(np.flatnonzero(before), 4000)
+    i = (rng.random(len(j)) * before[j]).astype(int)
+    for guess in np.quantile((value[j] - value[i]) / (at[j] - at[i]), [0.46, 0.54]).tolist():
+        known[guess] = pairs_at_most(at, value, before, guess)
+
+    def of_a_pair(lo: float, hi: float) -> float:
+        """The least slope over lo that a pair has up to hi: rows of one such slope lie side by side when sorted by what is left without it."""
+        level = np.lexsort((at, value - hi * at))
+        for step in range(1, len(at)):
+            a, b = level[:-step], level[step:]
+            wide = np.abs(at[b] - at[a]) >= apart
+            slopes = (value[b[wide]] - value[a[wide]]) / (at[b[wide]] - at[a[wide]])
+            slopes = slopes[(slopes > lo) & (slopes <= hi)]
+            if len(slopes):
+                return float(slopes.min())
+            if step > 4 * apart:
+                break
+        return hi
+
+    def smallest(rank: int) -> float:
+        """The smallest slope that at least rank + 1 pairs have or are under."""
+        hi = min(s for s, n in known.items() if n > rank)
+        lo = max((s for s, n in known.items() if n <= rank), default=-most - 1.0)
+        while hi - lo > 1e-12 * max(1.0, abs(hi), abs(lo)):
+            middle = (lo + hi) / 2
+            known[middle] = pairs_at_most(at, value, before, middle)
+            lo, hi = (lo, middle) if known[middle] > rank else (middle, hi)
+        return of_a_pair(lo - 1e-12, hi + 1e-12)
+
+    return (smallest((total - 1) // 2) + smallest(total // 2)) / 2
+
+
 def theil_sen(df: DataFrame, keys: list[str], at: str, value: str, apart: int = 8, clip_to: float | None = None) -> DataFrame:
-    """keys, slope: the median slope over pairs of rows at least `apart` apart."""
-    a = df.select(*keys, F.col(at).alias("_a"), F.col(value).alias("_va"))
-    b = df.select(*keys, F.col(at).alias("_b"), F.col(value).alias("_vb"))
-    pairs = a.join(b, keys).filter(F.col("_b") - F.col("_a") >= apart)
-    slope = F.percentile((F.col("_vb") - F.col("_va")) / (F.col("_b") - F.col("_a")), F.lit(0.5))
-    return pairs.groupBy(*keys).agg((slope if clip_to is None else F.least(F.greatest(slope, F.lit(-clip_to)), F.lit(clip_to))).alias("slope"))
+    """keys, slope: the median slope over pairs of rows at least `apart` apart; keys without such a pair have no row. Nulls are left out."""
+    rows = df.select(*keys, F.col(at).cast("double").alias("_at"), F.col(value).cast("double").alias("_value")).dropna(subset=["_at", "_value"])
+    kinds = ", ".join(f"{n} {t}" for n, t in df.select(*keys).dtypes)
+
+    def one(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        slope = median_slope(part["_at"].to_numpy(), part["_value"].to_numpy(), apart)
+        return pd.DataFrame([(*key, slope)] if slope is not None else [], columns=[*keys, "slope"])
+
+    slope = F.col("slope") if clip_to is None else F.least(F.greatest(F.col("slope"), F.lit(-clip_to)), F.lit(clip_to))
+    return rows.groupBy(*keys).applyInPandas(one, f"{kinds}, slope double").select(*keys, slope.alias("slope"))
 
 
 def advantage(df: DataFrame, value: str, keys: list[str], floor: float = 1e-3, out: str = "advantage") -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from trackloom.functions.scalars import first_reason, r6
 from trackloom.operators import gates as G
-from trackloom.operators.metrics import quantiles
+from trackloom.operators.metrics import quantiles, with_quantiles
 from trackloom.plans.oracle import BOXES, POSE
 from trackloom.plans.registry import register
 from trackloom.sources.parsers import label_lines
@@ -148,8 +148,9 @@ def q22(spark: SparkSession, d: str) -> DataFrame:
 
 @register("q23_value_quantiles", "SELECT l_returnflag AS cls, round(quantile_cont(l_extendedprice, 0.5), 4) AS p50, round(quantile_cont(l_extendedprice, 0.99), 4) AS p99, count(*) FILTER (l_extendedprice > 90000) AS high FROM lineitem GROUP BY 1")
 def q23(spark: SparkSession, d: str) -> DataFrame:
-    p = F.col("l_extendedprice")
-    return read(spark, d, "lineitem").groupBy(F.col("l_returnflag").alias("cls")).agg(F.round(F.percentile(p, F.lit(0.5)), 4).alias("p50"), F.round(F.percentile(p, F.lit(0.99)), 4).alias("p99"), F.count_if(p > 90000).alias("high"))
+    rows = read(spark, d, "lineitem").select(F.col("l_returnflag").alias("cls"), "l_extendedprice")
+    k = with_quantiles(rows, ["cls"], "l_extendedprice", {"p50": 0.5, "p99": 0.99}, F.count_if(F.col("l_extendedprice") > 90000).alias("high"))
+    return k.withColumn("p50", F.round("p50", 4)).withColumn("p99", F.round("p99", 4))
 
 
 #: The columns that a full read has to find, with how to weigh each: characters of texts, microseconds of times, sums of numbers.

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from trackloom.functions.scalars import bucket, r6
 from trackloom.operators import joins as J
 from trackloom.operators.sequences import along
+from trackloom.operators.metrics import cumulated
 from trackloom.plans.oracle import BOXES, POSE
 from trackloom.plans.registry import register
 from trackloom.sources.tables import boxes, pose_track, read
@@ -242,8 +243,10 @@ SELECT v, row_number() OVER (ORDER BY part, ord) AS place FROM (SELECT v, min(pa
 def u1(spark: SparkSession, d: str) -> DataFrame:
     a = read(spark, d, "customer").groupBy(F.col("c_mktsegment").alias("v")).agg(F.min("c_custkey").alias("ord")).withColumn("part", F.lit(0))
     b = read(spark, d, "part").groupBy(F.col("p_type").alias("v")).agg(F.min("p_partkey").alias("ord")).withColumn("part", F.lit(1))
-    first = a.unionByName(b).groupBy("v").agg(F.min(F.struct("part", "ord")).alias("s"))  # one row per distinct value from here on
-    return first.select("v", F.row_number().over(Window.orderBy("s.part", "s.ord")).cast("long").alias("place"))
+    first = a.unionByName(b).groupBy("v").agg(F.min(F.struct("part", "ord")).alias("s")).select("v", "s.part", "s.ord", F.lit(1).alias("one"))
+    placed = cumulated(first, "ord", {"place": "one"}, keys=["part"])  # places within each list, by ranges
+    before = first.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select((F.col("part") + 1).alias("part"), "n")  # a row for each list
+    return placed.join(F.broadcast(before), "part", "left").select("v", (F.col("place") + F.coalesce("n", F.lit(0))).alias("place"))
 
 
 @register("u2_set_audit", """SELECT 'only_documents' AS part, count(*) AS n FROM (SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM labels) UNION ALL SELECT 'both', count(*) FROM (SELECT doc_id FROM documents INTERSECT SELECT doc_id FROM labels)""")

@@ -170,7 +170,8 @@ def a34(spark: SparkSession, d: str) -> DataFrame:
 @register("a35_band_statistics", f"WITH {BOXES}, b AS (SELECT CASE WHEN r < 10 THEN 0 WHEN r < 20 THEN 1 WHEN r < 40 THEN 2 END AS band, score, y FROM (SELECT *, sqrt(x * x + y * y) AS r FROM boxes)) SELECT band, count(*) AS n, round(avg(y), 6) AS mean, round(stddev_pop(y), 6) AS sd, round(quantile_cont(score, 0.5), 6) AS median, round(quantile_cont(score, 0.95), 6) AS p95 FROM b WHERE band IS NOT NULL GROUP BY band")
 def a35(spark: SparkSession, d: str) -> DataFrame:
     b = boxes(spark, d).withColumn("band", band(F.sqrt(F.expr("x * x + y * y")), [0, 10, 20, 40])).filter("band is not null")
-    return b.groupBy("band").agg(F.count(F.lit(1)).alias("n"), r6(F.avg("y")).alias("mean"), r6(F.stddev_pop("y")).alias("sd"), r6(F.percentile("score", F.lit(0.5))).alias("median"), r6(F.percentile("score", F.lit(0.95))).alias("p95"))
+    k = M.with_quantiles(b, ["band"], "score", {"median": 0.5, "p95": 0.95}, F.count(F.lit(1)).alias("n"), r6(F.avg("y")).alias("mean"), r6(F.stddev_pop("y")).alias("sd"))
+    return k.withColumn("median", r6("median")).withColumn("p95", r6("p95"))
 
 
 @register("a23_grouping_sets", f"WITH {BOXES}, b AS (SELECT cls, CASE WHEN x >= 0 THEN 'front' ELSE 'rear' END AS zone, score > 0.5 AS hit FROM boxes) SELECT coalesce(cls, 'all') AS cls, coalesce(zone, 'all') AS zone, count(*) AS n, count(*) FILTER (hit) AS hits FROM b GROUP BY GROUPING SETS ((cls, zone), (cls), (zone), ())")
@@ -222,7 +223,8 @@ def a40(spark: SparkSession, d: str) -> DataFrame:
 
 @register("a41_latency_statistics", "SELECT event_type, round(avg(value), 6) AS mean, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.9), 6) AS p90, min(value) AS low, round(1000 / avg(value), 6) AS per_second FROM events GROUP BY event_type")
 def a41(spark: SparkSession, d: str) -> DataFrame:
-    return read(spark, d, "events").groupBy("event_type").agg(r6(F.avg("value")).alias("mean"), r6(F.percentile("value", F.lit(0.5))).alias("p50"), r6(F.percentile("value", F.lit(0.9))).alias("p90"), F.min("value").alias("low"), r6(1000 / F.avg("value")).alias("per_second"))
+    k = M.with_quantiles(read(spark, d, "events"), ["event_type"], "value", {"p50": 0.5, "p90": 0.9}, r6(F.avg("value")).alias("mean"), F.min("value").alias("low"), r6(1000 / F.avg("value")).alias("per_second"))
+    return k.withColumn("p50", r6("p50")).withColumn("p90", r6("p90"))
 
 
 @register("a43_channel_moments", "SELECT label, i AS channel, round(avg(embedding[i]::DOUBLE), 6) AS mean, round(var_pop(embedding[i]::DOUBLE), 6) AS variance FROM embeddings, range(1, 65) t(i) WHERE i <= len(embedding) GROUP BY ALL")
@@ -274,7 +276,8 @@ def x8(spark: SparkSession, d: str) -> DataFrame:
 def x11(spark: SparkSession, d: str) -> DataFrame:
     off = F.col("score") - F.col("truth")
     close = F.abs(off) < 0.5
-    return scored(spark, d).groupBy("lang").agg(F.when(F.avg(close.cast("double")) >= 0.4, "planar").otherwise("radial").alias("pick"), r6(F.percentile(F.when(close, off), F.lit(0.5))).alias("bias"))
+    rows = scored(spark, d).withColumn("inlier", F.when(close, off))
+    return M.with_quantiles(rows, ["lang"], "inlier", {"bias": 0.5}, F.when(F.avg(close.cast("double")) >= 0.4, "planar").otherwise("radial").alias("pick")).withColumn("bias", r6("bias"))
 
 
 @register("x12_paired_arms", f"WITH {POSE}, f AS (SELECT scene, t // 86400000000 AS day, avg(x) FILTER (kind = 'click') AS a, avg(x) FILTER (kind = 'view') AS b FROM pose GROUP BY ALL) SELECT round(avg(a - b), 5) AS mean, round(stddev_pop(a - b), 5) AS sd, count(*) AS n FROM f WHERE a IS NOT NULL AND b IS NOT NULL")
@@ -318,7 +321,8 @@ def x19(spark: SparkSession, d: str) -> DataFrame:
 
 @register("x20_outlier_ratio", "SELECT event_type, round(max(value) / quantile_cont(value, 0.999), 6) AS ratio FROM events GROUP BY event_type")
 def x20(spark: SparkSession, d: str) -> DataFrame:
-    return read(spark, d, "events").groupBy("event_type").agg(r6(F.max("value") / F.percentile("value", F.lit(0.999))).alias("ratio"))
+    k = M.with_quantiles(read(spark, d, "events"), ["event_type"], "value", {"high": 0.999}, F.max("value").alias("top"))
+    return k.select("event_type", r6(F.col("top") / F.col("high")).alias("ratio"))
 
 
 @register("x21_folded_angles", f"WITH {POSE}, a AS (SELECT kind, x * 0.1 AS a, y * 0.1 AS b FROM pose), f AS (SELECT kind, least(abs(d), pi() - abs(d)) AS e FROM (SELECT kind, (a - b + pi()) - floor((a - b + pi()) / (2 * pi())) * 2 * pi() - pi() AS d FROM a)) SELECT kind, round(quantile_cont(e, 0.5), 6) AS median, round(avg(CASE WHEN e < 0.3 THEN 1.0::DOUBLE ELSE 0 END), 6) AS close FROM f GROUP BY kind")
@@ -326,7 +330,7 @@ def x21(spark: SparkSession, d: str) -> DataFrame:
     from trackloom.functions.angles import axis_error
 
     f = pose_track(spark, d).select("kind", axis_error(F.col("x") * 0.1, F.col("y") * 0.1).alias("e"))
-    return f.groupBy("kind").agg(r6(F.percentile("e", F.lit(0.5))).alias("median"), r6(F.avg((F.col("e") < 0.3).cast("double"))).alias("close"))
+    return M.with_quantiles(f, ["kind"], "e", {"median": 0.5}, r6(F.avg((F.col("e") < 0.3).cast("double"))).alias("close")).withColumn("median", r6("median"))
 
 
 @register("x25_frozen_output", f"WITH {POSE}, l AS (SELECT scene, abs(x - lag(x) OVER (PARTITION BY scene ORDER BY t, eid)) AS step, x FROM pose) SELECT scene, round(stddev_pop(x), 5) AS sd, round(max(step), 6) AS top, stddev_pop(x) < 5 OR max(step) < 1 AS frozen FROM l GROUP BY scene")
@@ -338,4 +342,5 @@ def x25(spark: SparkSession, d: str) -> DataFrame:
 @register("x26_band_error_with_counts", f"WITH {SCORED} SELECT lang, CASE WHEN n_chars < 1000 THEN 0 WHEN n_chars < 5000 THEN 1 ELSE 2 END AS band, count(*) AS n, round(avg(abs(score - truth)), 6) AS mae, round(quantile_cont(score, 0.5) FILTER (truth = 1), 6) AS hit_median FROM scored GROUP BY ALL")
 def x26(spark: SparkSession, d: str) -> DataFrame:
     b = F.when(F.col("n_chars") < 1000, 0).when(F.col("n_chars") < 5000, 1).otherwise(2)
-    return scored(spark, d).groupBy("lang", b.alias("band")).agg(F.count(F.lit(1)).alias("n"), r6(F.avg(F.abs(F.col("score") - F.col("truth")))).alias("mae"), r6(F.percentile(F.when(F.col("truth") == 1, F.col("score")), F.lit(0.5))).alias("hit_median"))
+    rows = scored(spark, d).withColumn("band", b).withColumn("hit", F.when(F.col("truth") == 1, F.col("score")))
+    return M.with_quantiles(rows, ["lang", "band"], "hit", {"hit_median": 0.5}, F.count(F.lit(1)).alias("n"), r6(F.avg(F.abs(F.col("score") - F.col("truth")))).alias("mae")).withColumn("hit_median", r6("hit_median"))
