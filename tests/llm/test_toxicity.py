@@ -110,3 +110,12 @@ def test_labels_choose_only_rows_outside_the_fold(spark):
     texts, labels = T.labelled_sample(docs, docs.select("doc_id", "toxic"), {1: 10, 0: 15})
     inside = {t: y for i, t, y in rows if zlib.crc32(str(i).encode()) % 5}
     assert len(texts) == 25 and labels.sum() == 10 and all(inside[t] == y for t, y in zip(texts, labels, strict=True))
+
+
+def test_neighbours_do_not_change_a_bag():
+    rows = made(300, 1)
+    model = T.train([r[1] for r in rows], np.array([r[2] for r in rows]))
+    for n in (0, 1, 5, 30, 34, 35, 36, 400):
+        beside = "mo," * (n // 3) + "raten"[: n % 3]
+        assert list(T.bags_of(f"{beside},stupid,x"))[-2:] == ["stupid", "x"]
+        assert model.score(pa.array([f"{beside},stupid,x", "stupid"])).tolist() == pytest.approx([model.score(pa.array(["stupid"]))[0].item()] * 2, abs=1e-6)

@@ -2,10 +2,10 @@
 
 A test item of m characters may differ from a passage by k = floor(rate * m) edits. Cut into k + 1 pieces, at least one
 piece then occurs unchanged in the passage. One automaton finds all pieces of all items in a text in one pass; each
-hit names an item and a place, and Myers' bit-parallel distance settles that place. Items under WORD_CHARS characters have to stand
-between word boundaries, since so few letters also occur inside longer words.
-Benchmarks are the query set: they go to the tasks in blocks of BLOCK_CHARS characters, each block against all rows, so a task
-holds one block's automaton at a time, and a corpus is read once for every block.
+hit names an item and a place, and Myers' bit-parallel distance settles that place. Items are found wherever they stand, inside longer words
+too and whatever their length; whole_words asks for word boundaries at both ends, of items of every length.
+Benchmarks are the query set: they go to the tasks in blocks of BLOCK_CHARS characters, each block against all rows. A task, the plans and
+the driver hold one block at a time, and a corpus is read once for every block.
 """
 
 from __future__ import annotations
@@ -16,9 +16,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import map_rows, text_of
+from trackloom.llm.common import drop_table, map_rows, materialize, text_of
 
-RATE, WORD_CHARS, BLOCK_CHARS = 0.05, 25, 4_000_000
+RATE, BLOCK_CHARS = 0.05, 4_000_000
 
 
 def normalized(text: str | None) -> str:
@@ -67,10 +67,10 @@ def whole_distance(a: str, b: str) -> int:
 class Matcher:
     """Finds the items (item_id, text) of one block in texts."""
 
-    def __init__(self, items: list[tuple[int, str]], rate: float = RATE) -> None:
+    def __init__(self, items: list[tuple[int, str]], rate: float = RATE, whole_words: bool = False) -> None:
         import ahocorasick
 
-        self.rate, self.texts = rate, {}
+        self.rate, self.whole_words, self.texts = rate, whole_words, {}
         pieces: dict[str, list[tuple[str, int]]] = {}
         for item, raw in items:
             text = normalized(raw)
@@ -103,17 +103,16 @@ class Matcher:
                     continue
                 tried.add((item, start))
                 near = text[max(0, start - k) : max(0, start + len(item) + k)]
-                if len(item) < WORD_CHARS:
+                distance = 0 if item in near else myers(item, near, k)
+                if self.whole_words and distance is not None:
                     distance = bounded(item, text, max(0, start - k), max(0, start + len(item) + k), k)
-                else:
-                    distance = 0 if item in near else myers(item, near, k)
                 if distance is not None:
                     best[item] = min(distance, best.get(item, distance))
         return sorted((i, d) for text, d in best.items() for i in self.texts[text])
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
-    """The query set, cut into blocks by size, one after another. The plans that read them hold them, so the driver holds the benchmark."""
+    """The query set, cut into blocks by size, one after another."""
     items = benchmark.select("item_id", text_of().alias("t")).filter("item_id is not null").distinct()
     chars = items.agg(F.sum(F.length("t"))).first()[0] or 0
     n = -(-chars // BLOCK_CHARS)
@@ -121,24 +120,24 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
         yield [(r[0], r[1]) for r in items.filter(F.pmod(F.xxhash64("item_id", "t"), F.lit(n)) == b).collect()]
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, whole_words: bool = False) -> DataFrame:
     """doc_id, item_id, distance of every document and test item that it holds, within rate * the item's length edits.
 
-    Texts are compared in lower case with white space collapsed. Items of under WORD_CHARS characters count between word boundaries
+    Texts are compared in lower case with white space collapsed. Items count wherever they stand, or, with whole_words, between word boundaries
     alone; null or empty items, and items without an id, match nothing. Null and empty texts hold nothing; very long ones are
     searched whole. Of several places of an item the least distance counts. Rows that repeat, or have no doc_id, are reported as often as they
     occur; an empty table on either side gives an empty result. Other columns are not read.
     """
     found = None
     for items in _blocks(benchmark):
-        part = map_rows(docs.select("doc_id", text_of()), _leak_rows(items, rate), "doc_id long, item_id long, distance int", 512)
-        found = part if found is None else found.unionByName(part)
+        part = map_rows(docs.select("doc_id", text_of()), _leak_rows(items, rate, whole_words), "doc_id long, item_id long, distance int", 512)
+        found = part if found is None else found.unionByName(part)  # a task of a union works for one of its parts
     return found if found is not None else docs.sparkSession.createDataFrame([], "doc_id long, item_id long, distance int")
 
 
-def _leak_rows(items: list[tuple[int, str]], rate: float):
+def _leak_rows(items: list[tuple[int, str]], rate: float, whole_words: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(items, rate)
+        matcher = Matcher(items, rate, whole_words)
         for b in batches:
             rows = [(i, *hit) for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for hit in matcher.find(t)]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.int32()))], names=["doc_id", "item_id", "distance"])
@@ -146,22 +145,29 @@ def _leak_rows(items: list[tuple[int, str]], rate: float):
     return run
 
 
-def drop_leaking(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
+def drop_leaking(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, whole_words: bool = False) -> DataFrame:
     """docs without the rows that hold a test item; same columns, whatever their names.
 
     Null and empty texts stay, and so do rows without a doc_id that hold no item; rows that repeat go or stay together; an
-    empty table stays empty. Very long texts are searched whole.
+    empty table stays empty. Very long texts are searched whole. Each block of the benchmark is a pass of its own over what the passes before
+    left, which is written between them, so that no task holds two automata.
     """
     column = docs.columns.index("text")
 
     def keep(items: list[tuple[int, str]]):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(items, rate)
+            matcher = Matcher(items, rate, whole_words)
             for b in batches:
                 yield b.filter(pa.array([not matcher.find(t) for t in b.column(column).to_pylist()], pa.bool_()))
 
         return run
 
-    for items in _blocks(benchmark):
-        docs = map_rows(docs, keep(items), docs.schema, 512)
-    return docs
+    left, made = docs, None
+    for k, items in enumerate(_blocks(benchmark)):
+        if k:
+            written = materialize(left, "clean")
+            if made is not None:
+                drop_table(made)
+            left = made = written
+        left = map_rows(left, keep(items), docs.schema, 512)
+    return left

@@ -46,15 +46,12 @@ def bare(word: str) -> str:
 
 
 def bags_of(run: str) -> Iterator[str]:
-    """The words of a lower-cased run between white space, each a bag. A run of over WORD_CHARS characters is split at punctuation, and a
-    part that is still longer is cut into windows of WORD_CHARS that overlap by half, so that every character is in a bag.
+    """The words of a lower-cased run between white space, parted at punctuation, each a bag. One of over WORD_CHARS characters is cut into
+    windows of WORD_CHARS that overlap by half, so that every character is in a bag; what stands beside a word never changes its bag.
     """
-    word = bare(run)
-    if len(word) <= WORD_CHARS:
-        parts = [word]
-    else:
-        parts = (part[k : k + WORD_CHARS] for part in map(bare, word.translate(_SPACED).split()) for k in range(0, max(1, len(part) - WORD_CHARS // 2), WORD_CHARS // 2))
-    yield from (p for p in parts if p)
+    for part in map(bare, run.translate(_SPACED).split()):
+        if part:
+            yield from (part[k : k + WORD_CHARS] for k in range(0, max(1, len(part) - WORD_CHARS // 2), WORD_CHARS // 2))
 
 
 def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -113,15 +110,19 @@ class Model:
         return out
 
     def runs(self, runs: pa.Array) -> np.ndarray:
-        """Of each lower-cased run between white space, its most toxic bag; -inf where it has no letter."""
+        """Of each lower-cased run between white space, its most toxic bag; -inf where it has no letter. A run that is one short word is its own bag."""
         words = pc.utf8_trim(runs, characters=_EDGE)
         out = np.full(len(runs), -np.inf)
-        short = pc.less_equal(pc.utf8_length(words), WORD_CHARS).to_numpy(zero_copy_only=False)
         lettered = pc.match_substring_regex(words, r"\p{L}").to_numpy(zero_copy_only=False)
-        at = np.flatnonzero(short & lettered)
+        parted = pc.or_(pc.greater(pc.utf8_length(words), WORD_CHARS), pc.match_substring_regex(words, r"[\p{P}\p{Z}]")).to_numpy(zero_copy_only=False)
+        at = np.flatnonzero(~parted & lettered)
         out[at] = self.bags(words.take(pa.array(at)).to_pylist())
-        for k in np.flatnonzero(~short & lettered).tolist():
-            out[k] = max(self.bags(list(bags_of(runs[k].as_py()))), default=-np.inf)
+        at = np.flatnonzero(parted & lettered)
+        bags = [list(bags_of(run)) for run in runs.take(pa.array(at)).to_pylist()]
+        sizes = np.fromiter(map(len, bags), np.int64, len(bags))
+        at, starts = at[sizes > 0], (np.cumsum(sizes) - sizes)[sizes > 0]
+        if len(at):
+            out[at] = np.maximum.reduceat(self.bags([w for own in bags for w in own]), starts)
         return out
 
     def score(self, texts: pa.Array) -> np.ndarray:
