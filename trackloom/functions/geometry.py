@@ -82,3 +82,37 @@ def valid_rotation(m: list[list[Column]], tolerance: float = 1e-6) -> Column:
 def fit_rotation(x: str, y: str, u: str, v: str) -> Column:
     """Aggregate: the angle that best turns (x, y) into (u, v), both about their means."""
     return F.atan2(F.covar_pop(x, v) - F.covar_pop(y, u), F.covar_pop(x, u) + F.covar_pop(y, v))
+
+
+def fitted_shift(x: str, y: str, u: str, v: str) -> tuple[Column, Column, Column]:
+    """Aggregates (angle, shift, shift): the turn and shift with the least squared error from (x, y) to (u, v), at scale 1.
+
+    The turn is a proper one whatever the points: a set that a reflection would fit better gets its best rotation all the same.
+    """
+    angle = fit_rotation(x, y, u, v)
+    c, s = F.cos(angle), F.sin(angle)
+    return angle, F.avg(u) - (c * F.avg(x) - s * F.avg(y)), F.avg(v) - (s * F.avg(x) + c * F.avg(y))
+
+
+Matrix = list[list[Column]]
+
+
+def inverse3(m: Matrix) -> Matrix:
+    """The inverse of a 3 x 3 matrix by its cofactors; null where the determinant is 0."""
+    minor = lambda i, j: m[(i + 1) % 3][(j + 1) % 3] * m[(i + 2) % 3][(j + 2) % 3] - m[(i + 1) % 3][(j + 2) % 3] * m[(i + 2) % 3][(j + 1) % 3]
+    det = F.nullif(m[0][0] * minor(0, 0) + m[0][1] * minor(0, 1) + m[0][2] * minor(0, 2), F.lit(0.0))
+    return [[minor(j, i) / det for j in range(3)] for i in range(3)]
+
+
+def ground_point(u: Column, v: Column, camera: Matrix, turn: Matrix, shift: list[Column], height: float = 0.0) -> tuple[Column, Column]:
+    """Ego (x, y) where the ray through a pixel meets the ground at `height`; null where it doesn't point down or meets it behind the camera.
+
+    camera is the 3 x 3 matrix of intrinsics; turn and shift carry ego coordinates into the camera's.
+    """
+    back = inverse3(camera)
+    ray = [row[0] * u + row[1] * v + row[2] for row in back]
+    into = lambda w: [turn[0][k] * w[0] + turn[1][k] * w[1] + turn[2][k] * w[2] for k in range(3)]
+    at, way = [-c for c in into(shift)], into(ray)
+    far = F.when(way[2] < -1e-6, (height - at[2]) / way[2])
+    hits = far > 0
+    return F.when(hits, at[0] + far * way[0]), F.when(hits, at[1] + far * way[1])

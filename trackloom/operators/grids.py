@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackloom.functions.scalars import cell
@@ -93,3 +94,29 @@ def iou(counts: DataFrame, keys: list[str] | None = None) -> DataFrame:
 def share(*parts: Column) -> Column:
     """parts[0] over the sum of parts, with the sum at least 1."""
     return parts[0] / F.greatest(reduce(lambda a, b: a + b, parts), F.lit(1))
+
+
+def rotated(cells: DataFrame, degrees: float, centre: tuple[float, float], extent: tuple[int, int], outside: int) -> DataFrame:
+    """frame, r, c, label of every place of each frame's raster, turned about centre (r, c) by `degrees`, columns toward smaller rows; each place takes the label of
+    the nearest source cell, 0 where that has none, and `outside` where it lies beyond the raster."""
+    a, b = math.cos(math.radians(degrees)), math.sin(math.radians(degrees))
+    grid = cells.select("frame").distinct().withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(extent[0] - 1)))).withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(extent[1] - 1))))
+    dr, dc = F.col("r") - centre[0], F.col("c") - centre[1]
+    from_ = grid.withColumn("sr", F.rint(F.round(centre[0] + b * dc + a * dr, 9)).cast("int")).withColumn("sc", F.rint(F.round(centre[1] + a * dc - b * dr, 9)).cast("int"))
+    found = from_.join(cells.select("frame", F.col("r").alias("sr"), F.col("c").alias("sc"), "label"), ["frame", "sr", "sc"], "left")
+    beyond = (F.col("sr") < 0) | (F.col("sr") >= extent[0]) | (F.col("sc") < 0) | (F.col("sc") >= extent[1])
+    return found.select("frame", "r", "c", F.when(beyond, F.lit(outside)).otherwise(F.coalesce("label", F.lit(0))).alias("label"))
+
+
+def row_continuity(truth: DataFrame, said: DataFrame, reach: int = 1) -> DataFrame:
+    """frame, r, hit of every row of a frame with a true cell: whether any lies within reach of a cell that is said."""
+    keys = ["frame", "r", "c"]
+    own = truth.select(*keys).distinct()
+    near = dilate(said, ["frame"], reach).withColumn("near", F.lit(True))
+    return own.join(near, keys, "left").groupBy("frame", "r").agg(F.coalesce(F.bool_or("near"), F.lit(False)).alias("hit"))
+
+
+def missed_runs(rows: DataFrame) -> DataFrame:
+    """frame, run, n: stretches of rows (frame, r, hit), one below the other, without a hit. A row that isn't there ends a run."""
+    missed = rows.filter("not hit").withColumn("run", F.col("r") - F.row_number().over(Window.partitionBy("frame").orderBy("r")))
+    return missed.groupBy("frame", "run").agg(F.count(F.lit(1)).alias("n"))

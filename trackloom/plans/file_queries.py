@@ -155,6 +155,17 @@ def s2(spark: SparkSession, d: str) -> DataFrame:
     return samples.filter("linked").select("scene", F.col("token").cast("long").cast("string").alias("token"), F.col("place").cast("long").alias("place"))
 
 
+@register("s3_runtime_frames", f"""WITH {_SCENES}, p AS (SELECT scene, o_orderkey, row_number() OVER (PARTITION BY scene ORDER BY o_orderdate, o_orderkey) - 1 AS place, o_totalprice FROM o)
+SELECT scene, place, l_linenumber % 4 AS camera, count(*) AS files, round(CASE WHEN o_orderkey % 11 <> 0 THEN o_totalprice END, 2) AS x FROM p JOIN lineitem ON l_orderkey = o_orderkey WHERE l_linenumber % 4 < 3 GROUP BY ALL""")
+def s3(spark: SparkSession, d: str) -> DataFrame:
+    """What a running vehicle would be given, sample by sample: each camera's files with its mounting, and the pose where it is known."""
+    made = _annotation_tables(spark, d)
+    order = Window.partitionBy("scene").orderBy("timestamp", F.col("token").cast("long"))
+    samples = made["sample"].select("scene", F.col("token").alias("sample"), (F.row_number().over(order) - 1).cast("long").alias("place"))
+    given = scenes.frames(made).filter("channel is not null").join(samples, ["scene", "sample"])
+    return given.groupBy("scene", "place", F.col("sensor_at")[0].cast("int").alias("camera"), F.round(F.col("ego_at")[0], 2).alias("x")).agg(F.count(F.lit(1)).alias("files"))
+
+
 @register("k3_whole_dataset", "SELECT o_orderpriority, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1")
 def k3(spark: SparkSession, d: str) -> DataFrame:
     """A whole dataset by partitions, built aside over one that is in force, checked against its source, and put in its place at once."""
