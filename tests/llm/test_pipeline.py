@@ -70,7 +70,7 @@ def test_awkward_rows(spark, name, ids):
 def test_equals_oracle(spark, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
-    for table in ("documents", "conversations"):
+    for table in ("documents", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     df, want = queries.queries()[name](spark, SF), con.execute(queries.oracle_sql()[name])
     columns = [c[0] for c in want.description]
