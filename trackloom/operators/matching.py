@@ -138,10 +138,10 @@ def rotated_iou(a: tuple, b: tuple) -> tuple[float, float]:
 
 
 def rotated_nms(boxes: DataFrame, iou: float = 0.3, contained: float = 0.7, yaw: str = "score") -> DataFrame:
-    """Boxes by falling score; one that overlaps a kept one by iou, or lies in it by `contained`, goes."""
+    """Boxes by falling score; one that overlaps a kept one by iou, or lies in it by `contained`, goes. Equal scores go by number, then place and size."""
 
     def one(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["score", "box"], ascending=[False, True], kind="stable")
+        rows = rows.sort_values(["score", "box", "x", "y", "l", "w"], ascending=[False, *[True] * 5], kind="stable")
         shapes = list(zip(rows["x"], rows["y"], rows["l"], rows["w"], rows[yaw], strict=True))
         x, y, half = rows["x"].to_numpy(), rows["y"].to_numpy(), np.hypot(rows["l"], rows["w"]).to_numpy() / 2
         kept: list[int] = []
