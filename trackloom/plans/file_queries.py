@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from trackloom.functions import projection
 from trackloom.functions.scalars import r6
+from trackloom.operators import metrics
+from trackloom.operators.gates import violations
 from trackloom.plans.oracle import POSE
 from trackloom.plans.registry import register
 from trackloom.plans.stream_queries import work_folder
@@ -173,7 +175,7 @@ def k3(spark: SparkSession, d: str) -> DataFrame:
 
     def whole(written: DataFrame) -> DataFrame:
         both = orders.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n")).join(written.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("m")), "o_orderpriority", "full")
-        return both.filter("not n <=> m").select(F.lit("rows").alias("reason"))
+        return violations({"rows": both.filter("not n <=> m")})
 
     publish.publish(orders.limit(0), root, 1)
     try:
@@ -210,3 +212,45 @@ def q12(spark: SparkSession, d: str) -> DataFrame:
     rows = [(name, runs[name]) for name in plan]
     counts = [done[name].agg(F.lit(name).alias("stage"), F.lit(n).alias("runs"), F.count(F.lit(1)).alias("rows")) for name, n in rows]
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+EVERY, BATCH = 3, 40
+
+
+@register("m5_ingest_cadence", f"""WITH done AS (SELECT doc_id, max(quality) AS q FROM labels GROUP BY doc_id), w AS (SELECT d.doc_id, CASE WHEN done.doc_id IS NULL THEN 'new' ELSE 'repair' END AS work FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN done USING (doc_id) WHERE done.doc_id IS NULL OR coalesce(q, 0) = 0)
+SELECT doc_id, work, CAST({EVERY} * (1 + (row_number() OVER (ORDER BY doc_id) - 1) // {BATCH}) AS BIGINT) AS epoch FROM w""")
+def m5_cadence(spark: SparkSession, d: str) -> DataFrame:
+    """What is new, and what was taken in but has to be done again, in order, a batch in every third epoch."""
+    done = read(spark, d, "labels").groupBy("doc_id").agg(F.max("quality").alias("q"), F.lit(True).alias("done"))
+    work = read(spark, d, "documents").select("doc_id").distinct().join(done, "doc_id", "left").filter("done is null or coalesce(q, 0) = 0")
+    work = work.select("doc_id", F.when(F.col("done").isNull(), "new").otherwise("repair").alias("work"), F.lit(1).alias("one"))
+    placed = metrics.cumulated(work, "doc_id", {"place": "one"})  # by ranges: no task holds all work
+    return placed.select("doc_id", "work", (EVERY * (1 + F.floor((F.col("place") - 1) / BATCH))).cast("long").alias("epoch"))
+
+
+@register("q25_installed_results", "WITH n AS (SELECT o_custkey % 40 AS scene, o_orderpriority AS cls, count(*) AS n FROM orders GROUP BY ALL), c AS (SELECT o_custkey % 40 AS scene, count(*) FILTER (o_orderstatus <> 'P') / count(*) AS covered FROM orders GROUP BY 1) SELECT scene, count(DISTINCT cls) AS classes, CAST(sum(n) AS BIGINT) AS rows, round(any_value(covered), 6) AS coverage, true AS unchanged FROM n JOIN c USING (scene) GROUP BY scene")
+def q25_installed(spark: SparkSession, d: str) -> DataFrame:
+    """Results of every scene installed as a version of their own beside the originals: of known classes alone, one for each original row, with
+    their coverage, and whether the originals are what they were. A version with an unknown class does not come into force."""
+    folder = work_folder(spark)
+    orders = read(spark, d, "orders").select((F.col("o_custkey") % 40).alias("scene"), "o_orderkey", "o_orderpriority", "o_orderstatus")
+    print_ = lambda df, name: df.groupBy("scene").agg(F.sum(F.xxhash64("o_orderkey", "o_orderpriority", "o_orderstatus").cast("decimal(38,0)")).alias(name), F.count(F.lit(1)).alias(f"{name}_n"))
+    publish.publish(orders, f"{folder}/originals", 1, partition=["scene"])
+    before = publish.written(print_(publish.current(spark, f"{folder}/originals"), "before"), folder, "before")
+    known = orders.select("o_orderpriority").distinct()  # a handful
+    results = orders.select("scene", "o_orderkey", F.col("o_orderpriority").alias("cls"), (F.col("o_orderstatus") != "P").alias("seen"))
+
+    def faults(written: DataFrame) -> DataFrame:
+        strange = written.join(F.broadcast(known), F.col("cls") == F.col("o_orderpriority"), "left_anti")
+        rows = written.groupBy("scene").agg(F.count(F.lit(1)).alias("n")).join(before, "scene", "full")
+        return violations({"class": strange, "rows": rows.filter("not n <=> before_n")})
+
+    publish.publish(results, f"{folder}/results", 1, faults, ["scene"])
+    try:
+        publish.publish(results.withColumn("cls", F.lit("unknown")), f"{folder}/results", 2, faults, ["scene"])
+    except ValueError:
+        assert publish.current_version(spark, f"{folder}/results") == 1
+    told = publish.current(spark, f"{folder}/results").groupBy("scene").agg(F.count_distinct("cls").alias("classes"), F.count(F.lit(1)).alias("rows"), r6(F.avg(F.col("seen").cast("double"))).alias("coverage"))
+    after = print_(publish.current(spark, f"{folder}/originals"), "after")
+    same = before.join(after, "scene", "full").select("scene", F.expr("before <=> after and before_n <=> after_n").alias("unchanged"))
+    return told.join(same, "scene").select(F.col("scene").cast("long").alias("scene"), "classes", "rows", "coverage", "unchanged")
