@@ -20,8 +20,9 @@ def test_median_slope(seed):
     at = rng.integers(0, 50, n).astype(float) if seed % 2 else np.arange(n).astype(float)
     value, apart = np.round(rng.normal(size=n), int(rng.integers(0, 4))), int(rng.integers(1, 9))
     slopes = [(value[j] - value[i]) / (at[j] - at[i]) for i in range(n) for j in range(n) if at[j] - at[i] >= apart]
-    got = sequences.median_slope(at, value, apart)
-    assert got is None if not slopes else got == pytest.approx(np.median(slopes), abs=1e-14)
+    for direct in (0, 1_000_000):
+        got = sequences.median_slope(at, value, apart, direct)
+        assert got is None if not slopes else got == pytest.approx(np.median(slopes), abs=1e-14)
 
 
 def test_theil_sen_of_a_long_scene(spark):

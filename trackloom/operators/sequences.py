@@ -141,11 +141,12 @@ def pairs_at_most(at: np.ndarray, value: np.ndarray, before: np.ndarray, slope:
     return found + int((hi - lo).sum(dtype=np.int64))
 
 
-def median_slope(at: np.ndarray, value: np.ndarray, apart: float) -> float | None:
+def median_slope(at: np.ndarray, value: np.ndarray, apart: float, direct: int = 1_000_000) -> float | None:
     """The median slope over pairs of rows at least `apart` (over 0) apart; None without a pair.
 
     Slopes are searched by halving, between two of a few thousand pairs' at first; counting those below takes n log n steps, so the pairs themselves
-    are never made. What is found is the slope of a pair, unless several differ by less than 1e-12.
+    are never made. What is found is the slope of a pair, unless several differ by less than 1e-12. Up to `direct` pairs are simply made: the
+    result is the same, and searching has its price for each step.
     """
     order = np.argsort(at, kind="stable")
     at, value = at[order].astype(float), value[order].astype(float)
@@ -153,6 +154,10 @@ def median_slope(at: np.ndarray, value: np.ndarray, apart: float) -> float | Non
     total = int(before.sum())
     if not total:
         return None
+    if total <= direct:
+        b = np.repeat(np.arange(len(at)), before)
+        a = np.arange(total) - np.repeat(np.cumsum(before) - before, before)
+        return float(np.median((value[b] - value[a]) / (at[b] - at[a])))
     most = float(np.ptp(value)) / apart
     known = {most: total}
     rng = np.random.default_rng(1)
