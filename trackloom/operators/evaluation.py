@@ -75,8 +75,10 @@ def plan_report(modes: DataFrame, truth: DataFrame, last: int, step: float) -> D
     moving, stopped (v at most 2) and curve (over 2 m aside at the end) are ade on parts of the samples; bias is the mean of how far ahead the
     first point is for v from 8 to 15. Parts without a sample are null.
     """
-    t = truth.select("sample", "h", F.col("x").alias("tx"), F.col("y").alias("ty"), "v")
-    e = modes.join(t, ["sample", "h"]).withColumn("e", F.hypot(F.col("x") - F.col("tx"), F.col("y") - F.col("ty")))
+    # One row a sample, and one shuffle by sample for all that follows. Sizes of exploded rows are guessed too low, so the join has to be named.
+    t = truth.groupBy("sample").agg(F.collect_list(F.struct(F.col("h").alias("at"), F.col("x").alias("tx"), F.col("y").alias("ty"), "v")).alias("t"))
+    e = modes.join(t.hint("merge"), "sample").withColumn("t", F.explode(F.filter("t", lambda p: p["at"] == F.col("h")))).select(*modes.columns, "t.tx", "t.ty", "t.v")
+    e = e.withColumn("e", F.hypot(F.col("x") - F.col("tx"), F.col("y") - F.col("ty")))
     at = lambda c, h: F.max(F.when(F.col("h") == h, F.col(c)))
     cv = F.avg(F.hypot(F.col("v") * F.col("h") * step - F.col("tx"), F.col("ty")))
     per_mode = e.groupBy("sample", "mode").agg(F.max("score").alias("score"), F.avg("e").alias("ade"), at("e", last).alias("fde"), (at("x", 1) - at("tx", 1)).alias("ahead"), cv.alias("cv"), F.max("v").alias("v"), at("ty", last).alias("aside"))
