@@ -10,7 +10,7 @@ from trackloom.plans import registry
 FOLDER = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["a25_plan_report"])
+@pytest.mark.parametrize("name", ["a25_plan_report", "r20_adjacency", "j16_geometry_in_window", "j17_radius_pairs"])
 def test_exploded_rows_are_not_broadcast(spark, name):
     df = registry.queries()[name](spark, FOLDER)
     df.collect()

@@ -57,7 +57,7 @@ def horizons(left: DataFrame, t: str, offsets: list[int]) -> DataFrame:
 def valid_interval(left: DataFrame, periods: DataFrame, at: str, start: str, end: str, width: int) -> DataFrame:
     """left with the periods that hold its instant: start <= at < end. Periods are cut into buckets of `width` for an equality key."""
     spread = periods.withColumn("_b", F.explode(F.sequence(F.floor(F.col(start) / width), F.floor((F.col(end) - 1) / width))))
-    return left.withColumn("_b", F.floor(F.col(at) / width)).join(spread, "_b", "left").drop("_b").filter(F.col(start).isNull() | ((F.col(start) <= F.col(at)) & (F.col(at) < F.col(end))))
+    return left.withColumn("_b", F.floor(F.col(at) / width)).join(spread.hint("merge"), "_b", "left").drop("_b").filter(F.col(start).isNull() | ((F.col(start) <= F.col(at)) & (F.col(at) < F.col(end))))
 
 
 def exactly_one(matches: DataFrame, keys: list[str], found: Column) -> DataFrame:
@@ -67,11 +67,14 @@ def exactly_one(matches: DataFrame, keys: list[str], found: Column) -> DataFrame
 
 
 def neighbours(a: DataFrame, b: DataFrame, keys: list[str], x: str, y: str, radius: float, suffix: str = "_b") -> DataFrame:
-    """Pairs within radius: b is put into the 3 x 3 cells around its own, a looks in one."""
+    """Pairs within radius: b is put into the 3 x 3 cells around its own, a looks in one.
+
+    Spark guesses the size of exploded rows as if there were none, and would broadcast them; so the join is a merge of two sorted sides.
+    """
     cx, cy = F.floor(F.col(x) / radius), F.floor(F.col(y) / radius)
     left = a.withColumn("_cx", cx).withColumn("_cy", cy)
     shift = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
     right = b.withColumn("_s", shift).withColumn("_cx", cx + F.col("_s.i")).withColumn("_cy", cy + F.col("_s.j")).drop("_s")
     right = right.select(*keys, "_cx", "_cy", *[F.col(c).alias(c + suffix) for c in b.columns if c not in keys])
     distance = F.hypot(F.col(x) - F.col(x + suffix), F.col(y) - F.col(y + suffix))
-    return left.join(right, [*keys, "_cx", "_cy"]).drop("_cx", "_cy").withColumn("distance", distance).filter(F.col("distance") <= radius)
+    return left.join(right.hint("merge"), [*keys, "_cx", "_cy"]).drop("_cx", "_cy").withColumn("distance", distance).filter(F.col("distance") <= radius)

@@ -103,7 +103,7 @@ def j9(spark: SparkSession, d: str) -> DataFrame:
     ahead = ahead.withColumn("_b", F.floor(F.col("at") / HOUR))
     later = p.select("scene", F.col("t").alias("t1"), F.col("eid").alias("hit"), F.explode(F.array(*[F.floor(F.col("t") / HOUR) + k for k in (-1, 0, 1)])).alias("_b"))
     off = F.abs(F.col("t1") - F.col("at"))
-    near = ahead.join(later, ["scene", "_b"]).filter((F.col("t1") > F.col("t0")) & (off <= HOUR))
+    near = ahead.join(later.hint("merge"), ["scene", "_b"]).filter((F.col("t1") > F.col("t0")) & (off <= HOUR))
     return near.groupBy("scene", "eid", "h").agg(F.min(F.struct(off.alias("off"), "t1", "hit"))["hit"].alias("hit"))
 
 

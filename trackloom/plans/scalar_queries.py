@@ -234,7 +234,7 @@ def r20(spark: SparkSession, d: str) -> DataFrame:
     ends = p.select(F.col("id").alias("i"), F.col("x1").alias("x"), F.col("y1").alias("y"))
     starts = p.select(F.col("id").alias("j"), F.col("x0").alias("x"), F.col("y0").alias("y"))
     close = neighbours(ends, starts, [], "x", "y", 1.0, "_b").filter("distance < 1 and i <> j_b").select("i", F.col("j_b").alias("j"))
-    after = p.select(F.col("id").alias("i"), "chain", (F.col("id") + 1).alias("j")).join(p.select(F.col("id").alias("j"), "chain"), ["j", "chain"]).select("i", "j")
+    after = p.select(F.col("id").alias("i"), "chain", (F.col("id") + 1).alias("j")).join(p.select(F.col("id").alias("j"), "chain").hint("merge"), ["j", "chain"]).select("i", "j")
     return close.unionByName(after).distinct()
 
 
