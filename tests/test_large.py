@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
+
 import pytest
+from pyspark.sql import functions as F
 
 import trackloom.plans  # noqa: F401
-from trackloom.plans import registry
+from trackloom.plans import file_queries, registry
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -16,3 +19,15 @@ def test_exploded_rows_are_not_broadcast(spark, name):
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" not in plan and "SortMergeJoin" in plan
+
+
+def test_arrays_of_annotations_are_bounded(spark, tmp_path, monkeypatch):
+    """Of one scene's 150 samples no array has all, and none is lost."""
+    monkeypatch.setattr(file_queries, "work_folder", lambda spark: str(tmp_path / "work"))
+    monkeypatch.setattr(file_queries, "ARRAY", 50)
+    made = file_queries._annotation_tables(spark, FOLDER, ["sample", "sample_data"])
+    lines = [json.loads(x) for f in (tmp_path / "work" / "sample").rglob("*.txt") for x in f.read_text().splitlines()]
+    orders = spark.read.parquet(f"{FOLDER}/orders.parquet")
+    assert sum(map(len, lines)) == orders.count() and max(map(len, lines)) < 20
+    assert made["sample"].select("token").distinct().count() == orders.count()
+    assert made["sample_data"].agg(F.sum("width")).first()[0] == spark.read.parquet(f"{FOLDER}/lineitem.parquet").count()

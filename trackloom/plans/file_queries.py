@@ -119,8 +119,12 @@ def s16_metric(spark: SparkSession, d: str) -> DataFrame:
     return lines.filter(F.col("text").contains("miou=")).groupBy(_user()).agg(F.max_by(value.cast("double"), "line").alias("last"), F.max("line").alias("line"))
 
 
-def _annotation_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    """Customers are scenes, their orders samples in a chain, and line items their sensors' data: written as arrays of JSON, one folder a scene."""
+#: Rows of all scenes' arrays of JSON that go by one hash, about: a scene has as many arrays as it needs, so none grows with the table.
+ARRAY = 20_000
+
+
+def _annotation_tables(spark: SparkSession, d: str, names: list[str]) -> dict[str, DataFrame]:
+    """Customers are scenes, their orders samples in a chain, and line items their sensors' data: written as lines of arrays of JSON, one folder a scene."""
     folder = work_folder(spark)
     orders, items = read(spark, d, "orders"), read(spark, d, "lineitem")
     scene = F.concat(F.lit("s"), (F.col("o_custkey") % 16).cast("string"))
@@ -134,26 +138,28 @@ def _annotation_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     sensors = each.select("scene", F.explode(F.expr("transform(sequence(0, 2), k -> struct(concat('k', k) as token, concat('CAM_', k) as channel, 'camera' as modality))")).alias("row"))
     calibrated = each.select("scene", F.explode(F.expr("transform(sequence(0, 3), k -> struct(concat('c', k) as token, concat('k', k) as sensor_token, array(cast(k as double)) as translation, array(1D) as rotation, array(array(1D)) as camera_intrinsic))")).alias("row"))
     made = {"sample": samples, "ego_pose": poses, "sample_data": data, "sensor": sensors, "calibrated_sensor": calibrated}
-    for name, rows in made.items():
-        texts = rows.groupBy("scene").agg(F.to_json(F.sort_array(F.collect_list("row"))).alias("text"))
+    part = F.pmod(F.xxhash64("row.token"), F.lit(1 + items.count() // ARRAY))
+    for name in names:
+        texts = made[name].groupBy("scene", part).agg(F.to_json(F.collect_list("row")).alias("text"))
         texts.select("text", "scene").write.partitionBy("scene").text(f"{folder}/{name}")
-    return {name: scenes.json_folders(spark, f"{folder}/{name}", name) for name in made}
+    return {name: scenes.json_folders(spark, f"{folder}/{name}", name) for name in names}
 
 
+LINKED = ["sample_data", "calibrated_sensor", "sensor", "ego_pose"]
 _SCENES = """o AS (SELECT 's' || (o_custkey % 16) AS scene, o_orderkey, o_orderdate, o_totalprice FROM orders)"""
 
 
 @register("s1_scene_frames", f"""WITH {_SCENES} SELECT scene, CASE WHEN l_linenumber % 4 < 3 THEN 'CAM_' || (l_linenumber % 4) END AS channel, count(*) AS frames, count(*) FILTER (o_orderkey % 11 <> 0) AS posed, round(sum(CASE WHEN o_orderkey % 11 <> 0 THEN o_totalprice END), 2) AS x FROM o JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL""")
 def s1(spark: SparkSession, d: str) -> DataFrame:
     """Frames of every scene with their sensor's channel and the vehicle's pose, by their tokens; broken links leave nulls."""
-    f = scenes.frames(_annotation_tables(spark, d))
+    f = scenes.frames(_annotation_tables(spark, d, LINKED))
     return f.groupBy("scene", "channel").agg(F.count(F.lit(1)).alias("frames"), F.count("ego_at").alias("posed"), F.round(F.sum(F.col("ego_at")[0]), 2).alias("x"))
 
 
 @register("s2_ordered_samples", f"""WITH {_SCENES} SELECT scene, o_orderkey::VARCHAR AS token, row_number() OVER (PARTITION BY scene ORDER BY o_orderdate, o_orderkey) - 1 AS place FROM o""")
 def s2(spark: SparkSession, d: str) -> DataFrame:
     """The samples of every scene in order, where the chain of their tokens agrees with the clock."""
-    samples = scenes.ordered_samples(_annotation_tables(spark, d)["sample"].withColumn("token", F.lpad("token", 20, "0")).withColumn("prev", F.when(F.col("prev") == "", "").otherwise(F.lpad("prev", 20, "0"))))
+    samples = scenes.ordered_samples(_annotation_tables(spark, d, ["sample"])["sample"].withColumn("token", F.lpad("token", 20, "0")).withColumn("prev", F.when(F.col("prev") == "", "").otherwise(F.lpad("prev", 20, "0"))))
     return samples.filter("linked").select("scene", F.col("token").cast("long").cast("string").alias("token"), F.col("place").cast("long").alias("place"))
 
 
@@ -161,7 +167,7 @@ def s2(spark: SparkSession, d: str) -> DataFrame:
 SELECT scene, place, l_linenumber % 4 AS camera, count(*) AS files, round(CASE WHEN o_orderkey % 11 <> 0 THEN o_totalprice END, 2) AS x FROM p JOIN lineitem ON l_orderkey = o_orderkey WHERE l_linenumber % 4 < 3 GROUP BY ALL""")
 def s3(spark: SparkSession, d: str) -> DataFrame:
     """What a running vehicle would be given, sample by sample: each camera's files with its mounting, and the pose where it is known."""
-    made = _annotation_tables(spark, d)
+    made = _annotation_tables(spark, d, ["sample", *LINKED])
     order = Window.partitionBy("scene").orderBy("timestamp", F.col("token").cast("long"))
     samples = made["sample"].select("scene", F.col("token").alias("sample"), (F.row_number().over(order) - 1).cast("long").alias("place"))
     given = scenes.frames(made).filter("channel is not null").join(samples, ["scene", "sample"])
