@@ -31,3 +31,31 @@ def test_arrays_of_annotations_are_bounded(spark, tmp_path, monkeypatch):
     assert sum(map(len, lines)) == orders.count() and max(map(len, lines)) < 20
     assert made["sample"].select("token").distinct().count() == orders.count()
     assert made["sample_data"].agg(F.sum("width")).first()[0] == spark.read.parquet(f"{FOLDER}/lineitem.parquet").count()
+
+
+def events(spark, tmp_path, rows):
+    """A folder with an events table of rows (event_id, user_id, hours since 2024, type, value)."""
+    df = spark.createDataFrame(rows, "event_id long, user_id long, h double, event_type string, value double")
+    df.select("event_id", F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, h * 3600)").alias("ts"), "user_id", "event_type", "value", F.lit("{}").alias("props")).write.parquet(str(tmp_path / "events.parquet"))
+    return str(tmp_path)
+
+
+def test_flat_patches_have_no_correlation(spark, tmp_path):
+    rows = [(k, 1, k / 10, "view", 5.0) for k in range(8)] + [(k, 1, k / 10, "view", float(k)) for k in range(8, 16)]
+    got = {r["patch"]: (r["shift"], str(r["ncc"])) for r in registry.queries()["x16_depth_by_correlation"](spark, events(spark, tmp_path, rows)).collect()}
+    assert got[0] == (0, "nan") and got[1][1] != "nan"
+
+
+def test_a_mean_of_a_fifth_is_not_below_it(spark, tmp_path):
+    """Eight days with 0.1 and eight with 0.3: however doubles are added, some sums fall short of 3.2."""
+    shares, rows = [1, 3] * 8, []
+    for day, share in enumerate(shares):
+        rows += [(day * 10 + k, 1, day * 24.0 + k, "view" if k < share else "click", 1.0) for k in range(10)]
+    (r,) = registry.queries()["a17_mean_of_means"](spark, events(spark, tmp_path, rows)).collect()
+    assert r["share"] == 0.2 and r["flagged"] is False
+
+
+def test_lists_of_scenes_are_whole(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    got = {r["scene"]: r["listed"].split("\n") for r in registry.queries()["k1_scene_tables"](spark, FOLDER).collect()}
+    assert sorted(int(i) for ids in got.values() for i in ids) == sorted(r[0] for r in docs.select("doc_id").collect())

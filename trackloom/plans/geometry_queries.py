@@ -220,9 +220,13 @@ def x16(spark: SparkSession, d: str) -> DataFrame:
     """For every patch of one signal the shift at which another agrees with it best, by normalised cross-correlation."""
     n = pose_track(spark, d).select("scene", "x", "y", (F.row_number().over(Window.partitionBy("scene").orderBy("t", "eid")) - 1).cast("long").alias("n"))
     a = n.select("scene", "x", F.expr("n div 8").alias("patch"), "n", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(4).cast("long"))).alias("shift")).withColumn("n", F.col("n") + F.col("shift"))
-    k = a.join(n.select("scene", "n", F.col("y").alias("other")), ["scene", "n"]).groupBy("scene", "patch", "shift").agg(F.round(F.corr("x", "other"), 9).alias("ncc"), F.count(F.lit(1)).alias("size"))
-    best = k.filter("size = 8 and ncc is not null and not isnan(ncc)").groupBy("scene", "patch").agg(F.max(F.struct("ncc", (-F.col("shift")).alias("s"))).alias("b"))
-    return best.select("scene", "patch", (-F.col("b.s")).alias("shift"), r6("b.ncc").alias("ncc"))
+    k = a.join(n.select("scene", "n", F.col("y").alias("other")), ["scene", "n"]).groupBy("scene", "patch", "shift").agg(F.covar_pop("x", "other").alias("both"), (F.stddev_pop(F.when(F.col("other").isNotNull(), F.col("x"))) * F.stddev_pop(F.when(F.col("x").isNotNull(), F.col("other")))).alias("apart"), F.count(F.lit(1)).alias("size"))
+    # A flat side has no correlation: NaN, which like in SQL is larger than all numbers. F.corr would divide by zero.
+    ncc = F.when(F.col("apart") == 0, float("nan")).otherwise(F.round(F.try_divide("both", "apart"), 9))
+    best = k.filter("size = 8").withColumn("ncc", ncc).filter("ncc is not null").groupBy("scene", "patch").agg(F.max(F.struct("ncc", (-F.col("shift")).alias("s"))).alias("b"))
+    top = F.col("b.ncc")
+    six = F.signum(top) * F.floor(F.abs(top) * 1e6 + 0.5) / 1e6 + 0.0  # in doubles, as in SQL: nine decimals that end in 500 are no ties there
+    return best.select("scene", "patch", (-F.col("b.s")).alias("shift"), F.when(F.isnan(top), top).otherwise(six).alias("ncc"))
 
 
 TRIES, STRIDE = 64, 1009
