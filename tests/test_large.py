@@ -59,3 +59,17 @@ def test_lists_of_scenes_are_whole(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     got = {r["scene"]: r["listed"].split("\n") for r in registry.queries()["k1_scene_tables"](spark, FOLDER).collect()}
     assert sorted(int(i) for ids in got.values() for i in ids) == sorted(r[0] for r in docs.select("doc_id").collect())
+
+
+def test_frames_stay_whole_across_batches():
+    """Frames of 1 to 9 rows in batches of any size: each comes out once, whole and in order."""
+    import numpy as np
+    import pyarrow as pa
+
+    from trackloom.operators.matching import whole_frames
+
+    frame = np.repeat(np.arange(40), np.arange(40) % 9 + 1)
+    table = pa.table({"frame": frame, "cls": ["a"] * len(frame), "x": np.arange(len(frame))})
+    for size in (1, 2, 7, 1000):
+        got = [(int(b["frame"][lo]), b["x"][lo:hi].tolist()) for _, b, places in whole_frames(iter(table.to_batches(max_chunksize=size))) for lo, hi in places]
+        assert got == [(k, np.flatnonzero(frame == k).tolist()) for k in range(40)]
