@@ -73,3 +73,21 @@ def test_frames_stay_whole_across_batches():
     for size in (1, 2, 7, 1000):
         got = [(int(b["frame"][lo]), b["x"][lo:hi].tolist()) for _, b, places in whole_frames(iter(table.to_batches(max_chunksize=size))) for lo, hi in places]
         assert got == [(k, np.flatnonzero(frame == k).tolist()) for k in range(40)]
+
+
+def test_files_of_a_stream_grow_in_number(spark, tmp_path, monkeypatch):
+    from trackloom.plans import stream_queries
+
+    monkeypatch.setattr(stream_queries, "FILE", 100)
+    stream_queries.arrived([spark.range(2000).selectExpr("id", "id % 500 as scene")], str(tmp_path), 2)
+    sizes = [spark.read.parquet(str(f)).count() for f in (tmp_path / "in").glob("*.parquet")]
+    assert sum(sizes) == 2000 and len(sizes) > 12 and max(sizes) < 300
+
+
+def test_lobes_are_spread_after_their_frames_have_met(spark, monkeypatch):
+    from trackloom.plans import scalar_queries
+
+    monkeypatch.setattr(scalar_queries, "LOBES", 1000)
+    df = registry.queries()["r15_risk_lobes"](spark, FOLDER)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(frame") == 1

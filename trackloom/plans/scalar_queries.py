@@ -210,6 +210,10 @@ def json_and_time(spark: SparkSession, d: str) -> DataFrame:
     return e.select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"), micros(F.col("ts")).alias("us"), F.lpad((F.col("event_id") % 1000).cast("string"), 5, "0").alias("padded"))
 
 
+#: Boxes of a task, about; each has 49 cells.
+LOBES = 250_000
+
+
 @register("r15_risk_lobes", f"""WITH b AS (SELECT l_orderkey // 64 AS frame, l_partkey % 20 AS bx, l_suppkey % 20 AS by_, l_quantity / 25 AS s, l_returnflag = 'R' AS moving FROM lineitem), g AS (SELECT frame, bx + i AS r, by_ + j AS c, CASE WHEN moving THEN exp(-(i * i + j * j) / (2 * s * s)) ELSE greatest(0, 0.5 - 0.2 * sqrt(i * i + j * j)) END AS v FROM b, range(-3, 4) x(i), range(-3, 4) y(j))
 SELECT frame, r, c, CASE WHEN abs(r - 10) <= 1 AND abs(c - 10) <= 1 THEN 0 ELSE round(least(sum(v), 8), 4) END AS risk FROM g GROUP BY frame, r, c""")
 def r15(spark: SparkSession, d: str) -> DataFrame:
@@ -217,6 +221,8 @@ def r15(spark: SparkSession, d: str) -> DataFrame:
     b = read(spark, d, "lineitem").select(F.expr("l_orderkey div 64").alias("frame"), (F.col("l_partkey") % 20).alias("bx"), (F.col("l_suppkey") % 20).alias("by"), (F.col("l_quantity") / 25).alias("s"), (F.col("l_returnflag") == "R").alias("moving"))
     i, j = (F.explode(F.sequence(F.lit(-3).cast("long"), F.lit(3).cast("long"))) for _ in range(2))
     lobe, falloff = F.exp(F.expr("-(i * i + j * j) / (2 * s * s)")), F.greatest(F.lit(0.0), 0.5 - 0.2 * F.sqrt(F.expr("i * i + j * j")))
+    # Frames meet before their lobes are spread, so that a shuffle has one row a box and the sums need no other; LOBES keeps a task's cells few.
+    b = b.repartition(1 + b.count() // LOBES, "frame")
     g = b.withColumn("i", i).withColumn("j", j).select("frame", F.expr("bx + i").alias("r"), F.expr("by + j").alias("c"), F.when(F.col("moving"), lobe).otherwise(falloff).alias("v"))
     risk = g.groupBy("frame", "r", "c").agg(F.round(F.least(F.sum("v"), F.lit(8.0)), 4).alias("risk"))
     return risk.withColumn("risk", F.when(F.expr("abs(r - 10) <= 1 and abs(c - 10) <= 1"), 0.0).otherwise(F.col("risk")))
