@@ -24,13 +24,22 @@ def work_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/trackloom-stream-{uuid.uuid4().hex}"
 
 
+#: Rows of a file, about: files grow in number with the table and not in size.
+FILE = 500_000
+
+
 def arrived(waves: list[DataFrame], folder: str, files: int) -> str:
-    """Write the rows wave by wave, each scene's in one file of its wave."""
+    """Write the rows wave by wave, each scene's in one file of its wave; at least so many files, and as many as the rows need."""
     for wave in waves:
-        wave.repartition(files, "scene").write.mode("append").parquet(f"{folder}/in")
+        wave.repartition(max(files, 1 + wave.count() // FILE), "scene").write.mode("append").parquet(f"{folder}/in")
     return f"{folder}/in"
 
 
+def at_once(spark: SparkSession) -> int:
+    """Files per trigger: two for each core, and no more than that ahead of the work."""
+    return 2 * spark.sparkContext.defaultParallelism
+
+
 def drained(stream: DataFrame, folder: str) -> DataFrame:
     """Run a stream over all files that are there, and read what it wrote."""
     query = stream.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").outputMode("append").trigger(availableNow=True).start()
@@ -43,7 +52,7 @@ def m1(spark: SparkSession, d: str) -> DataFrame:
     """Frames read ahead of the work on them: files per trigger are the bound, and the end of the files is the end of the run."""
     rows = read(spark, d, "lineitem").select(F.expr("l_orderkey div 64").alias("scene"), F.col("l_orderkey").alias("frame"), F.col("l_linenumber").alias("channel"), "l_quantity", "l_extendedprice")
     folder = work_folder(spark)
-    frames = accumulate.frame_stream(spark, arrived([rows], folder, 4), rows.schema, 2)
+    frames = accumulate.frame_stream(spark, arrived([rows], folder, 4), rows.schema, at_once(spark))
     reach = F.sqrt(F.expr("l_quantity * l_quantity + l_extendedprice * l_extendedprice / 1e6"))
     return drained(frames.filter("l_quantity > 2").select("scene", "frame", "channel", r6(reach).alias("reach")), folder)
 
@@ -69,5 +78,5 @@ def m2(spark: SparkSession, d: str) -> DataFrame:
     )
     folder = work_folder(spark)
     source = arrived([rows.filter("t < 16"), rows.filter("t >= 16")], folder, 2)
-    out = drained(accumulate.accumulate_stream(accumulate.frame_stream(spark, source, rows.schema, 2)), folder)
+    out = drained(accumulate.accumulate_stream(accumulate.frame_stream(spark, source, rows.schema, at_once(spark))), folder)
     return out.select("scene", "t", "reset", F.col("cells").cast("long").alias("cells"), (F.col("total") + 0.0).alias("total"))
