@@ -91,3 +91,11 @@ def test_lobes_are_spread_after_their_frames_have_met(spark, monkeypatch):
     df = registry.queries()["r15_risk_lobes"](spark, FOLDER)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(frame") == 1
+
+
+def test_long_walks_are_walked_to_their_end(spark, tmp_path):
+    """Only event 9 can be read, a step of 1009 being one of 9 among ten: walks of one to nine steps; and no step makes rows for all."""
+    rows = [(k, 1, float(k), "view" if k == 9 else "error", 1.0) for k in range(10)]
+    df = registry.queries()["q15_retry_walk"](spark, events(spark, tmp_path, rows))
+    assert {r["event_id"]: (r["tries"], r["taken"]) for r in df.collect()} == {k: (k + 1, 9) for k in range(9)}
+    assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()

@@ -229,7 +229,7 @@ def x16(spark: SparkSession, d: str) -> DataFrame:
     return best.select("scene", "patch", (-F.col("b.s")).alias("shift"), F.when(F.isnan(top), top).otherwise(six).alias("ncc"))
 
 
-TRIES, STRIDE = 64, 1009
+TRIES, NEAR_TRIES, STRIDE = 64, 6, 1009
 
 
 @register("q15_retry_walk", f"""WITH n AS (SELECT max(event_id) + 1 AS n FROM events), bad AS (SELECT event_id FROM events WHERE event_type = 'error'), w AS (SELECT bad.event_id, k, (bad.event_id + k * {STRIDE}) % n.n AS other FROM bad, n, range(1, {TRIES}) t(k))
@@ -238,7 +238,13 @@ def q15(spark: SparkSession, d: str) -> DataFrame:
     """What stands in for a sample that can't be read: the first readable one on a walk of fixed stride."""
     e = read(spark, d, "events")
     n = e.agg((F.max("event_id") + 1).alias("n"))  # one row
-    steps = F.explode(F.sequence(F.lit(1).cast("long"), F.lit(TRIES - 1).cast("long")))
-    walk = e.filter("event_type = 'error'").select("event_id").join(F.broadcast(n)).withColumn("k", steps).withColumn("other", (F.col("event_id") + F.col("k") * STRIDE) % F.col("n"))
-    fine = e.filter("event_type <> 'error'").select(F.col("event_id").alias("other"))
-    return walk.join(fine, "other").groupBy("event_id").agg(F.min("k").alias("tries"), F.min_by("other", "k").alias("taken"))
+    bad, fine = e.filter("event_type = 'error'").select("event_id"), e.filter("event_type <> 'error'").select(F.col("event_id").alias("other"))
+
+    def walked(left: DataFrame, first: int, last: int) -> DataFrame:
+        steps = F.explode(F.sequence(F.lit(first).cast("long"), F.lit(last).cast("long")))
+        walk = left.join(F.broadcast(n)).withColumn("k", steps).withColumn("other", (F.col("event_id") + F.col("k") * STRIDE) % F.col("n"))
+        return walk.join(fine.hint("merge"), "other").groupBy("event_id").agg(F.min("k").alias("tries"), F.min_by("other", "k").alias("taken"))
+
+    # Few walks are long: the rest of the steps is made for those alone that have found nothing in the first.
+    near = walked(bad, 1, NEAR_TRIES)
+    return near.unionByName(walked(bad.join(near.select("event_id").hint("merge"), "event_id", "left_anti"), NEAR_TRIES + 1, TRIES - 1))
