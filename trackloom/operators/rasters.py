@@ -5,8 +5,12 @@ Rasters travel as sparse cells (frame, r, c) and are dense only inside a task, c
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -124,22 +128,108 @@ def polygon_cells(points: np.ndarray) -> np.ndarray:
     return np.stack([r[inside], c[inside]], 1)
 
 
+def polygon_spans(y: np.ndarray, x: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(polygon, r, first c, last c) of the cells that polygon_cells() gives, run by run, for polygons whose vertices stand one after
+    another and end at `ends`. Where a row's middle line crosses the edges, in order, the cells between every other two crossings are inside."""
+    starts = np.concatenate([[0], ends[:-1]])
+    own = np.repeat(np.arange(len(ends)), ends - starts)
+    after = np.arange(1, len(y) + 1)
+    after[ends[ends > starts] - 1] = starts[ends > starts]
+    edge = np.flatnonzero((y != y[after]) & ~np.isnan(y + x + y[after] + x[after]))  # what lacks a corner crosses nothing
+    lo, hi = np.minimum(y[edge], y[after[edge]]), np.maximum(y[edge], y[after[edge]])
+    first = np.ceil(lo - 0.5).astype(np.int64) - 1
+    n = np.ceil(hi - 0.5).astype(np.int64) + 1 - first
+    edge, r = np.repeat(edge, n), np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+    crosses = (y[edge] > r + 0.5) != (y[after[edge]] > r + 0.5)
+    edge, r = edge[crosses], r[crosses]
+    ay, ax, by, bx = y[edge], x[edge], y[after[edge]], x[after[edge]]
+    at = (bx - ax) * (r + 0.5 - ay) / (by - ay) + ax
+    order = np.lexsort((at, r, own[edge]))
+    poly, r, at = own[edge][order], r[order], at[order]
+    new = np.concatenate([[True], (poly[1:] != poly[:-1]) | (r[1:] != r[:-1])])[: len(r)]
+    place = np.arange(len(r)) - np.maximum.accumulate(np.where(new, np.arange(len(r)), 0))
+    left = np.flatnonzero(place[1:] % 2 == 1)
+    a, z = np.ceil(at[left] - 0.5).astype(np.int64), np.ceil(at[left + 1] - 0.5).astype(np.int64) - 1
+    left, a, z = left[a <= z], a[a <= z], z[a <= z]
+    return poly[left], r[left], a, z
+
+
+#: Cells that a task makes at once, about; a polygon alone may have more.
+PAINT = 2_000_000
+
+
+def _fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Cells of polygons (frame, layer, ys, xs) that come by frame; the last frame waits for the next batch, which may go on with it."""
+    held: pa.Table | None = None
+    for batch in batches:
+        layer = batch.column(1)
+        ys, xs = batch.column(2), batch.column(3)
+        y, x = (np.asarray(c.flatten().to_numpy(zero_copy_only=False), np.float64) for c in (ys, xs))
+        if np.isinf(y).any() or np.isinf(x).any():
+            raise ValueError("a polygon goes on for ever")
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(ys), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        starts = np.concatenate([[0], ends[:-1]])
+        some = np.flatnonzero(ends > starts)
+        size = np.zeros(len(ends))
+        if len(some):
+            y_, x_ = np.nan_to_num(y), np.nan_to_num(x)
+            extent = lambda v: np.maximum.reduceat(v, starts[some]) - np.minimum.reduceat(v, starts[some]) + 2
+            size[some] = extent(y_) * extent(x_)
+        part = (np.cumsum(size) // PAINT).astype(np.int64)
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(ends)]
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            if hi == lo:
+                continue
+            v0, v1 = int(starts[lo]), int(ends[hi - 1])
+            poly, r, a, z = polygon_spans(y[v0:v1], x[v0:v1], ends[lo:hi] - v0)
+            n = z - a + 1
+            poly, r = np.repeat(poly, n) + lo, np.repeat(r, n)
+            c = np.repeat(a - np.cumsum(n) + n, n) + np.arange(len(r))
+            rows = pa.table([batch.column(0).take(pa.array(poly)), pa.array(r, pa.int32()), pa.array(c, pa.int32()), layer.take(pa.array(poly))], names=["frame", "r", "c", "layer"])
+            rows = _topmost(rows if held is None else pa.concat_tables([held, rows]))
+            if rows.num_rows:
+                frame = rows.column(0).combine_chunks().dictionary_encode("encode").indices.to_numpy(zero_copy_only=False)
+                last = int(np.argmax(frame == frame[-1]))
+                yield from rows.slice(0, last).combine_chunks().to_batches()
+                held = rows.slice(last)
+    if held is not None:
+        yield from held.combine_chunks().to_batches()
+
+
+def _topmost(rows: pa.Table) -> pa.Table:
+    """Of each cell the row with the largest layer; frames keep their order."""
+    if not rows.num_rows:
+        return rows
+    frame = rows.column("frame").combine_chunks().dictionary_encode("encode").indices.to_numpy(zero_copy_only=False)
+    r, c = (rows.column(k).to_numpy().astype(np.int64) for k in ("r", "c"))
+    layer = pc.fill_null(rows.column("layer").cast(pa.int64()), np.iinfo(np.int64).min).to_numpy()
+    place = (r << 32) + c
+    order = np.lexsort((place, frame))
+    frame, place = frame[order], place[order]
+    starts = np.flatnonzero(np.concatenate([[True], (frame[1:] != frame[:-1]) | (place[1:] != place[:-1])]))
+    top = np.maximum.reduceat(layer[order], starts)
+    kept = rows.take(pa.array(order[starts]))
+    return kept.set_column(3, rows.schema.field("layer"), pa.array(top, pa.int64(), mask=top == np.iinfo(np.int64).min).cast(rows.schema.field("layer").type))
+
+
+def _filled(polygons: DataFrame) -> DataFrame:
+    kind = {f.name: f.dataType.simpleString() for f in polygons.schema}
+    rows = polygons.select("frame", "layer", "ys", "xs").sortWithinPartitions("frame")
+    return rows.mapInArrow(_fill, f"frame {kind['frame']}, r int, c int, layer {kind['layer']}")
+
+
+def filled_shapes(polygons: DataFrame) -> DataFrame:
+    """filled_polygons() of polygons that have their vertices in arrays: (frame, layer, ys array<double>, xs array<double>)."""
+    return _filled(polygons.repartition("frame"))
+
+
 def filled_polygons(vertices: DataFrame) -> DataFrame:
     """frame, r, c, layer of vertices (frame, poly, layer, seq, y, x); where layers overlap, the largest wins.
 
-    Row by row: where a row's middle line crosses the edges, in order, the cells between every other two crossings are inside. This
-    is polygon_cells() as columns; a polygon costs a row per raster row that it spans.
+    One shuffle, by frame: a task goes through its frames in batches of many polygons, and holds one frame's cells and a batch's.
     """
-    v = vertices.groupBy("frame", "poly", "layer").agg(F.sort_array(F.collect_list(F.struct("seq", "y", "x"))).alias("v"), F.floor(F.min("y")).cast("int").alias("lo"), F.ceil(F.max("y")).cast("int").alias("hi"))
-    edges = F.zip_with("v", F.concat(F.slice("v", F.lit(2), F.size("v")), F.slice("v", 1, 1)), lambda p, q: F.struct(p.alias("p"), q.alias("q")))
-    rows = v.select("frame", "layer", edges.alias("e"), F.explode(F.sequence("lo", "hi")).alias("r")).withColumn("y", F.col("r") + 0.5)
-    crossed = F.filter("e", lambda e: (e["p"]["y"] > F.col("y")) != (e["q"]["y"] > F.col("y")))
-    places = F.array_sort(F.transform(crossed, lambda e: (e["q"]["x"] - e["p"]["x"]) * (F.col("y") - e["p"]["y"]) / (e["q"]["y"] - e["p"]["y"]) + e["p"]["x"]))
-    cut = rows.select("frame", "layer", "r", places.alias("xs")).filter(F.size("xs") > 0)
-    spans = F.transform(F.sequence(F.lit(0), F.size("xs") - 2, F.lit(2)), lambda k: F.struct(F.ceil(F.get("xs", k) - 0.5).cast("int").alias("a"), (F.ceil(F.get("xs", k + 1) - 0.5) - 1).cast("int").alias("z")))
-    inside = cut.select("frame", "layer", "r", F.explode(spans).alias("s")).filter("s.a <= s.z")
-    cells = inside.select("frame", "layer", "r", F.explode(F.sequence("s.a", "s.z")).alias("c"))
-    return cells.groupBy("frame", "r", "c").agg(F.max("layer").alias("layer"))
+    v = vertices.repartition("frame").groupBy("frame", "poly", "layer").agg(F.sort_array(F.collect_list(F.struct("seq", "y", "x"))).alias("v"))
+    return _filled(v.select("frame", "layer", F.expr("transform(v, p -> double(p.y))").alias("ys"), F.expr("transform(v, p -> double(p.x))").alias("xs")))
 
 
 def thinned(mask: np.ndarray) -> np.ndarray:
