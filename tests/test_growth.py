@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
+import duckdb
 import numpy as np
+import pytest
 
 import trackloom.plans  # noqa: F401
 from trackloom.operators import rasters
@@ -36,3 +40,28 @@ def test_frames_of_polygons_go_on_in_the_next_batch(spark, monkeypatch):
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
     assert len(got) == len(want) and {r[:3]: r[3] for r in got} == want
+
+
+@contextmanager
+def small_batches(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "7")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def by_sql(name):
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW lineitem AS FROM '{FOLDER}/lineitem.parquet'")
+    return sorted(con.sql(registry.oracle_sql()[name]).fetchall())
+
+
+@pytest.mark.parametrize(("name", "most"), [("x1_nearest_error_by_band", 2), ("x3_recall_by_side_and_band", 2), ("x4_recall_curve", 1)])
+def test_pairs_are_made_after_one_shuffle(spark, name, most):
+    """Boxes go by frame; what goes further are sums of a few groups. Batches that end within a frame change nothing."""
+    assert shuffles(spark, name) <= most
+    with small_batches(spark):
+        assert sorted(map(tuple, registry.queries()[name](spark, FOLDER).collect())) == by_sql(name)

@@ -45,7 +45,8 @@ def whole_frames(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table,
 def _cut(parts: list[pa.RecordBatch]) -> tuple[pa.Table, Boxes, list[tuple[int, int]]]:
     table = pa.Table.from_batches(parts)
     columns = {n: table.column(n).combine_chunks() for n in table.column_names}
-    columns["cls"] = columns["cls"].dictionary_encode().indices.fill_null(-1)
+    if "cls" in columns:
+        columns["cls"] = columns["cls"].dictionary_encode().indices.fill_null(-1)
     boxes = {n: c.to_numpy(zero_copy_only=False) for n, c in columns.items()}
     frame = boxes["frame"]
     starts = [0, *(np.flatnonzero(frame[1:] != frame[:-1]) + 1).tolist()]

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +13,7 @@ from trackloom.functions.scalars import band, r6
 from trackloom.operators import grids as G
 from trackloom.operators import metrics as M
 from trackloom.operators.joins import neighbours
+from trackloom.operators.matching import by_frame, whole_frames
 from trackloom.plans.grid_queries import CELLS, OCC, RC, cells, occupied
 from trackloom.plans.metric_queries import SCORED, scored
 from trackloom.plans.oracle import BOXES, POSE
@@ -18,32 +23,58 @@ from trackloom.sources.tables import boxes, pose_track, read
 PAIRS = f"{BOXES}, fr AS (SELECT *, frame // 16 AS f FROM boxes), near AS (SELECT t.f, t.box AS truth, t.x AS tx, t.y AS ty, p.box AS pred, p.x - t.x AS dx, p.y - t.y AS dy, sqrt((p.x - t.x) ** 2 + (p.y - t.y) ** 2) AS dist, p.score FROM fr t JOIN fr p ON t.f = p.f AND t.cls = p.cls AND t.box % 2 = 0 AND p.box % 2 = 1)"
 
 
-def pairs(spark: SparkSession, d: str) -> DataFrame:
-    """Truths with all predictions of their frame and class; 16 orders are a frame, which holds some 64 boxes whatever the table's size."""
-    b = boxes(spark, d).withColumn("f", F.expr("frame div 16"))
-    t = b.filter("box % 2 = 0").select("f", "cls", F.col("box").alias("truth"), F.col("x").alias("tx"), F.col("y").alias("ty"))
-    p = b.filter("box % 2 = 1").select("f", "cls", F.col("box").alias("pred"), "x", "y", "score")
-    both = t.join(p, ["f", "cls"]).withColumn("dx", F.expr("x - tx")).withColumn("dy", F.expr("y - ty"))
-    return both.withColumn("dist", F.sqrt(F.expr("dx * dx + dy * dy")))
+#: Score thresholds of the recall curve, each with the distance within which a prediction counts.
+LIMITS = ((0.2, 6.0), (0.5, 4.0), (0.8, 2.0))
+
+
+def truths(spark: SparkSession, d: str, *keys: str) -> DataFrame:
+    """frame, the keys (truth, or truth, tx, ty), dx, dy, dist and hits of each truth that has predictions of its frame and class: where the nearest lies (of
+    equals the first by number, score and place), and whether any is a hit by each of LIMITS. 16 orders are a frame, which holds some 64 boxes
+    whatever the table's size; boxes go once by frame, and pairs are made and reduced batch by batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, v, bounds in whole_frames(batches):
+            number = np.repeat(np.arange(len(bounds)), [b - a for a, b in bounds])
+            group = number * (int(v["cls"].max()) + 1) + v["cls"]
+            order = np.argsort(group, kind="stable")
+            t, p = order[v["box"][order] % 2 == 0], order[v["box"][order] % 2 == 1]
+            lo, hi = np.searchsorted(group[p], group[t]), np.searchsorted(group[p], group[t], "right")
+            n = hi - lo
+            i, j = np.repeat(t, n), p[np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())]
+            if not len(i):
+                continue
+            dx, dy, pred, score = v["x"][j] - v["x"][i], v["y"][j] - v["y"][i], v["box"][j], v["score"][j]
+            dist = np.sqrt(dx * dx + dy * dy)
+            own = [{"truth": v["box"], "tx": v["x"], "ty": v["y"]}[k][i] for k in keys]
+            by = np.lexsort((dy, dx, score, pred, dist, *own[::-1], number[i]))
+            first = np.flatnonzero(np.concatenate([[True], np.any([np.diff(x[by]) != 0 for x in (number[i], *own)], axis=0)]))
+            at = by[first]
+            hits = np.stack([np.logical_or.reduceat(((score > s) & (dist < m))[by], first) for s, m in LIMITS], 1)
+            hits = pa.FixedSizeListArray.from_arrays(pa.array(hits.ravel()), len(LIMITS)).cast(pa.list_(pa.bool_()))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (v["frame"][i[at]], *(k[at] for k in own), dx[at], dy[at], dist[at])] + [hits], names=["frame", *keys, "dx", "dy", "dist", "hits"])
+
+    b = boxes(spark, d).select(F.expr("frame div 16").alias("frame"), "cls", "box", "x", "y", "score").dropna(subset=["frame", "cls", "box"])
+    kinds = {"truth": "long", "tx": "double", "ty": "double"}
+    return by_frame(b, [], run, ", ".join(["frame long", *(f"{k} {kinds[k]}" for k in keys), "dx double, dy double, dist double, hits array<boolean>"]))
 
 
 @register("x1_nearest_error_by_band", f"WITH {PAIRS}, n AS (SELECT f, truth, tx, ty, arg_min(dx, (dist, pred, score, dx, dy)) AS dx, arg_min(dy, (dist, pred, score, dx, dy)) AS dy FROM near GROUP BY f, truth, tx, ty) SELECT CASE WHEN abs(tx) < 10 THEN 0 WHEN abs(tx) < 25 THEN 1 ELSE 2 END AS band, count(*) AS n, round(avg(dx), 5) AS ahead, round(avg(dy), 5) AS aside FROM n GROUP BY 1")
 def x1(spark: SparkSession, d: str) -> DataFrame:
-    n = pairs(spark, d).groupBy("f", "truth", "tx", "ty").agg(F.min_by(F.struct("dx", "dy"), F.struct("dist", "pred", "score", "dx", "dy")).alias("e"))
+    n = truths(spark, d, "truth", "tx", "ty")
     b = F.when(F.abs("tx") < 10, 0).when(F.abs("tx") < 25, 1).otherwise(2)
-    return n.groupBy(b.alias("band")).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("e.dx"), 5).alias("ahead"), F.round(F.avg("e.dy"), 5).alias("aside"))
+    return n.groupBy(b.alias("band")).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("dx"), 5).alias("ahead"), F.round(F.avg("dy"), 5).alias("aside"))
 
 
 @register("x4_recall_curve", f"WITH {PAIRS}, th AS (SELECT CAST(v AS DOUBLE) AS threshold, CAST(lim AS DOUBLE) AS lim FROM (VALUES (0.2, 6), (0.5, 4), (0.8, 2)) v(v, lim)) SELECT threshold, count(DISTINCT (f, truth)) FILTER (score > threshold AND dist < lim) AS found, count(DISTINCT (f, truth)) AS truths FROM near, th GROUP BY threshold")
 def x4(spark: SparkSession, d: str) -> DataFrame:
-    limits = F.explode(F.array(*[F.struct(F.lit(t).alias("threshold"), F.lit(m).alias("lim")) for t, m in ((0.2, 6.0), (0.5, 4.0), (0.8, 2.0))]))
-    per = pairs(spark, d).withColumn("l", limits).groupBy("l.threshold", "f", "truth").agg(F.bool_or(F.expr("score > l.threshold and dist < l.lim")).alias("hit"))
-    return per.groupBy("threshold").agg(F.count_if("hit").alias("found"), F.count(F.lit(1)).alias("truths"))
+    counts = truths(spark, d, "truth").agg(F.count(F.lit(1)).alias("truths"), *[F.count_if(F.col("hits")[k]).alias(f"n{k}") for k in range(len(LIMITS))])
+    rows = F.explode(F.array(*[F.struct(F.lit(s).alias("threshold"), F.col(f"n{k}").alias("found")) for k, (s, _) in enumerate(LIMITS)]))
+    return counts.filter("truths > 0").select("truths", rows.alias("l")).select("l.threshold", "l.found", "truths")
 
 
 @register("x3_recall_by_side_and_band", f"WITH {PAIRS}, n AS (SELECT f, truth, tx, ty, min(dist) < 4 AS hit FROM near GROUP BY f, truth, tx, ty) SELECT ty >= 0 AS left_side, CASE WHEN abs(tx) < 10 THEN 0 WHEN abs(tx) < 25 THEN 1 ELSE 2 END AS band, count(*) AS n, count(*) FILTER (hit) AS hits FROM n GROUP BY 1, 2")
 def x3(spark: SparkSession, d: str) -> DataFrame:
-    n = pairs(spark, d).groupBy("f", "truth", "tx", "ty").agg((F.min("dist") < 4).alias("hit"))
+    n = truths(spark, d, "truth", "tx", "ty").withColumn("hit", F.col("dist") < 4)
     b = F.when(F.abs("tx") < 10, 0).when(F.abs("tx") < 25, 1).otherwise(2)
     return n.groupBy((F.col("ty") >= 0).alias("left_side"), b.alias("band")).agg(F.count(F.lit(1)).alias("n"), F.count_if("hit").alias("hits"))
 
