@@ -65,3 +65,9 @@ def test_pairs_are_made_after_one_shuffle(spark, name, most):
     assert shuffles(spark, name) <= most
     with small_batches(spark):
         assert sorted(map(tuple, registry.queries()[name](spark, FOLDER).collect())) == by_sql(name)
+
+
+def test_peaks_after_one_shuffle(spark):
+    assert shuffles(spark, "t6_peak_nms") == 1
+    with small_batches(spark):
+        assert sorted(map(tuple, registry.queries()["t6_peak_nms"](spark, FOLDER).collect())) == by_sql("t6_peak_nms")

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackloom.functions.scalars import cell
+from trackloom.operators.matching import by_frame, whole_frames
 
 
 def binned(df: DataFrame, size: float, x: str = "x", y: str = "y", x0: float = 0.0, y0: float = 0.0) -> DataFrame:
@@ -91,6 +95,34 @@ def iou(counts: DataFrame, keys: list[str] | None = None) -> DataFrame:
     return per.withColumn("iou", F.col("inter") / F.nullif(F.col("truths") + F.col("saids") - F.col("inter"), F.lit(0)))
 
 
+def peaks(values: DataFrame, least: float, k: int) -> DataFrame:
+    """frame, r, c, s: of values (frame, r int, c int, s double), the largest of a cell counting, the first k cells of each frame (by falling s, then r
+    and c) that are above `least` and no smaller than the eight around them. One shuffle, by frame; a frame's cells stand in one task's batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, v, bounds in whole_frames(batches):
+            frame = np.repeat(np.arange(len(bounds)), [b - a for a, b in bounds])
+            order = np.lexsort((v["s"], v["c"], v["r"], frame))
+            last = np.flatnonzero(np.concatenate([np.any([np.diff(x[order]) != 0 for x in (frame, v["r"], v["c"])], axis=0), [True]]))
+            at = order[last]
+            f, r, c, s = frame[at], v["r"][at].astype(np.int64), v["c"][at].astype(np.int64), v["s"][at]
+            r0, c0 = r - r.min() + 1, c - c.min() + 1
+            high, wide = int(r0.max()) + 2, int(c0.max()) + 2
+            place = (f * high + r0) * wide + c0  # rises with frame, r, c
+            top = s.copy()
+            for a, b in square(1):
+                near = np.searchsorted(place, place + a * wide + b)
+                near = np.where(near < len(place), near, 0)
+                top = np.where(place[near] == place + a * wide + b, np.maximum(top, s[near]), top)
+            peak = np.flatnonzero((top <= s) & (s > least))
+            peak = peak[np.lexsort((c[peak], r[peak], -s[peak], f[peak]))]
+            first = np.searchsorted(f[peak], f[peak])
+            peak = peak[np.arange(len(peak)) - first < k]
+            yield from table.select(["frame", "r", "c", "s"]).take(pa.array(at[peak])).combine_chunks().to_batches()
+
+    return by_frame(values.select("frame", "r", "c", "s").dropna(), [], run, "frame long, r int, c int, s double")
+
+
 def share(*parts: Column) -> Column:
     """parts[0] over the sum of parts, with the sum at least 1."""
     return parts[0] / F.greatest(reduce(lambda a, b: a + b, parts), F.lit(1))

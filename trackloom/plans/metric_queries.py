@@ -52,12 +52,10 @@ PEAK = f"{BOXES}, g AS (SELECT frame // 16 AS frame, CAST(x AS INT) AS r, CAST(y
 
 @register("t6_peak_nms", f"WITH {PEAK}, p AS (SELECT a.frame, a.r, a.c, a.s FROM g a JOIN g b ON a.frame = b.frame AND abs(a.r - b.r) <= 1 AND abs(a.c - b.c) <= 1 GROUP BY ALL HAVING max(b.s) <= a.s), k AS (SELECT *, row_number() OVER (PARTITION BY frame ORDER BY s DESC, r, c) AS rn FROM p WHERE s > 0.3) SELECT frame, r, c, round(s, 6) AS s FROM k WHERE rn <= 20")
 def t6(spark: SparkSession, d: str) -> DataFrame:
-    from trackloom.operators.grids import offsets, square
+    from trackloom.operators.grids import peaks
 
-    g = boxes(spark, d).groupBy(F.expr("frame div 16").alias("frame"), F.col("x").cast("int").alias("r"), F.col("y").cast("int").alias("c")).agg(F.max("score").alias("s"))
-    around = offsets(g, square(1)).groupBy("frame", "r", "c").agg(F.max("s").alias("top"))
-    peaks = g.join(around, ["frame", "r", "c"]).filter("top <= s and s > 0.3")
-    return R.top_k(peaks, 20, ["frame"], [F.desc("s"), "r", "c"]).select("frame", "r", "c", r6("s").alias("s"))
+    values = boxes(spark, d).select(F.expr("frame div 16").alias("frame"), F.col("x").cast("int").alias("r"), F.col("y").cast("int").alias("c"), F.col("score").alias("s"))
+    return peaks(values, 0.3, 20).select("frame", "r", "c", r6("s").alias("s"))
 
 
 @register("t9_multi_scale_peaks", f"""WITH {BOXES}, s AS (SELECT frame // 16 AS frame, CAST(k AS INT) AS k, CAST(trunc(x / k) AS INT) AS r, CAST(trunc(y / k) AS INT) AS c, max(score) AS s FROM boxes, (VALUES (2), (4), (8)) v(k) GROUP BY ALL),
