@@ -10,7 +10,7 @@ import pytest
 
 import trackloom.plans  # noqa: F401
 from trackloom.operators import rasters
-from trackloom.plans import registry
+from trackloom.plans import file_queries, registry
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -71,3 +71,12 @@ def test_peaks_after_one_shuffle(spark):
     assert shuffles(spark, "t6_peak_nms") == 1
     with small_batches(spark):
         assert sorted(map(tuple, registry.queries()["t6_peak_nms"](spark, FOLDER).collect())) == by_sql("t6_peak_nms")
+
+
+def test_geopackages_grow_in_number(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(file_queries, "work_folder", lambda spark: str(tmp_path / "maps"))
+    monkeypatch.setattr(file_queries, "BLOCK", 50, raising=False)
+    rows = registry.queries()["s12_geopackage"](spark, FOLDER).count()
+    part = spark.read.parquet(f"{FOLDER}/part.parquet")
+    assert rows == part.filter("p_size % 7 <> 0").count()
+    assert len(list((tmp_path / "maps").glob("*.gpkg"))) == 5 * (part.agg({"p_partkey": "max"}).first()[0] // 50 + 1)

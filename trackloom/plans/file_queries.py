@@ -42,6 +42,9 @@ def s11(spark: SparkSession, d: str) -> DataFrame:
     return runs.groupBy("tile_x", "tile_y", "way").agg(F.round(F.sum("length"), 5).alias("length")).filter("length > 0")
 
 
+#: Row numbers of a GeoPackage, which has a fifth of them: files and tasks grow in number with the table and not in size.
+BLOCK = 250_000
+
 _LON, _LAT = "(13 + p_partkey % 97 * 0.001 + p_size * 0.00001)", "(52 + p_partkey % 89 * 0.001)"
 _UTM_CONSTANTS = f"SELECT {2 * projection._N**0.5 / (1 + projection._N)!r}::DOUBLE AS e, {projection.SCALE * projection.RADIUS!r}::DOUBLE AS k, " + ", ".join(f"{a!r}::DOUBLE AS a{i}" for i, a in enumerate(projection.ALPHA, 1))
 _SERIES = {f: " + ".join(["{0}"] + [f"a{i} * " + ("cos" if f == "e" else "sin") + f"({2 * i} * xi) * " + ("sinh" if f == "e" else "cosh") + f"({2 * i} * eta)" for i in range(1, 5)]) for f in "en"}
@@ -57,7 +60,7 @@ def s12(spark: SparkSession, d: str) -> DataFrame:
     """Quadrilaterals in two layers of several GeoPackages, read back and laid out in UTM metres: their place and area. Rows without a geometry drop out."""
     folder = work_folder(spark)
     geopackage.register(spark)
-    p = read(spark, d, "part").selectExpr("p_partkey as fid", "if(p_size % 2 = 0, 'lanes', 'crosswalks') as layer", f"cast({_LON} as double) as lon", f"cast({_LAT} as double) as lat", "p_size", "concat('city', p_partkey % 5) as file")
+    p = read(spark, d, "part").selectExpr("p_partkey as fid", "if(p_size % 2 = 0, 'lanes', 'crosswalks') as layer", f"cast({_LON} as double) as lon", f"cast({_LAT} as double) as lat", "p_size", f"concat('city', p_partkey % 5, '-', p_partkey div {BLOCK}) as file")
 
     def encode(batches):
         import pyarrow as pa
@@ -69,7 +72,7 @@ def s12(spark: SparkSession, d: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("file"), b.column("layer"), b.column("fid"), pa.array(blobs, pa.binary())], names=["file", "layer", "fid", "geom"])
 
     geopackage.write_layers(p.mapInArrow(encode, "file string, layer string, fid long, geom binary"), folder, "EPSG:32633")
-    layer = lambda name: spark.read.format("geopackage").options(path=folder, layer=name, rowsPerTask="500").load().withColumn("layer", F.lit(name))
+    layer = lambda name: spark.read.format("geopackage").options(path=folder, layer=name, rowsPerTask=str(BLOCK)).load().withColumn("layer", F.lit(name))
     points = layer("lanes").unionByName(layer("crosswalks"))
     x, y = projection.utm(F.col("y"), F.col("x"), 33)
     m = points.select("layer", "fid", "n", x.alias("x"), y.alias("y"))
