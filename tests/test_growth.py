@@ -6,11 +6,13 @@ from contextlib import contextmanager
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import trackloom.plans  # noqa: F401
 from trackloom.operators import rasters
 from trackloom.plans import file_queries, registry
+from trackloom.sources import parsers, scenes
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -80,3 +82,24 @@ def test_geopackages_grow_in_number(spark, tmp_path, monkeypatch):
     part = spark.read.parquet(f"{FOLDER}/part.parquet")
     assert rows == part.filter("p_size % 7 <> 0").count()
     assert len(list((tmp_path / "maps").glob("*.gpkg"))) == 5 * (part.agg({"p_partkey": "max"}).first()[0] // 50 + 1)
+
+
+def test_runs_of_many_masks_are_those_of_each():
+    rng = np.random.default_rng(5)
+    runs = [rng.integers(0, 10 ** int(rng.integers(1, 6)), int(rng.integers(1, 9))).tolist() for _ in range(200)]
+    texts = pa.array([None, "", *map(parsers.rle_text, runs), ""])
+    for part, skipped in ((texts, 2), (texts.slice(7, 100), 0)):
+        got, own = parsers.rle_arrays(part)
+        assert [(k + skipped, n) for k, r in enumerate(runs if skipped else runs[5:105]) for n in r] == list(zip(own.tolist(), got.tolist(), strict=True))
+    table = rng.integers(0, 5000, (50, 6))
+    assert parsers.rle_texts(table).to_pylist() == [parsers.rle_text(r) for r in table.tolist()]
+    with pytest.raises(ValueError, match="cut off"):
+        parsers.rle_arrays(pa.array(["0", "0P"]))
+
+
+def test_no_pixel_is_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(scenes, "PAINT", 50)
+    df = registry.queries()["s13_painted_masks"](spark, FOLDER)
+    assert "explode" not in df._jdf.queryExecution().executedPlan().toString()
+    with small_batches(spark):
+        assert sorted(map(tuple, df.collect())) == by_sql("s13_painted_masks")

@@ -117,8 +117,9 @@ def s13(spark: SparkSession, d: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            counts = [parsers.rle_text([lo, n, 1000 - lo - n]) for lo, n in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(counts)], names=["img", "place", "counts"])
+            lo, n = (b.column(k).to_numpy(zero_copy_only=False) for k in (2, 3))
+            counts = parsers.rle_texts(np.stack([lo, n, 1000 - lo - n], 1))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), counts], names=["img", "place", "counts"])
 
     coded = placed.mapInArrow(run, "img long, place int, counts string")
     mask = F.struct(F.array(F.lit(50), F.lit(20)).alias("size"), F.base64(F.col("counts").cast("binary")).alias("counts"))

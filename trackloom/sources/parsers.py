@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -154,6 +155,48 @@ def rle_text(runs: list[int]) -> str:
     return "".join(out)
 
 
+def rle_arrays(counts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """rle_runs() of many strings: the runs of all, one after another, and which string each is of. Null has none."""
+    text = pc.fill_null(counts, "").cast(pa.large_string())
+    ends = np.cumsum(pc.binary_length(text).to_numpy(zero_copy_only=False))
+    if not len(ends) or not ends[-1]:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at = np.frombuffer(text.buffers()[1], np.int64)[text.offset]
+    c = np.frombuffer(text.buffers()[2], np.uint8)[at : at + ends[-1]].astype(np.int64) - 48
+    if (c[ends[ends > 0] - 1] & 32).any():
+        raise ValueError("a mask's counts are cut off")
+    last = np.flatnonzero(c & 32 == 0)
+    first = np.concatenate([[0], last[:-1] + 1])
+    n = last - first + 1
+    value = np.add.reduceat((c & 31) << 5 * (np.arange(len(c)) - np.repeat(first, n)), first)
+    value -= np.where(c[last] & 16, np.int64(1) << 5 * n, 0)
+    own = np.searchsorted(ends, last, "right")
+    k = np.arange(len(own)) - np.searchsorted(own, own)
+    chain = own * 3 + np.where(k == 0, 0, 1 + k % 2)  # a run adds to the one two before, from the fourth on
+    order = np.argsort(chain, kind="stable")
+    total, chain = np.cumsum(value[order]), chain[order]
+    start = np.searchsorted(chain, chain)
+    runs = np.empty_like(value)
+    runs[order] = total - np.where(start > 0, total[start - 1], 0)
+    return runs, own
+
+
+def rle_texts(runs: np.ndarray) -> pa.Array:
+    """rle_text() of each row of a table of runs."""
+    left = runs.astype(np.int64)
+    left[:, 3:] -= runs[:, 1:-2]
+    chars, used, live = np.zeros((*runs.shape, 13), np.uint8), np.zeros((*runs.shape, 13), bool), np.ones(runs.shape, bool)
+    for k in range(13):
+        low, left = left & 31, left >> 5
+        more = left != np.where(low & 16, -1, 0)
+        chars[..., k], used[..., k] = 48 + low + 32 * more, live
+        live = live & more
+        if not live.any():
+            break
+    ends = np.concatenate([[0], np.cumsum(used.sum((1, 2)))]).astype(np.int32)
+    return pa.StringArray.from_buffers(len(runs), pa.py_buffer(ends), pa.py_buffer(chars[used]))
+
+
 def wkb_polygon(blob: bytes) -> list[list[tuple[float, float]]]:
     """Rings of a WKB polygon of either byte order."""
     order = "<" if blob[0] == 1 else ">"
