@@ -99,3 +99,48 @@ def test_long_walks_are_walked_to_their_end(spark, tmp_path):
     df = registry.queries()["q15_retry_walk"](spark, events(spark, tmp_path, rows))
     assert {r["event_id"]: (r["tries"], r["taken"]) for r in df.collect()} == {k: (k + 1, 9) for k in range(9)}
     assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scenes_accumulate_together():
+    """Many scenes in two waves, the second with late frames: each as in a plain version that goes row by row, and the state is kept by dumps."""
+    import numpy as np
+    import pandas as pd
+
+    from trackloom.streaming import accumulate
+
+    rng = np.random.default_rng(5)
+    rows = [(s, t, 2.0 * t + 30 * (t == 6), t // 4, None if (s + t) % 9 == 0 else 0.0, *rng.integers(-1, 17, 2).tolist(), float(rng.normal())) for s in range(-3, 61) for t in range(8 + s % 3) for _ in range(rng.integers(1, 6))]
+    rows = pd.DataFrame(rows, columns=["scene", "t", "x", "y", "yaw", "r", "c", "v"]).sample(frac=1, random_state=1)
+    waves = [rows[rows["t"] < 5], rows[(rows["t"] >= 5) | (rows["t"] == 2)]]
+    held, got = accumulate.Accumulator(), []
+    for wave in waves:
+        got.append(accumulate.advance(wave, held))
+        held = accumulate.Accumulator(state=held.dump())
+    late = got[1][got[1]["t"] == 2]
+    assert len(late) == 64 and (late["late"] > 0).all() and (late["cells"] == 0).all() and late["late"].sum() == (rows["t"] == 2).sum()
+    got = pd.concat([got[0], got[1][got[1]["t"] >= 5]]).set_index(["scene", "t"])
+    assert len(got) == rows.groupby(["scene", "t"]).ngroups and (got["late"] == 0).all()
+    for _, own in rows.groupby("scene"):
+        grid, before = {}, None
+        for (s, t), frame in own.groupby(["scene", "t"]):
+            x, y, yaw = frame[["x", "y", "yaw"]].iloc[0]
+            reset = before is None or np.isnan(yaw) or np.hypot(x - before[0], y - before[1]) >= 10
+            grid = {} if reset else {(r - x + before[0], c - y + before[1]): 0.7 * v for (r, c), v in grid.items()}
+            for r, c, v in zip(frame["r"], frame["c"], frame["v"], strict=True):
+                grid[r, c] = grid.get((r, c), 0.0) + v
+            grid, before = {k: v for k, v in grid.items() if 0 <= min(k) and max(k) < 16}, None if np.isnan(yaw) else (x, y)
+            assert (got.loc[(s, t), "cells"], got.loc[(s, t), "reset"]) == (len(grid), reset) and got.loc[(s, t), "total"] == pytest.approx(sum(grid.values()), abs=2e-9)
+
+
+def test_states_of_many_scenes_are_written_together(spark, tmp_path, monkeypatch):
+    """A wave's rows of a block lie in one file, and the stream keeps one record for each block and not for each scene."""
+    from trackloom.plans import stream_queries
+
+    monkeypatch.setattr(stream_queries, "FILE", 10_000)
+    monkeypatch.setattr(stream_queries, "work_folder", lambda spark: str(tmp_path))
+    folder = "/root/testdata/sf0.01"
+    registry.queries()["m2_decayed_evidence"](spark, folder).collect()
+    lies = spark.read.parquet(f"{tmp_path}/in").selectExpr("scene div 64 as block", "t div 16 as wave", "input_file_name() as file").distinct().collect()
+    blocks = spark.read.parquet(f"{folder}/lineitem.parquet").selectExpr("l_orderkey div 2048").distinct().count()
+    assert len({r["file"] for r in lies}) > 4 and len(lies) == 2 * blocks
+    assert spark.read.format("statestore").load(f"{tmp_path}/state").count() == blocks

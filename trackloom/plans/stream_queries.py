@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackloom.functions.scalars import r6
@@ -28,10 +28,10 @@ def work_folder(spark: SparkSession) -> str:
 FILE = 500_000
 
 
-def arrived(waves: list[DataFrame], folder: str, files: int) -> str:
+def arrived(waves: list[DataFrame], folder: str, files: int, by: Column | str = "scene") -> str:
     """Write the rows wave by wave, each scene's in one file of its wave; at least so many files, and as many as the rows need."""
     for wave in waves:
-        wave.repartition(max(files, 1 + wave.count() // FILE), "scene").write.mode("append").parquet(f"{folder}/in")
+        wave.repartition(max(files, 1 + wave.count() // FILE), by).write.mode("append").parquet(f"{folder}/in")
     return f"{folder}/in"
 
 
@@ -77,6 +77,6 @@ def m2(spark: SparkSession, d: str) -> DataFrame:
         (F.col("l_partkey") % 16).cast("int").alias("r"), (F.col("l_suppkey") % 16).cast("int").alias("c"), ((F.col("l_discount") - 0.03) * F.pi()).alias("v"),
     )
     folder = work_folder(spark)
-    source = arrived([rows.filter("t < 16"), rows.filter("t >= 16")], folder, 2)
+    source = arrived([rows.filter("t < 16"), rows.filter("t >= 16")], folder, 2, accumulate.block())
     out = drained(accumulate.accumulate_stream(accumulate.frame_stream(spark, source, rows.schema, at_once(spark))), folder)
     return out.select("scene", "t", "reset", F.col("cells").cast("long").alias("cells"), (F.col("total") + 0.0).alias("total"))
