@@ -55,6 +55,20 @@ def test_a_mean_of_a_fifth_is_not_below_it(spark, tmp_path):
     assert r["share"] == 0.2 and r["flagged"] is False
 
 
+def test_a_slope_close_to_halfway_is_rounded_once(spark, tmp_path):
+    """Of 25 heights 19 are kept; their slope is -1.1864649998, which nine decimals would make -1.186465."""
+    import duckdb
+
+    bins = [0, 1, 2, 5, 6, 7, 10, 12, 13, 16, 20, 21, 22, 23, 24, 25, 28, 29, 30, 31, 32, 34, 35, 37, 39]
+    tenths = [860, 834, 872, 748, 754, 710, 733, 337, 160, 470, 276, 764, 687, 938, 327, 202, 406, 456, 575, 22, 550, 199, 994, 510, 944]
+    rows = [(y * pow(7919, -1, 1000) % 1000 + 1000 * k, 1, float(k), "view", 20.0 * b + 5) for k, (b, y) in enumerate(zip(bins, tenths, strict=True))]
+    folder = events(spark, tmp_path, rows)
+    (r,) = registry.queries()["x15_grade_line_fit"](spark, folder).collect()
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{folder}/events.parquet/*.parquet'")
+    assert (r["scene"], r["slope"], r["kept"]) == con.execute(registry.oracle_sql()["x15_grade_line_fit"]).fetchone() == (1, -1.18646, 19)
+
+
 def test_lists_of_scenes_are_whole(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     got = {r["scene"]: r["listed"].split("\n") for r in registry.queries()["k1_scene_tables"](spark, FOLDER).collect()}

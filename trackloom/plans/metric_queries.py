@@ -297,10 +297,11 @@ k AS (SELECT *, quantile_cont(res, 0.5) OVER (PARTITION BY scene) AS med FROM r)
 def x15(spark: SparkSession, d: str) -> DataFrame:
     b = pose_track(spark, d).groupBy("scene", (F.col("x") / 20).cast("int").alias("bin")).agg(F.percentile("y", F.lit(0.2)).alias("h"))
     f = b.groupBy("scene").agg(F.regr_slope("h", "bin").alias("s"), F.regr_intercept("h", "bin").alias("i"))
-    # Nine decimals first: residuals that are equal, and slopes between two decimals, don't hang on the order of sums.
+    # Residuals to nine decimals, and slopes to twelve before five: those that are equal, or halfway, don't hang on the order of sums, and
+    # twelve are enough for slopes that are only close to halfway.
     r = b.join(f, "scene").withColumn("res", F.round(F.abs(F.expr("h - (s * bin + i)")), 9))
     r = r.join(r.groupBy("scene").agg(F.percentile("res", F.lit(0.5)).alias("med")), "scene").filter("res < greatest(0.2, 2 * med)")
-    return r.groupBy("scene").agg(F.round(F.round(F.regr_slope("h", "bin"), 9), 5).alias("slope"), F.count(F.lit(1)).alias("kept"))
+    return r.groupBy("scene").agg(F.round(F.round(F.regr_slope("h", "bin"), 12), 5).alias("slope"), F.count(F.lit(1)).alias("kept"))
 
 
 @register("x18_split_by_p75", f"WITH {SCORED}, c AS (SELECT quantile_cont(n_chars, 0.75) AS p75 FROM scored) SELECT n_chars > p75 AS high, count(*) AS n, round(avg(score), 6) AS mean FROM scored, c GROUP BY 1")
